@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STATS = ("non_null", "nulls", "distinct", "min", "max", "avg", "stddev")
+_STATS = ("non_null", "nulls", "min", "max", "avg", "stddev")
 
 
-def profile_columns(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
-    """One row per column: type, rows, nulls, distinct values, range, and numeric moments.
+def _as_number(column: Column, kind: str) -> Column:
+    if kind == "string":
+        return column.try_cast("double")
+    if kind in ("date", "boolean") or kind.startswith("timestamp"):
+        return F.lit(None).cast("double")
+    return column.cast("double")
 
-    All statistics come from one aggregate over the table. Exact distinct counts copy each
-    row once per column before the partial aggregation; ``approximate_distinct`` avoids that
-    on very wide or very large tables.
-    """
+
+def _moments(df: DataFrame) -> DataFrame:
+    """Everything but the distinct counts, in one aggregate without keys."""
     stats = [F.count("*").alias("n_rows")]
     for i, (name, kind) in enumerate(df.dtypes):
         column = F.col(f"`{name}`")
-        number = column.try_cast("double") if kind in ("string",) else column.cast("double")
-        if kind in ("date", "boolean") or kind.startswith("timestamp"):
-            number = F.lit(None).cast("double")
-        distinct = F.approx_count_distinct(column) if approximate_distinct else F.count_distinct(column)
+        number = _as_number(column, kind)
         stats += [
             F.count(column).alias(f"non_null_{i}"),
             (F.count("*") - F.count(column)).alias(f"nulls_{i}"),
-            distinct.alias(f"distinct_{i}"),
             F.min(column).cast("string").alias(f"min_{i}"),
             F.max(column).cast("string").alias(f"max_{i}"),
             F.avg(number).alias(f"avg_{i}"),
@@ -39,3 +38,28 @@ def profile_columns(df: DataFrame, approximate_distinct: bool = False) -> DataFr
         for i, (name, kind) in enumerate(df.dtypes)
     ])
     return df.agg(*stats).select(F.inline(lines))
+
+
+def _distinct_values(df: DataFrame) -> DataFrame:
+    """Exact distinct values per column, from (column, value) pairs.
+
+    Frequent values shrink to one pair per task before the shuffle, and the pairs of one
+    column spread over all tasks by value.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").cast("string").alias("value"))
+        for name in df.columns
+    ])
+    values = df.select(F.explode(pairs).alias("pair")).select("pair.*").where("value is not null").distinct()
+    return values.groupBy("column_name").agg(F.count("*").alias("distinct"))
+
+
+def profile_columns(df: DataFrame) -> DataFrame:
+    """One row per column: type, rows, nulls, distinct values, range, and numeric moments."""
+    profile = _moments(df).join(_distinct_values(df), "column_name", "left")
+    return profile.withColumn("distinct", F.coalesce("distinct", F.lit(0)))
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """A few rows to look at."""
+    return df.limit(n)

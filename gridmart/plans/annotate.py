@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_attributes, date_key, iso_date
 from ..functions.results import full_name, result_flags
-from ..functions.typed import cell_issue, collect_issues, typed_value
+from ..functions.cleaning import null_if_token
+from ..functions.typed import cell_issue, collect_issues, is_lost, typed_value
 from ..operators.keys import first_rows, mark_first
 from ..operators.lookups import mark_parent
 from ..schemas import DIM_DATE, DIM_DRIVER, FACT_RACE_RESULT, Field, ForeignKey, TableSpec
@@ -29,22 +30,28 @@ Parents = Mapping[str, DataFrame]
 
 
 def typed_rows(raw: DataFrame, spec: TableSpec, extra: tuple[Field, ...] = ()) -> DataFrame:
-    """Declared columns in their types, plus issues, the raw text of a bad key, and order."""
+    """Declared columns in their types, plus issues, the raw text of a bad key, and order.
+
+    ``raw`` is source text, with or without its null tokens.
+    """
     fields = [*spec.source_fields, *extra]
-    values = {f.name: typed_value(F.col(f.source), f) for f in fields}
-    key_columns = [f for f in spec.source_fields if f.name in spec.required]
-    bad_key = None
-    for f in key_columns:
-        bad = F.col(f.source).isNotNull() & values[f.name].isNull()
-        bad_key = bad if bad_key is None else bad_key | bad
-    key_text = F.concat_ws("|", *[F.coalesce(F.col(f.source), F.lit("")) for f in key_columns])
-    bad_line = F.col(BAD_LINE) if BAD_LINE in raw.columns else F.lit(None).cast("string")
-    return raw.select(
-        *[value.alias(name) for name, value in values.items()],
-        collect_issues([cell_issue(F.col(f.source), values[f.name], f) for f in fields]).alias(ISSUES),
+    if BAD_LINE not in raw.columns:
+        raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
+    # Tokens, then values, then verdicts on them: each cell is cleaned and parsed once.
+    text = {f.name: F.col(f"_text_{f.name}") for f in fields}
+    cells = raw.select(
+        *[null_if_token(F.col(f.source)).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
+    values = cells.select("*", *[typed_value(text[f.name], f).alias(f.name) for f in fields])
+    keys = [f.name for f in spec.source_fields if f.name in spec.required]
+    bad_key = F.lit(False)
+    for name in keys:
+        bad_key = bad_key | is_lost(text[name], F.col(name))
+    key_text = F.concat_ws("|", *[F.coalesce(text[name], F.lit("")) for name in keys])
+    return values.select(
+        *[f.name for f in fields],
+        collect_issues([cell_issue(text[f.name], F.col(f.name), f) for f in fields]).alias(ISSUES),
         F.when(bad_key, key_text).alias(SOURCE_KEY),
-        bad_line.alias(BAD_LINE),
-        F.col(ORDER),
+        BAD_LINE, ORDER,
     )
 
 
@@ -67,32 +74,49 @@ def _reason(spec: TableSpec) -> Column:
     return F.coalesce(*steps)
 
 
+def _judged(typed: DataFrame, spec: TableSpec, parents: Parents,
+            foreign_keys: list[ForeignKey]) -> tuple[DataFrame, Column]:
+    """Rows with a marker per foreign key, and the condition that a row breaks no rule so far."""
+    frame = typed
+    sound = F.col(BAD_LINE).isNull() & F.col(SOURCE_KEY).isNull()
+    for name in spec.required:
+        if name in typed.columns:
+            sound = sound & F.col(name).isNotNull()
+    for fk in foreign_keys:
+        frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
+        sound = sound & F.col(_known(fk))
+    return frame, sound
+
+
+def accepted_keys(typed: DataFrame, spec: TableSpec, parents: Parents | None = None) -> DataFrame:
+    """Keys that the table will hold: those of any sound row (which row wins does not matter)."""
+    frame, sound = _judged(typed, spec, parents or {}, list(spec.foreign_keys))
+    return frame.where(sound).select(*spec.key).distinct()
+
+
 def annotate(typed: DataFrame, spec: TableSpec, parents: Parents,
              lookup: DataFrame | None = None) -> DataFrame:
     """Apply not-null, foreign-key and primary-key rules; foreign keys come first.
 
     A row that breaks a foreign key never takes the primary key. Rules that depend on the
-    key alone (a foreign key inside it, or ``lookup`` columns joined on it) hold for all rows
-    of a key alike, so they need not run before the primary-key rule. They run after it,
-    which leaves the large joins with their own shuffle, and a hot race can be split there.
+    key alone (a foreign key inside it, or on ``lookup`` columns joined by it) hold for all
+    rows of a key alike, so they need not run before the primary-key rule. They run after
+    it, and those on lookup columns run on the lookup, which has one row per key: the rows
+    themselves meet the lookup in one join with its own shuffle, where Spark can split a hot
+    key.
 
     ``typed`` is read twice (keys, then rows) and its order column must be the same both
     times: pass a written table, or rows ordered by stored columns.
     """
-    given = set(typed.columns)
-    late = [fk for fk in spec.foreign_keys if fk.column in spec.key or fk.column not in given]
-    early = [fk for fk in spec.foreign_keys if fk not in late]
-    frame = typed
-    candidate = F.col(BAD_LINE).isNull() & F.col(SOURCE_KEY).isNull()
-    for name in spec.required:
-        if name in given:
-            candidate = candidate & F.col(name).isNotNull()
-    for fk in early:
-        frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
-        candidate = candidate & F.col(_known(fk))
-    frame = mark_first(frame, candidate, spec.key, ORDER, "_is_first")
+    on_lookup = [fk for fk in spec.foreign_keys if lookup is not None and fk.column in lookup.columns]
+    late = [fk for fk in spec.foreign_keys if fk.column in spec.key and fk not in on_lookup]
+    early = [fk for fk in spec.foreign_keys if fk not in [*on_lookup, *late]]
+    frame, sound = _judged(typed, spec, parents, early)
+    frame = mark_first(frame, sound, spec.key, ORDER, "_is_first")
     if lookup is not None:
-        shared = [name for name in lookup.columns if name in given]
+        shared = [name for name in lookup.columns if name in typed.columns]
+        for fk in on_lookup:
+            lookup = mark_parent(lookup, parents[fk.parent], fk.column, _known(fk))
         frame = frame.join(lookup, shared, "left")
     for fk in late:
         frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
@@ -114,16 +138,16 @@ def date_dimension(raw_races: DataFrame) -> DataFrame:
     return dates.select(*[c.alias(n) for n, c in date_attributes(F.col("date")).items()]).select(*DIM_DATE.columns)
 
 
-def race_lookup(races: DataFrame) -> DataFrame:
-    """race_id to circuit and date, one row per race, from the annotated race rows.
+def race_lookup(typed_races: DataFrame, circuits: DataFrame) -> DataFrame:
+    """race_id to circuit and date, one row per race; ``circuits`` holds the known ids.
 
-    Of several source rows for a race, the first one with a valid circuit and a date counts,
+    Of several source rows for a race, the first one with a known circuit and a date counts,
     because a result joined to any of the others would be rejected.
     """
-    known_circuit = F.col(REASON).isNull() | (F.col(REASON) == "duplicate_key")
-    usable = F.coalesce(known_circuit & F.col("date").isNotNull(), F.lit(False))
-    rows = races.where(F.col("race_id").isNotNull() & F.col(BAD_LINE).isNull())
-    firsts = first_rows(rows.withColumn("_usable", usable), ["race_id"], [F.desc("_usable"), ORDER])
+    rows = typed_races.where(F.col("race_id").isNotNull() & F.col(BAD_LINE).isNull())
+    rows = mark_parent(rows, circuits, "circuit_id", "_known")
+    unusable = ~F.col("_known") | F.col("date").isNull()
+    firsts = first_rows(rows.withColumn("_unusable", unusable), ["race_id"], ["_unusable", ORDER])
     return firsts.select("race_id", "circuit_id", date_key(F.col("date")).alias("date_id"))
 
 
@@ -133,8 +157,8 @@ def typed_results(raw: DataFrame) -> DataFrame:
 
 
 def annotate_fact(typed: DataFrame, races: DataFrame, parents: Parents) -> DataFrame:
-    """Typed race results with circuit, date, flags and verdict. ``races`` is annotated."""
-    frame = annotate(typed, FACT_RACE_RESULT, parents, race_lookup(races))
+    """Typed race results with circuit, date, flags and verdict. ``races`` is a race_lookup."""
+    frame = annotate(typed, FACT_RACE_RESULT, parents, races)
     flags = result_flags(F.col("finish_pos"), F.col("grid_pos"), F.col("points"), F.col("status_id"))
     return frame.withColumns(flags).select(*FACT_RACE_RESULT.columns, *VERDICT_COLUMNS, ORDER)
 

@@ -20,7 +20,7 @@ from ..sources import trade_tables as trade
 from ..sources.text import ORDER
 from . import analytics, quality
 from .annotate import (
-    REASON, SOURCE_KEY, accepted, annotate_dimension, annotate_fact, date_dimension, issue_counts,
+    REASON, SOURCE_KEY, accepted, accepted_keys, annotate_dimension, annotate_fact, date_dimension, issue_counts,
     outcome_counts, race_lookup, rejected, typed_results, typed_rows,
 )
 from .star import Star
@@ -37,11 +37,12 @@ class _Tables:
 
     def __init__(self, spark: SparkSession, folder: str, flawed: bool = False, incomplete: bool = False):
         self.spark, self.folder, self.flawed, self.incomplete = spark, folder, flawed, incomplete
+        self._keys: dict[str, DataFrame] = {}
 
     def _keep(self, rows: DataFrame, condition: Column) -> DataFrame:
         return rows.where(condition) if self.incomplete else rows
 
-    def typed(self, spec: TableSpec) -> DataFrame:
+    def typed(self, spec: TableSpec, target: TableSpec | None = None) -> DataFrame:
         raw = {
             DIM_DRIVER.name: trade.raw_drivers, DIM_CONSTRUCTOR.name: trade.raw_constructors,
             DIM_CIRCUIT.name: trade.raw_circuits, DIM_RACE.name: trade.raw_races,
@@ -54,12 +55,10 @@ class _Tables:
             rows = self._keep(rows, F.col("constructorId").cast("int") <= 20)
         if spec is DIM_CIRCUIT:
             rows = self._keep(rows, F.col("country") != "AFRICA")
-        names = [f.source for f in spec.source_fields]
-        return typed_rows(blank_null_tokens(rows, names), spec)
+        return typed_rows(rows, target or spec)
 
     def results(self) -> DataFrame:
-        raw = trade.raw_results(self.spark, self.folder, self.flawed)
-        return typed_results(blank_null_tokens(raw))
+        return typed_results(trade.raw_results(self.spark, self.folder, self.flawed))
 
     def dimension(self, spec: TableSpec) -> DataFrame:
         """A dimension with the verdict of each source row."""
@@ -73,15 +72,23 @@ class _Tables:
             date_dimension(trade.raw_races(self.spark, self.folder)), F.col("weekday_name") != "Domingo")
 
     def keys(self, spec: TableSpec) -> DataFrame:
-        rows = self.dates() if spec is DIM_DATE else accepted(self.dimension(spec), spec)
-        keys = rows.select(*spec.key)
+        if spec.name not in self._keys:
+            self._keys[spec.name] = self._accepted_keys(spec)
+        return self._keys[spec.name]
+
+    def _accepted_keys(self, spec: TableSpec) -> DataFrame:
+        if spec is DIM_DATE:
+            return self.dates().select(*spec.key)
+        parents = {DIM_CIRCUIT.name: self.keys(DIM_CIRCUIT)} if spec is DIM_RACE else {}
+        keys = accepted_keys(self.typed(spec, spec.only_required()), spec, parents)
         # Few keys out of many rows: Spark cannot know that they are few.
-        return broadcast_when_small(keys) if spec in (DIM_CONSTRUCTOR, DIM_DATE) else keys
+        return broadcast_when_small(keys) if spec is DIM_CONSTRUCTOR else keys
 
     def fact(self) -> DataFrame:
         """The fact with the verdict of each source row."""
         parents = {s.name: self.keys(s) for s in (DIM_DRIVER, DIM_CONSTRUCTOR, DIM_CIRCUIT, DIM_DATE, DIM_RACE)}
-        return annotate_fact(self.results(), self.dimension(DIM_RACE), parents)
+        races = race_lookup(self.typed(DIM_RACE), parents[DIM_CIRCUIT.name])
+        return annotate_fact(self.results(), races, parents)
 
 
 def _dimension(spec: TableSpec) -> Query:
@@ -112,9 +119,9 @@ def _dim_date(spark: SparkSession, folder: str) -> DataFrame:
 def _fact_lookup_left(spark: SparkSession, folder: str) -> DataFrame:
     """Results with the circuit and date of their race, where orders in progress are no races."""
     tables = _Tables(spark, folder)
-    races = tables.dimension(DIM_RACE).where(F.col("start_time").isNotNull() | F.array_contains(
-        F.coalesce(F.col("issues"), F.array()), "start_time:nulled"))
-    return tables.results().join(race_lookup(races), "race_id", "left").select(
+    in_progress = F.col("start_time").isNull() & F.col("issues").isNull()
+    races = race_lookup(tables.typed(DIM_RACE).where(~in_progress), tables.keys(DIM_CIRCUIT))
+    return tables.results().join(races, "race_id", "left").select(
         "race_id", "driver_id", "circuit_id", "date_id")
 
 

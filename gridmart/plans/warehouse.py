@@ -25,7 +25,7 @@ from ..schemas import (
 from ..sources.text import BAD_LINE, ORDER, read_text_table
 from .annotate import (
     ISSUES, REASON, SOURCE_KEY, annotate_dimension, annotate_fact, date_dimension, issue_counts,
-    outcome_counts, typed_results, typed_rows,
+    outcome_counts, race_lookup, typed_results, typed_rows,
 )
 from .quality import orphan_checks
 from .star import Star
@@ -156,7 +156,7 @@ def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = F
     run = Run(spark, f"{warehouse}/runs/{run_id}")
 
     def raw(name: str) -> DataFrame:
-        return read_text_table(spark, f"{source}/{name}.csv")
+        return read_text_table(spark, f"{source}/{name}.csv", keep_tokens=True)
 
     def staged(name: str, spec: TableSpec) -> DataFrame:
         return _stage(typed_rows(raw(name), spec), run, name)
@@ -167,12 +167,13 @@ def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = F
     for spec, name in plain:
         _write(annotate_dimension(staged(name, spec), spec), spec, run)
     _write(_without_verdict(date_dimension(raw("races"))), DIM_DATE, run)
-    circuits = {DIM_CIRCUIT.name: run.keys(DIM_CIRCUIT.name)}
-    _write(annotate_dimension(staged("races", DIM_RACE), DIM_RACE, circuits), DIM_RACE, run)
+    circuits = run.keys(DIM_CIRCUIT.name)
+    races = staged("races", DIM_RACE)
+    _write(annotate_dimension(races, DIM_RACE, {DIM_CIRCUIT.name: circuits}), DIM_RACE, run)
 
     results = _stage(typed_results(raw("results")), run, "results")
     parents = {fk.parent: run.keys(fk.parent) for fk in FACT_RACE_RESULT.foreign_keys}
-    _write(annotate_fact(results, run.annotated(DIM_RACE.name), parents), FACT_RACE_RESULT, run)
+    _write(annotate_fact(results, race_lookup(races, circuits), parents), FACT_RACE_RESULT, run)
 
     check(run)
     line = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("at"))

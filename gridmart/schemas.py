@@ -6,7 +6,7 @@ overflow long before the data reaches cluster size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -52,6 +52,10 @@ class TableSpec:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    def only_required(self) -> TableSpec:
+        """The same rules on the columns that decide about a row."""
+        return replace(self, fields=tuple(f for f in self.fields if f.name in self.required))
+
     @property
     def source_fields(self) -> list[Field]:
         return [f for f in self.fields if f.source]

@@ -12,15 +12,17 @@ BAD_LINE = "_bad_line"
 ORDER = "_order"
 
 
-def read_text_table(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All columns as cleaned text, plus ``_bad_line`` and ``_order``.
+def read_text_table(spark: SparkSession, path: str, multiline: bool = False,
+                    keep_tokens: bool = False) -> DataFrame:
+    """All columns as text with null tokens as NULL, plus ``_bad_line`` and ``_order``.
 
     ``_bad_line`` holds the whole line when it has too few or too many cells. ``_order`` is
     the row's place in the files (path, block, row within the block): unique, independent
     of how Spark packs blocks into tasks, and the same when a task is run again.
 
     ``multiline`` allows line breaks inside quotes; such files cannot be split, so leave it
-    off for large ones (a broken record is then reported as a bad line).
+    off for large ones (a broken record is then reported as a bad line). ``keep_tokens``
+    leaves the tokens in, for readers that type the cells anyway.
     """
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multiline)
     names = reader.csv(path).columns
@@ -36,4 +38,4 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = False) ->
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ))
-    return blank_null_tokens(rows, names)
+    return rows if keep_tokens else blank_null_tokens(rows, names)

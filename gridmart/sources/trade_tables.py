@@ -62,8 +62,9 @@ def _duration_ms() -> Column:
 
 def _lap_text() -> Column:
     over_minute = F.pmod(_duration_ms(), F.lit(60000))
-    return F.format_string(
-        "1:%02d.%03d", F.floor(over_minute / 1000).cast("int"), F.pmod(over_minute, F.lit(1000)).cast("int"))
+    seconds, thousandths = F.floor(over_minute / 1000), F.pmod(over_minute, F.lit(1000))
+    return F.concat(
+        F.lit("1:"), F.lpad(_text(seconds), 2, "0"), F.lit("."), F.lpad(_text(thousandths), 3, "0"))
 
 
 def _status() -> Column:
