@@ -70,7 +70,10 @@ def exact_median(counts: DataFrame, group: str, value: str, n: str, bucket_size:
         Window.partitionBy(group, "_bucket").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    values = fine.join(middle, [group, "_bucket"]).withColumn(
+    # A null-safe bucket adds no filter below the join, so all uses of the counts stay one plan.
+    middle = middle.toDF("_group", "_middle", "_start", "_low", "_high")
+    same_bucket = (F.col(group) == F.col("_group")) & F.col("_bucket").eqNullSafe(F.col("_middle"))
+    values = fine.join(middle, same_bucket).withColumn(
         "_value_end", F.col("_start") + F.sum(n).over(in_bucket))
     # The first value whose running count reaches a rank is the value at that rank.
     low_value = F.min(F.when(F.col("_value_end") >= F.col("_low"), F.col(value)))

@@ -14,7 +14,7 @@ def table_counts(star: Star) -> DataFrame:
     """Rows of the five dimensions and the fact."""
     counts = None
     for spec in LOAD_ORDER:
-        rows = star.fact("race_id") if spec is FACT_RACE_RESULT else star.dim(spec.name)
+        rows = star.fact("race_id") if spec is FACT_RACE_RESULT else star.dim(spec.name, *spec.key)
         line = rows.agg(F.count("*").alias("n_rows")).select(F.lit(spec.name).alias("table_name"), "n_rows")
         counts = line if counts is None else counts.unionByName(line)
     return counts
@@ -24,7 +24,7 @@ def orphan_checks(star: Star) -> DataFrame:
     """Fact rows without a parent, one line per foreign key; all must be 0."""
     fks = FACT_RACE_RESULT.foreign_keys
     fact = star.fact(*[fk.column for fk in fks])
-    parents = {fk.parent: star.dim(fk.parent).select(fk.column) for fk in fks}
+    parents = {fk.parent: star.dim(fk.parent, fk.column) for fk in fks}
     lines = orphan_counts(fact, [(fk.column, fk.parent) for fk in fks], parents)
     return lines.select("check", "orphans", (F.col("orphans") == 0).alias("passed"))
 
@@ -62,11 +62,11 @@ def flag_coherence(star: Star) -> DataFrame:
 
 def star_denormalized(star: Star) -> DataFrame:
     """The fact with the names of all its dimensions."""
-    driver = star.dim("dim_driver").select("driver_id", F.col("full_name").alias("driver_name"))
-    constructor = star.dim("dim_constructor").select("constructor_id", F.col("name").alias("constructor_name"))
-    circuit = star.dim("dim_circuit").select("circuit_id", F.col("name").alias("circuit_name"), "country")
-    race = star.dim("dim_race").select("race_id", F.col("name").alias("race_name"), "round")
-    date = star.dim("dim_date").select("date_id", "date", "decade", "weekday_name")
+    driver = star.dim("dim_driver", "driver_id", "full_name").withColumnRenamed("full_name", "driver_name")
+    constructor = star.dim("dim_constructor", "constructor_id", "name").withColumnRenamed("name", "constructor_name")
+    circuit = star.dim("dim_circuit", "circuit_id", "name", "country").withColumnRenamed("name", "circuit_name")
+    race = star.dim("dim_race", "race_id", "name", "round").withColumnRenamed("name", "race_name")
+    date = star.dim("dim_date", "date_id", "date", "decade", "weekday_name")
     fact = star.fact(
         "race_id", "driver_id", "constructor_id", "circuit_id", "date_id",
         "points", "finish_pos", "grid_pos", "is_win",

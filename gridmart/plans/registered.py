@@ -168,20 +168,23 @@ def _orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
     """The fact of the whole star against dimensions that lack some rows."""
     star = trade.trade_star(spark, folder)
     in_debt = trade.read(spark, folder, "supplier").where("s_acctbal < 0")
-    missing = {
-        "dim_driver": lambda: star.dim("dim_driver").join(
-            in_debt, F.col("driver_id") == F.col("s_suppkey"), "left_anti"),
-        "dim_constructor": lambda: star.dim("dim_constructor").where("constructor_id <= 20"),
-        "dim_circuit": lambda: star.dim("dim_circuit").where("country <> 'AFRICA'"),
-        "dim_date": lambda: star.dim("dim_date").where("weekday_name <> 'Domingo'"),
-        "dim_race": lambda: star.dim("dim_race"),
+    kept = {
+        "dim_driver": lambda rows: rows.join(in_debt, F.col("driver_id") == F.col("s_suppkey"), "left_anti"),
+        "dim_constructor": lambda rows: rows.where("constructor_id <= 20"),
+        "dim_circuit": lambda rows: rows.where("country <> 'AFRICA'"),
+        "dim_date": lambda rows: rows.where("weekday_name <> 'Domingo'"),
     }
-    return quality.orphan_checks(Star(missing, star.fact_columns))
+    dimensions = {
+        name: (lambda columns, name=name: kept[name](star.dimensions[name](columns))) for name in kept
+    }
+    dimensions["dim_race"] = star.dimensions["dim_race"]
+    return quality.orphan_checks(Star(dimensions, star.fact_columns))
 
 
 def _race_circuit_orphans(spark: SparkSession, folder: str) -> DataFrame:
     star = trade.trade_star(spark, folder)
-    return quality.race_circuit_orphans(star.dim("dim_race"), star.dim("dim_circuit").where("country <> 'AFRICA'"))
+    circuits = star.dim("dim_circuit", "circuit_id", "country").where("country <> 'AFRICA'")
+    return quality.race_circuit_orphans(star.dim("dim_race", "race_id", "circuit_id"), circuits)
 
 
 def _profile_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,19 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 
+Columns = tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class Star:
-    """Access to the star's tables.
+    """Access to the star's tables by name and wanted columns.
 
-    ``fact_columns`` gets the wanted column names, so that a source that derives the fact
-    joins only what those columns need; a written fact is simply pruned.
+    The wanted columns are passed on, so that a source that derives a table joins only what
+    those columns need; a written table is simply pruned.
     """
 
-    dimensions: Mapping[str, Callable[[], DataFrame]]
-    fact_columns: Callable[[tuple[str, ...]], DataFrame]
+    dimensions: Mapping[str, Callable[[Columns], DataFrame]]
+    fact_columns: Callable[[Columns], DataFrame]
 
-    def dim(self, name: str) -> DataFrame:
-        return self.dimensions[name]()
+    def dim(self, name: str, *columns: str) -> DataFrame:
+        return self.dimensions[name](columns).select(*columns)
 
     def fact(self, *columns: str) -> DataFrame:
         """The fact's named columns; ``year`` (of the race date) is always available."""

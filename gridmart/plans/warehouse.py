@@ -85,7 +85,7 @@ class Run:
     def star(self) -> Star:
         dims = [s.name for s in SPECS.values() if s is not FACT_RACE_RESULT]
         return Star(
-            {name: (lambda name=name: self.table(name)) for name in dims},
+            {name: (lambda columns, name=name: self.table(name)) for name in dims},
             lambda columns: self.table(FACT_RACE_RESULT.name),
         )
 

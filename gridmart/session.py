@@ -7,6 +7,8 @@ SETTINGS = {
     # Re-plan at run time: small sides become broadcasts, hot join partitions are split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot partition also where the next operator then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Wide projections of text cells exceed the method size that the JVM compiles; above it

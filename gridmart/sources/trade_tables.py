@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_attributes, date_key
 from ..functions.results import full_name, result_flags
 from ..operators.keys import first_rows
-from ..plans.star import Star
+from ..plans.star import Columns, Star
 from .text import ORDER
 
 # The order of a source row among rows with the same key; the rest of a row's place (file,
@@ -215,7 +215,7 @@ def trade_pit_stops(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _fact(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFrame:
+def _fact(spark: SparkSession, folder: str, columns: Columns) -> DataFrame:
     wanted = set(columns)
     items = read(spark, folder, "lineitem")
     grid, place = _grid(), F.when(~_retired(), F.col("l_linenumber"))
@@ -244,7 +244,7 @@ def _fact(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFra
 
 
 def trade_star(spark: SparkSession, folder: str) -> Star:
-    def drivers() -> DataFrame:
+    def drivers(columns: Columns) -> DataFrame:
         suppliers, nations = read(spark, folder, "supplier"), read(spark, folder, "nation")
         first = F.split_part("s_name", F.lit("#"), F.lit(1))
         last = F.split_part("s_name", F.lit("#"), F.lit(2))
@@ -252,22 +252,23 @@ def trade_star(spark: SparkSession, folder: str) -> Star:
             F.col("s_suppkey").alias("driver_id"), full_name(first, last).alias("full_name"),
             F.col("n_name").alias("nationality"))
 
-    def constructors() -> DataFrame:
+    def constructors(columns: Columns) -> DataFrame:
         return read(spark, folder, "part").select("p_brand").distinct().select(
             brand_number(F.col("p_brand")).cast("int").alias("constructor_id"), F.col("p_brand").alias("name"))
 
-    def circuits() -> DataFrame:
+    def circuits(columns: Columns) -> DataFrame:
         nations, regions = read(spark, folder, "nation"), read(spark, folder, "region")
         return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"], "left").select(
             F.col("n_nationkey").alias("circuit_id"), F.col("n_name").alias("name"),
             F.col("r_name").alias("country"))
 
-    def dates() -> DataFrame:
+    def dates(columns: Columns) -> DataFrame:
         days = read(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
         return days.select(*[c.alias(n) for n, c in date_attributes(F.col("date")).items()])
 
-    def races() -> DataFrame:
-        return _with_circuit(_races(spark, folder), spark, folder)
+    def races(columns: Columns) -> DataFrame:
+        rows = _races(spark, folder)
+        return _with_circuit(rows, spark, folder) if "circuit_id" in columns else rows
 
     return Star(
         {"dim_driver": drivers, "dim_constructor": constructors, "dim_circuit": circuits,
