@@ -1,0 +1,83 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmart.functions import cleaning, dates, results
+from gridmart.functions.typed import typed_value
+from gridmart.schemas import Field
+
+
+def one(spark, value, expression, kind="string"):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(expression(F.col("x"))).first()[0]
+
+
+@pytest.mark.parametrize("token", cleaning.NULL_TOKENS)
+def test_null_tokens(spark, token):
+    assert one(spark, token, cleaning.null_if_token) is None
+
+
+@pytest.mark.parametrize("text", ["X\\N", " NA ", "n/A", "nulls", "0", " "])
+def test_look_alikes_are_kept(spark, text):
+    assert one(spark, text, cleaning.null_if_token) == text
+
+
+def test_nan_becomes_null(spark):
+    assert one(spark, float("nan"), cleaning.null_if_nan, "double") is None
+    assert one(spark, 1.5, cleaning.null_if_nan, "double") == 1.5
+
+
+@pytest.mark.parametrize("text, kind, expected", [
+    ("44", "int", 44), ("44.0", "int", 44), ("40.0", "int", 40), ("-3.00", "int", -3), ("0.0", "int", 0),
+    ("44.5", "int", None), ("44.05", "int", None), ("abc", "int", None), ("3000000000", "int", None),
+    (".0", "int", None), ("3000000000", "long", 3000000000), (None, "int", None),
+    ("25.5", "decimal(5,2)", Decimal("25.50")), ("123456.7", "decimal(6,2)", None),
+    ("2024-02-29", "date", dt.date(2024, 2, 29)), ("2024-13-01", "date", None), ("2023-02-29", "date", None),
+    ("14:00:00", "time", "14:00:00"), ("25:00:00", "time", None), ("14:00", "time", None),
+    ("1:27.452", "lap", 87452), ("1:05.5", "lap", 65500), ("bad", "lap", None), ("1:61.0", "lap", None),
+    ("1:34:50.616", "lap", None), (None, "lap", None), ("0:59.999", "lap", 59999),
+])
+def test_typed_values(spark, text, kind, expected):
+    assert one(spark, text, lambda c: typed_value(c, Field("x", kind, "x"))) == expected
+
+
+def test_long_text_is_cut(spark):
+    assert one(spark, "ABCDE", lambda c: typed_value(c, Field("x", "text", "x", 3))) == "ABC"
+
+
+@pytest.mark.parametrize("day, expected", [
+    ("2024-03-03", (20240303, 2024, 3, 3, 1, 2020, "Marzo", "Domingo", True)),
+    ("2024-03-04", (20240304, 2024, 3, 4, 1, 2020, "Marzo", "Lunes", False)),
+    ("2024-02-29", (20240229, 2024, 2, 29, 1, 2020, "Febrero", "Jueves", False)),
+    ("1999-12-31", (19991231, 1999, 12, 31, 4, 1990, "Diciembre", "Viernes", False)),
+    ("2000-01-01", (20000101, 2000, 1, 1, 1, 2000, "Enero", "Sábado", True)),
+])
+def test_date_attributes(spark, day, expected):
+    row = spark.createDataFrame([(dt.date.fromisoformat(day),)], "d date").select(
+        *[c.alias(n) for n, c in dates.date_attributes(F.col("d")).items() if n != "date"]).first()
+    assert tuple(row) == expected
+    assert one(spark, expected[0], dates.year_of_key, "int") == expected[1]
+
+
+@pytest.mark.parametrize("finish, grid, points, status, expected", [
+    (1, 1, 25.0, 1, (True, True, True, True, True)),
+    (3, 0, 0.5, 11, (False, True, False, True, False)),
+    (4, 10, 0.0, 1, (False, False, False, False, True)),
+    (None, None, None, None, (False, False, False, False, False)),
+])
+def test_flags_are_two_valued(spark, finish, grid, points, status, expected):
+    row = spark.createDataFrame([(finish, grid, points, status)], "f int, g int, p double, s int")
+    flags = results.result_flags(F.col("f"), F.col("g"), F.col("p"), F.col("s"))
+    assert tuple(row.select(*flags.values()).first()) == expected
+
+
+def test_full_name_needs_both_parts(spark):
+    rows = spark.createDataFrame([("A", "B"), (None, "B"), ("A", None)], "f string, l string")
+    names = [r[0] for r in rows.select(results.full_name(F.col("f"), F.col("l"))).collect()]
+    assert names == ["A B", None, None]
+
+
+def test_ratios_of_nothing_are_null(spark):
+    assert one(spark, 0, lambda c: results.percentage(c, c), "long") is None
+    assert one(spark, 0, lambda c: results.ratio(c, c), "long") is None
