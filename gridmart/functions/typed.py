@@ -45,19 +45,20 @@ def is_lost(text: Column, value: Column) -> Column:
     return value.isNull() & text.isNotNull()
 
 
-def cell_issue(text: Column, value: Column, field: Field) -> Column | None:
-    """'column:nulled' or 'column:cut' when the typed value lost something, else NULL."""
+def issue_of(text: Column, value: Column, field: Field) -> tuple[str, Column] | None:
+    """What can go wrong with a cell of this field, and whether it did."""
     if field.kind != "text":
-        return F.when(is_lost(text, value), F.lit(f"{field.name}:nulled"))
+        return "nulled", is_lost(text, value)
     if field.length:
-        return F.when(F.length(text) > field.length, F.lit(f"{field.name}:cut"))
+        return "cut", F.length(text) > field.length
     return None
 
 
-def collect_issues(issues: list[Column | None]) -> Column:
-    """All issues of a row as one array, NULL when there are none."""
-    present = [issue for issue in issues if issue is not None]
-    if not present:
+def collect_issues(issues: dict[str, tuple[str, Column]]) -> Column:
+    """All issues of a row as an array of 'column:action', NULL when there are none."""
+    if not issues:
         return F.lit(None).cast("array<string>")
-    found = F.array_compact(F.array(*present))
-    return F.when(F.size(found) > 0, found)
+    labels = [F.when(found, F.lit(f"{name}:{action}")) for name, (action, found) in issues.items()]
+    # concat_ws skips NULLs inside generated code; array_compact would not.
+    joined = F.concat_ws(" ", *labels)
+    return F.when(joined != "", F.split(joined, " "))

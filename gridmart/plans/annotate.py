@@ -12,10 +12,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import null_if_token
 from ..functions.dates import date_attributes, date_key, iso_date
 from ..functions.results import full_name, result_flags
-from ..functions.cleaning import null_if_token
-from ..functions.typed import cell_issue, collect_issues, is_lost, typed_value
+from ..functions.typed import collect_issues, is_lost, issue_of, typed_value
 from ..operators.keys import first_rows, mark_first
 from ..operators.lookups import mark_parent
 from ..schemas import DIM_DATE, DIM_DRIVER, FACT_RACE_RESULT, Field, ForeignKey, TableSpec
@@ -29,32 +29,57 @@ VERDICT_COLUMNS = (REASON, ISSUES, SOURCE_KEY, BAD_LINE)
 Parents = Mapping[str, DataFrame]
 
 
+def _text(field: Field) -> Column:
+    return F.col(f"_text_{field.name}")
+
+
+def _parsed(raw: DataFrame, fields: list[Field]) -> DataFrame:
+    """Typed columns next to their cleaned text: each cell is cleaned and parsed once."""
+    if BAD_LINE not in raw.columns:
+        raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
+    cells = raw.select(
+        *[null_if_token(F.col(f.source)).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
+    return cells.select("*", *[typed_value(_text(f), f).alias(f.name) for f in fields])
+
+
+def _issues(fields: list[Field]) -> dict[str, tuple[str, Column]]:
+    found = {f.name: issue_of(_text(f), F.col(f.name), f) for f in fields}
+    return {name: issue for name, issue in found.items() if issue}
+
+
 def typed_rows(raw: DataFrame, spec: TableSpec, extra: tuple[Field, ...] = ()) -> DataFrame:
     """Declared columns in their types, plus issues, the raw text of a bad key, and order.
 
     ``raw`` is source text, with or without its null tokens.
     """
     fields = [*spec.source_fields, *extra]
-    if BAD_LINE not in raw.columns:
-        raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
-    # Tokens, then values, then verdicts on them: each cell is cleaned and parsed once.
-    text = {f.name: F.col(f"_text_{f.name}") for f in fields}
-    cells = raw.select(
-        *[null_if_token(F.col(f.source)).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
-    values = cells.select("*", *[typed_value(text[f.name], f).alias(f.name) for f in fields])
-    keys = [f.name for f in spec.source_fields if f.name in spec.required]
+    keys = [f for f in spec.source_fields if f.name in spec.required]
     bad_key = F.lit(False)
-    for name in keys:
-        bad_key = bad_key | is_lost(text[name], F.col(name))
-    key_text = F.concat_ws("|", *[F.coalesce(text[name], F.lit("")) for name in keys])
-    return values.select(
+    for f in keys:
+        bad_key = bad_key | is_lost(_text(f), F.col(f.name))
+    key_text = F.concat_ws("|", *[F.coalesce(_text(f), F.lit("")) for f in keys])
+    return _parsed(raw, fields).select(
         *[f.name for f in fields],
-        collect_issues([cell_issue(text[f.name], F.col(f.name), f) for f in fields]).alias(ISSUES),
+        collect_issues(_issues(fields)).alias(ISSUES),
         F.when(bad_key, key_text).alias(SOURCE_KEY),
         BAD_LINE, ORDER,
     )
 
 
+def cast_report(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Cells of source text that typing would null or cut, per column, in one aggregate."""
+    issues = _issues(spec.source_fields)
+    totals = _parsed(raw, spec.source_fields).agg(*[
+        F.count_if(found).alias(name) for name, (_, found) in issues.items()])
+    lines = F.array(*[
+        F.struct(
+            F.lit(spec.name).alias("table_name"), F.lit(name).alias("column_name"),
+            F.lit(action).alias("action"), F.col(name).alias("n_rows"))
+        for name, (action, _) in issues.items()
+    ])
+    return totals.select(F.inline(lines)).where("n_rows > 0")
+
+
 def _known(fk: ForeignKey) -> str:
     return f"_known_{fk.column}"
 
@@ -181,7 +206,7 @@ def outcome_counts(annotated: DataFrame, table: str) -> DataFrame:
 
 
 def issue_counts(annotated: DataFrame, table: str) -> DataFrame:
-    """Cells nulled or cut, per column of one table."""
+    """Cells nulled or cut, per column of a written table with its verdicts."""
     return (
         annotated.select(F.explode(ISSUES).alias("issue"))
         .groupBy("issue").agg(F.count("*").alias("n_rows"))

@@ -20,8 +20,8 @@ from ..sources import trade_tables as trade
 from ..sources.text import ORDER
 from . import analytics, quality
 from .annotate import (
-    REASON, SOURCE_KEY, accepted, accepted_keys, annotate_dimension, annotate_fact, date_dimension, issue_counts,
-    outcome_counts, race_lookup, rejected, typed_results, typed_rows,
+    REASON, SOURCE_KEY, accepted, accepted_keys, annotate_dimension, annotate_fact, cast_report,
+    date_dimension, outcome_counts, race_lookup, rejected, typed_results, typed_rows,
 )
 from .star import Star
 
@@ -42,23 +42,28 @@ class _Tables:
     def _keep(self, rows: DataFrame, condition: Column) -> DataFrame:
         return rows.where(condition) if self.incomplete else rows
 
-    def typed(self, spec: TableSpec, target: TableSpec | None = None) -> DataFrame:
-        raw = {
+    def raw(self, spec: TableSpec) -> DataFrame:
+        if spec is FACT_RACE_RESULT:
+            return trade.raw_results(self.spark, self.folder, self.flawed)
+        read = {
             DIM_DRIVER.name: trade.raw_drivers, DIM_CONSTRUCTOR.name: trade.raw_constructors,
             DIM_CIRCUIT.name: trade.raw_circuits, DIM_RACE.name: trade.raw_races,
             DIM_STATUS.name: trade.raw_status,
-        }
-        rows = raw[spec.name](self.spark, self.folder)
+        }[spec.name]
+        rows = read(self.spark, self.folder)
         if spec is DIM_DRIVER:
             rows = self._keep(rows, F.col("url") != "N/A")
         if spec is DIM_CONSTRUCTOR:
             rows = self._keep(rows, F.col("constructorId").cast("int") <= 20)
         if spec is DIM_CIRCUIT:
             rows = self._keep(rows, F.col("country") != "AFRICA")
-        return typed_rows(rows, target or spec)
+        return rows
+
+    def typed(self, spec: TableSpec) -> DataFrame:
+        return typed_rows(self.raw(spec), spec)
 
     def results(self) -> DataFrame:
-        return typed_results(trade.raw_results(self.spark, self.folder, self.flawed))
+        return typed_results(self.raw(FACT_RACE_RESULT))
 
     def dimension(self, spec: TableSpec) -> DataFrame:
         """A dimension with the verdict of each source row."""
@@ -80,7 +85,7 @@ class _Tables:
         if spec is DIM_DATE:
             return self.dates().select(*spec.key)
         parents = {DIM_CIRCUIT.name: self.keys(DIM_CIRCUIT)} if spec is DIM_RACE else {}
-        keys = accepted_keys(self.typed(spec, spec.only_required()), spec, parents)
+        keys = accepted_keys(typed_rows(self.raw(spec), spec.only_required()), spec, parents)
         # Few keys out of many rows: Spark cannot know that they are few.
         return broadcast_when_small(keys) if spec is DIM_CONSTRUCTOR else keys
 
@@ -101,9 +106,9 @@ def _null_token_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def _typed_cast_report(spark: SparkSession, folder: str) -> DataFrame:
     tables = _Tables(spark, folder, flawed=True)
-    report = issue_counts(tables.results(), FACT_RACE_RESULT.name)
+    report = cast_report(tables.raw(FACT_RACE_RESULT), FACT_RACE_RESULT)
     for spec in (DIM_DRIVER, DIM_CONSTRUCTOR, DIM_CIRCUIT, DIM_RACE):
-        report = report.unionByName(issue_counts(tables.typed(spec), spec.name))
+        report = report.unionByName(cast_report(tables.raw(spec), spec))
     return report
 
 
