@@ -114,9 +114,13 @@ def _judged(typed: DataFrame, spec: TableSpec, parents: Parents,
 
 
 def accepted_keys(typed: DataFrame, spec: TableSpec, parents: Parents | None = None) -> DataFrame:
-    """Keys that the table will hold: those of any sound row (which row wins does not matter)."""
+    """Keys that the table will hold: those of any sound row (which row wins does not matter).
+
+    The rebalance detaches the keys from the partitioning of the distinct, so that a join to
+    them shuffles both sides itself. Only then does Spark split a hot key of the other side.
+    """
     frame, sound = _judged(typed, spec, parents or {}, list(spec.foreign_keys))
-    return frame.where(sound).select(*spec.key).distinct()
+    return frame.where(sound).select(*spec.key).distinct().hint("rebalance")
 
 
 def annotate(typed: DataFrame, spec: TableSpec, parents: Parents,
