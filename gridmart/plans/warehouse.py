@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import year_of_key
+from ..functions.typed import typed_value
 from ..schemas import (
     DIM_CIRCUIT, DIM_CONSTRUCTOR, DIM_DATE, DIM_DRIVER, DIM_RACE, DIM_STATUS,
-    FACT_RACE_RESULT, SPECS, TableSpec,
+    FACT_RACE_RESULT, PIT_STOP_FIELDS, SPECS, TableSpec,
 )
 from ..sources.text import BAD_LINE, ORDER, read_text_table
 from .annotate import (
@@ -181,6 +182,14 @@ def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = F
     return run
 
 
+def read_pit_stops(spark: SparkSession, path: str) -> DataFrame:
+    """Typed pit stops, which no table of the star holds; a malformed line has no values."""
+    rows = read_text_table(spark, path)
+    sound = F.col(BAD_LINE).isNull()
+    return rows.select(
+        *[F.when(sound, typed_value(F.col(f.source), f)).alias(f.name) for f in PIT_STOP_FIELDS], BAD_LINE)
+
+
 def open_warehouse(spark: SparkSession, warehouse: str) -> Run:
     """The run published last."""
     latest = spark.read.parquet(f"{warehouse}/published").agg(F.max_by("run_id", "at")).first()[0]

@@ -1,0 +1,106 @@
+"""Questions on a small star whose answers can be read off the rows."""
+
+from decimal import Decimal
+
+import pytest
+
+from gridmart.plans import analytics
+from gridmart.plans.star import Star
+from gridmart.plans.warehouse import read_pit_stops
+
+# race, driver, constructor, circuit, date_id, points, finish, grid
+RESULTS = [
+    (1, 1, 1, 1, 19990501, 10, 1, 1),
+    (1, 2, 1, 1, 19990501, 6, 2, 3),
+    (2, 2, 1, 2, 19990601, 10, 1, 12),
+    (2, 1, 2, 2, 19990601, 0, None, 0),
+    (3, 3, 2, 1, 20000301, 10, 1, 1),
+    (3, 1, 1, 1, 20000301, 6, 2, 2),
+    (4, 1, 1, 1, 20000401, 10, 1, 0),
+    (4, 3, 2, 1, 20000401, 6, 2, 1),
+]
+DRIVERS = [(1, "Ána Uno", "A"), (2, "Bea Dos", "B"), (3, "Cai Tres", "C")]
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    fact = spark.createDataFrame(
+        [(r, d, c, k, t, Decimal(p), f, g, f == 1, f is not None and f <= 3, g == 1, p > 0, f is not None, t // 10000)
+         for r, d, c, k, t, p, f, g in RESULTS],
+        "race_id bigint, driver_id bigint, constructor_id int, circuit_id int, date_id int, points decimal(5,2), "
+        "finish_pos int, grid_pos int, is_win boolean, is_podium boolean, is_pole boolean, is_scoring boolean, "
+        "is_finished boolean, year int")
+    dates = sorted({r[4] for r in RESULTS})
+    dims = {
+        "dim_driver": spark.createDataFrame(DRIVERS, "driver_id bigint, full_name string, nationality string"),
+        "dim_constructor": spark.createDataFrame([(1, "Red"), (2, "Blue")], "constructor_id int, name string"),
+        "dim_circuit": spark.createDataFrame([(1, "One"), (2, "Two")], "circuit_id int, name string"),
+        "dim_date": spark.createDataFrame([(d, d // 10000) for d in dates], "date_id int, year int"),
+        "dim_race": spark.createDataFrame(
+            sorted({(r[0], r[4] // 10000) for r in RESULTS}), "race_id bigint, year int"),
+    }
+    return Star({name: (lambda columns, df=df: df) for name, df in dims.items()}, lambda columns: fact)
+
+
+def values(df, *columns):
+    return [tuple(r[c] for c in columns) for r in df.collect()]
+
+
+def test_champions_tie_on_titles(star):
+    # 1999: driver 2 (16 points); 2000: drivers 1 and 3 have 16 points and 1 win, the lower id counts.
+    assert sorted(values(analytics.champions(star), "driver_id", "championships")) == [(1, 1), (2, 1)]
+
+
+def test_most_wins_keep_ties(star):
+    assert sorted(values(analytics.decade_dominance(star), "decade", "driver_id")) == [
+        (1990, 1), (1990, 2), (2000, 1), (2000, 3)]
+    assert sorted(values(analytics.year_winners(star), "year", "driver_id", "wins")) == [
+        (1999, 1, 1), (1999, 2, 1), (2000, 1, 1), (2000, 3, 1)]
+    assert sorted(values(analytics.circuit_drivers(star), "circuit_name", "driver_id", "wins")) == [
+        ("One", 1, 2), ("Two", 2, 1)]
+    assert sorted(values(analytics.circuit_teams(star), "circuit_name", "constructor_name", "wins")) == [
+        ("One", "Red", 2), ("Two", "Red", 1)]
+
+
+def test_top_lists(star):
+    assert values(analytics.top_drivers(star, 2), "driver_id", "races", "wins", "podiums", "points") == [
+        (1, 4, 2, 3, 26.0), (2, 2, 1, 2, 16.0)]
+    assert values(analytics.top_poles(star), "driver_id", "poles") == [(3, 2), (1, 1)]
+    assert values(analytics.pole_conversion(star), "driver_id", "conversion") == [(1, 1.0), (3, 0.5)]
+    assert values(analytics.pole_conversion(star, min_poles=2), "driver_id") == [(3,)]
+
+
+def test_ratios_and_counts(star):
+    assert values(analytics.pole_to_win_pct(star), "pole_to_win_pct") == [(50.0,)]
+    assert values(analytics.points_per_race(star), "constructor_name", "races", "points", "points_per_race") == [
+        ("Red", 4, 42.0, 10.5), ("Blue", 3, 16.0, 5.333333)]
+    assert values(analytics.one_two(star), "constructor_name", "one_twos") == [("Red", 1)]
+    # A start from the pit lane (grid 0) is not outside the top places.
+    assert values(analytics.outside_top_k(star), "wins_outside_top_k") == [(1,)]
+
+
+def test_season_form(star):
+    rows = values(analytics.season_form(star, driver_id=1), "race_id", "grid_pos", "finish_pos", "gain", "finish_change")
+    assert sorted(rows) == [(1, 1, 1, 0, None), (2, 0, None, None, None), (3, 2, 2, 0, None), (4, 0, 1, -1, -1)]
+    assert len(values(analytics.season_form(star, year=1999), "race_id")) == 4
+    assert len(values(analytics.season_form(star), "race_id")) == len(RESULTS)
+
+
+def test_driver_by_year(star):
+    got = values(analytics.driver_by_year(star, "Ána Uno"), "year", "races", "points", "wins", "avg_finish")
+    assert got == [(1999, 2, 10.0, 1, 1.0), (2000, 2, 16.0, 1, 1.5)]
+    assert values(analytics.driver_by_year(star, "ana uno"), "year") == []
+    assert values(analytics.driver_by_year(star, "ana uno", "UNICODE_CI_AI"), "year") == [(1999,), (2000,)]
+    assert len(values(analytics.driver_by_year(star), "year")) == 4
+
+
+def test_pit_trend(spark, star, tmp_path):
+    path = tmp_path / "pit_stops.csv"
+    path.write_text(
+        "raceId,driverId,stop,lap,time,duration,milliseconds\n"
+        "1,1,1,10,x,x,20000\n1,2,1,10,x,x,24001\n2,1,1,10,x,x,22000\n3,1,1,9,x,x,30000\n3,1,2,9,x,x,\\N\n3,1,3\n")
+    stops = read_pit_stops(spark, str(path))
+    assert dict(stops.dtypes)["duration_ms"] == "bigint"
+    assert stops.count() == 6
+    got = values(analytics.pit_trend(star, stops), "year", "stops", "avg_ms", "median_ms", "change_ms")
+    assert sorted(got) == [(1999, 3, 22000.333333, 22000.0, None), (2000, 1, 30000.0, 30000.0, 7999.666667)]
