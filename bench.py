@@ -25,7 +25,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
-    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=cpus)
+    spark = build_session("bench", f"local[{cpus}]", shuffle_partitions=cpus, driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:

@@ -19,7 +19,7 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "gridmart", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """A session with the settings above; cluster settings come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -28,4 +28,6 @@ def build_session(app_name: str = "gridmart", master: str | None = None,
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
