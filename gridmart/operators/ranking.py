@@ -25,22 +25,20 @@ def with_previous(df: DataFrame, group: Sequence[str], block: Sequence[str], row
     ``block`` columns cut each group into ordered pieces. Neighbours are found inside the
     pieces; the first row of a piece takes the last value of the piece before it. So a hot
     group is spread over its pieces, and only one row per piece meets in the group window.
+    Both halves read the same shuffle.
     """
-    pieces = [*group, *block]
-    in_piece = Window.partitionBy(*pieces).orderBy(row_id)
+    pieces = Window.partitionBy(*group, *block)
+    in_piece = pieces.orderBy(row_id)
+    whole_piece = in_piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = df.withColumns({
         "_nth": F.row_number().over(in_piece),
         "_before": F.lag(value).over(in_piece),
+        "_last": F.last(value).over(whole_piece),
     })
-    last_of_piece = df.groupBy(*pieces).agg(F.max_by(value, row_id).alias("_last"))
-    carried = last_of_piece.withColumn(
-        "_carried", F.lag("_last").over(Window.partitionBy(*group).orderBy(*block))
-    ).drop("_last")
-    return (
-        rows.join(carried, pieces, "left")
-        .withColumn(output, F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_before")))
-        .drop("_nth", "_before", "_carried")
-    )
+    across = Window.partitionBy(*group).orderBy(*block)
+    firsts = rows.where("_nth = 1").withColumn(output, F.lag("_last").over(across))
+    others = rows.where("_nth > 1").withColumn(output, F.col("_before"))
+    return firsts.unionByName(others).drop("_nth", "_before", "_last")
 
 
 def exact_median(counts: DataFrame, group: str, value: str, n: str, bucket_size: int = 1000) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import null_if_token
-from ..functions.dates import date_attributes, date_key, iso_date
+from ..functions.dates import date_attributes, date_key
 from ..functions.results import full_name, result_flags
 from ..functions.typed import collect_issues, is_lost, issue_of, typed_value
 from ..operators.keys import first_rows, mark_first
@@ -161,9 +161,10 @@ def annotate_dimension(typed: DataFrame, spec: TableSpec, parents: Parents | Non
     return frame.select(*spec.columns, *VERDICT_COLUMNS, ORDER)
 
 
-def date_dimension(raw_races: DataFrame) -> DataFrame:
+def date_dimension(typed_races: DataFrame) -> DataFrame:
     """One row per distinct race date, with every calendar attribute."""
-    dates = raw_races.select(iso_date(F.col("date")).alias("date")).where("date is not null").distinct()
+    sound = F.col("date").isNotNull() & F.col(BAD_LINE).isNull()
+    dates = typed_races.where(sound).select("date").distinct()
     return dates.select(*[c.alias(n) for n, c in date_attributes(F.col("date")).items()]).select(*DIM_DATE.columns)
 
 

@@ -73,8 +73,7 @@ class _Tables:
         return annotate_dimension(self.typed(spec), spec, parents)
 
     def dates(self) -> DataFrame:
-        return self._keep(
-            date_dimension(trade.raw_races(self.spark, self.folder)), F.col("weekday_name") != "Domingo")
+        return self._keep(date_dimension(self.typed(DIM_RACE)), F.col("weekday_name") != "Domingo")
 
     def keys(self, spec: TableSpec) -> DataFrame:
         if spec.name not in self._keys:
@@ -118,7 +117,7 @@ def _critical_null_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    return date_dimension(trade.raw_races(spark, folder))
+    return _Tables(spark, folder).dates()
 
 
 def _fact_lookup_left(spark: SparkSession, folder: str) -> DataFrame:

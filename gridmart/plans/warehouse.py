@@ -167,9 +167,9 @@ def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = F
         plain.append((DIM_STATUS, "status"))
     for spec, name in plain:
         _write(annotate_dimension(staged(name, spec), spec), spec, run)
-    _write(_without_verdict(date_dimension(raw("races"))), DIM_DATE, run)
-    circuits = run.keys(DIM_CIRCUIT.name)
     races = staged("races", DIM_RACE)
+    _write(_without_verdict(date_dimension(races)), DIM_DATE, run)
+    circuits = run.keys(DIM_CIRCUIT.name)
     _write(annotate_dimension(races, DIM_RACE, {DIM_CIRCUIT.name: circuits}), DIM_RACE, run)
 
     results = _stage(typed_results(raw("results")), run, "results")

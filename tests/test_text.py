@@ -1,3 +1,5 @@
+import pytest
+
 from gridmart.sources.text import BAD_LINE, ORDER, read_text_table
 
 
@@ -61,3 +63,22 @@ def test_order_follows_the_file_across_blocks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert ids == list(range(n))
+
+
+def test_a_file_with_another_header_is_refused(spark, tmp_path):
+    """Files of one table must agree; cells never end up under the wrong name."""
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    write(folder, "part-0.csv", "id,a\n1,x\n")
+    write(folder, "part-1.csv", "a,id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_text_table(spark, str(folder)).collect()
+
+
+def test_many_files_are_one_table_in_name_order(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    for i in reversed(range(12)):
+        write(folder, f"part-{i:02d}.csv", f"id\n{i}a\n{i}b\n")
+    ids = [r.id for r in read_text_table(spark, str(folder)).orderBy(ORDER).collect()]
+    assert ids == [f"{i}{x}" for i in range(12) for x in "ab"]
