@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_REPEAT  timed runs per query after one warm-up, best counts (default 2)
+BENCH_REPEAT  timed runs per query after one warm-up, best counts (default 1)
 BENCH_QUERIES comma-separated names (default: all registered queries)
 """
 
@@ -23,7 +23,7 @@ from gridmart.session import build_session  # noqa: E402
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     spark = build_session("bench", f"local[{cpus}]", shuffle_partitions=cpus, driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
