@@ -14,9 +14,13 @@ NULL_TOKENS = (
 )
 
 
-def null_if_token(cell: Column) -> Column:
+_TOKEN_LIST = ", ".join(f"r'{token}'" for token in NULL_TOKENS)
+
+
+def null_if_token(name: str) -> Column:
     """NULL when the whole cell is a null token, otherwise the cell unchanged."""
-    return F.when(~cell.isin(*NULL_TOKENS), cell)
+    # As SQL text: one call to the JVM per column instead of one per token.
+    return F.expr(f"CASE WHEN `{name}` NOT IN ({_TOKEN_LIST}) THEN `{name}` END")
 
 
 def null_if_nan(number: Column) -> Column:
@@ -27,4 +31,4 @@ def null_if_nan(number: Column) -> Column:
 def blank_null_tokens(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Apply :func:`null_if_token` to the named columns (default: every text column)."""
     names = list(columns) if columns is not None else [n for n, t in df.dtypes if t == "string"]
-    return df.withColumns({name: null_if_token(F.col(name)) for name in names})
+    return df.withColumns({name: null_if_token(name) for name in names})

@@ -38,7 +38,7 @@ def _parsed(raw: DataFrame, fields: list[Field]) -> DataFrame:
     if BAD_LINE not in raw.columns:
         raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
     cells = raw.select(
-        *[null_if_token(F.col(f.source)).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
+        *[null_if_token(f.source).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
     return cells.select("*", *[typed_value(_text(f), f).alias(f.name) for f in fields])
 
 

@@ -122,15 +122,20 @@ def _write(frame: DataFrame, spec: TableSpec, run: Run) -> None:
     """Write accepted and rejected rows in one job, in well-sized files.
 
     ``rebalance`` groups rows by output folder, so that tasks do not each write a small file
-    per folder, and splits the folders that hold many rows.
+    per folder, and splits the folders that hold many rows. The sort inside the tasks extends
+    the one that a write into folders needs anyway.
     """
-    outcome = F.when(F.col(REASON).isNull(), F.lit(ACCEPTED)).otherwise(F.lit(REJECTED))
-    frame = frame.withColumn(OUTCOME, outcome)
+    is_rejected = F.col(REASON).isNotNull()
+    frame = frame.withColumns({
+        OUTCOME: F.when(is_rejected, F.lit(REJECTED)).otherwise(F.lit(ACCEPTED)),
+        # Only a rejected row has to be found again in its file.
+        ORDER: F.when(is_rejected, F.col(ORDER)),
+    })
     if "year" in spec.partition_by:
         frame = frame.withColumn("year", year_of_key(F.col("date_id")))
     folders = _folders(spec)
     (
-        frame.hint("rebalance", *folders)
+        frame.hint("rebalance", *folders).sortWithinPartitions(*folders, *spec.sort_by)
         .write.mode("errorifexists").partitionBy(*folders).parquet(f"{run.path}/tables/{spec.name}")
     )
 
