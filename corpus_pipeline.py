@@ -13,11 +13,17 @@ from gridmart.llm.common import new_folder, table
 from gridmart.llm.exact_dedup import drop_exact_duplicates
 from gridmart.llm.mixing import mix_sources
 from gridmart.llm.packing import op8_binary_packing
+from gridmart.llm.quality import keep_good, learn
 from gridmart.llm.simhash import keep_one_of_near
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on these documents' labels, does not reject."""
+    return keep_good(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
     return drop_exact_duplicates(docs)
@@ -39,6 +45,7 @@ def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_stage),
     ("simhash_dedup", near_stage),
     ("mix_sources", mix_stage),
