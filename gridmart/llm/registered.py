@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from gridmart.llm.html_text import op5_main_text
 from gridmart.llm.langid import op1_language_id
 from gridmart.llm.mixing import OP10_SQL, op10_mix_sources
 from gridmart.llm.packing import op8_binary_packing
+from gridmart.llm.pii import op4_personal_data
 from gridmart.llm.quality import op7_quality
 from gridmart.llm.secrets import op6_secret_scan
 from gridmart.llm.simhash import op2_simhash_dedup
@@ -21,6 +23,8 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_personal_data": op4_personal_data,
+    "op5_main_text": op5_main_text,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality": op7_quality,
     "op8_binary_packing": op8_binary_packing,
