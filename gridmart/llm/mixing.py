@@ -44,7 +44,7 @@ def poisson_quantile(u: Column, mean: Column) -> Column:
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col: str, text_col: str) -> DataFrame:
     """(`source`, `rate`): the mean repetition of each source's documents at the target weights; the
-    mix is as large as the input. A source without a text has rate 1."""
+    mix is as large as the input. A source of empty texts alone has rate 1 (0 if it has no weight)."""
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("size"))
     if weights is None:
@@ -56,7 +56,7 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col:
     total = weighed.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
     scale = F.lit(float(total["size"] or 0) / (total["weight"] or 1.0))
     return weighed.select("source", F.when(F.col("size") > 0, F.col("weight") * scale / F.col("size")).otherwise(
-        F.lit(1.0)).alias("rate"))
+        F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed: str = SEED, id_col: str = "doc_id",
