@@ -13,9 +13,10 @@ def main() -> None:
     parser.add_argument("source", help="folder with the source files")
     parser.add_argument("warehouse", help="folder for the tables, shared by all executors")
     parser.add_argument("--status", action="store_true", help="load the status table too")
+    parser.add_argument("--multiline", action="store_true", help="allow line breaks inside quotes")
     args = parser.parse_args()
     spark = build_session("gridmart-load")
-    run = load(spark, args.source, args.warehouse, args.status)
+    run = load(spark, args.source, args.warehouse, args.status, args.multiline)
     star = run.star()
     names = [spec.name for spec in LOAD_ORDER]
     for report in (

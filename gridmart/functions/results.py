@@ -30,12 +30,13 @@ def result_flags(finish: Column, grid: Column, points: Column, status: Column) -
 
 
 def lap_time_ms(text: Column) -> Column:
-    """'1:27.452' to 87452; NULL when the text is not minutes:seconds."""
+    """'2:41.007' to 161007; NULL when the text is not minutes:seconds."""
     parts = F.split(text, ":")
     minutes = F.get(parts, F.lit(0)).try_cast("long")
     seconds = F.get(parts, F.lit(1)).try_cast("decimal(8,3)")
     valid = (F.size(parts) == 2) & (minutes >= 0) & (seconds >= 0) & (seconds < 60)
-    return F.when(valid, minutes * 60000 + (seconds * 1000).cast("long"))
+    # Minutes beyond the range of a long are as malformed as letters.
+    return F.when(valid, F.try_add(F.try_multiply(minutes, F.lit(60000)), (seconds * 1000).cast("long")))
 
 
 def percentage(part: Column, whole: Column) -> Column:

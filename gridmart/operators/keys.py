@@ -18,16 +18,25 @@ def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def mark_first(df: DataFrame, candidate: Column, key: Sequence[str], order: str,
-               marker: str) -> DataFrame:
-    """Add a boolean: is this row the first candidate of its key?
+def repeated_keys(df: DataFrame, key: Sequence[str], order: str, first: str) -> DataFrame:
+    """Keys that more than one row has, each with the order of its first row.
 
-    ``order`` must be unique per row. The marking join runs on key *and* order, so the rows
-    of one hot key spread over all tasks instead of meeting in one.
+    Counts and minima are partial aggregates: a key that holds a large share of the rows
+    sends one row per task, and keys that are not repeated end here.
     """
-    names = [*key, order]
-    firsts = first_rows(df.where(candidate).select(*names), key, [order])
-    firsts = firsts.withColumn(marker, F.lit(True))
-    marked = df.join(firsts, names, "left")
-    return marked.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
+    counts = df.groupBy(*key).agg(F.count("*").alias("_n"), F.min(order).alias(first))
+    return counts.where("_n > 1").drop("_n")
 
+
+def mark_first(df: DataFrame, candidates: DataFrame, key: Sequence[str], order: str, marker: str) -> DataFrame:
+    """Add a boolean: is no candidate of the row's key before it?
+
+    ``candidates`` has the key and order of the rows that compete; ``order`` must be unique
+    per row. Rows meet only the list of repeated keys, which is short in sound data: Spark
+    can broadcast it, or split a hot key of the rows in a join of two shuffles.
+    """
+    names = [f"_repeated_{name}" for name in key]
+    repeated = repeated_keys(candidates, key, order, "_first").toDF(*names, "_first")
+    same = [df[name] == repeated[other] for name, other in zip(key, names)]
+    marked = df.join(repeated, same, "left")
+    return marked.withColumn(marker, F.col("_first").isNull() | (F.col(order) <= F.col("_first"))).drop(*names, "_first")

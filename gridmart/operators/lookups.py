@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+def mark_parent(df: DataFrame, parent_keys: DataFrame | Column, column: str, marker: str) -> DataFrame:
+    """Add a boolean: does ``column`` exist in the (unique) one-column ``parent_keys``?
 
-
-def broadcast_when_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the rows; larger frames keep a shuffled join.
-
-    For narrow key lists derived by an aggregate, whose size Spark would estimate from the
-    whole input below it. Written tables do not need it: their file size is known.
+    Where the parent is made from the very rows that refer to it, ``parent_keys`` may be the
+    condition under which it holds a row; that needs no join.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def mark_parent(df: DataFrame, parent_keys: DataFrame, column: str, marker: str) -> DataFrame:
-    """Add a boolean: does ``column`` exist in the (unique) one-column ``parent_keys``?"""
+    if isinstance(parent_keys, Column):
+        return df.withColumn(marker, F.coalesce(parent_keys, F.lit(False)))
     keys = parent_keys.toDF("_parent_key").withColumn(marker, F.lit(True))
     joined = df.join(keys, df[column] == keys["_parent_key"], "left").drop("_parent_key")
     return joined.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))

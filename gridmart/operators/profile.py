@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STATS = ("non_null", "nulls", "min", "max", "avg", "stddev")
+from ..functions.cleaning import null_if_nan
+from ..functions.dates import iso_date
+
+_STATS = ("data_type", "non_null", "nulls", "min", "max", "avg", "stddev")
 
 
 def _as_number(column: Column, kind: str) -> Column:
@@ -13,29 +16,54 @@ def _as_number(column: Column, kind: str) -> Column:
         return column.try_cast("double")
     if kind in ("date", "boolean") or kind.startswith("timestamp"):
         return F.lit(None).cast("double")
-    return column.cast("double")
+    return null_if_nan(column.cast("double")) if kind in ("float", "double") else column.cast("double")
+
+
+def _range(column: Column, number: Column) -> list[Column]:
+    """Least and greatest value with its text, by number and by text."""
+    by_number = F.when(number.isNotNull(), F.struct(number.alias("n"), column.cast("string").alias("t")))
+    return [F.min(by_number)["t"], F.max(by_number)["t"], F.min(column).cast("string"), F.max(column).cast("string")]
+
+
+def _of_text(column: Column, number: Column) -> Column:
+    """The type that all texts of a column fit: bigint, double or date; else string."""
+    known = F.count(column)
+    return (
+        F.when(known == 0, F.lit("string"))
+        .when(F.count(column.try_cast("bigint")) == known, F.lit("bigint"))
+        .when(F.count(number) == known, F.lit("double"))
+        .when(F.count(iso_date(column)) == known, F.lit("date"))
+        .otherwise(F.lit("string"))
+    )
 
 
 def _moments(df: DataFrame) -> DataFrame:
-    """Everything but the distinct counts, in one aggregate without keys."""
+    """Everything but the distinct counts, in one aggregate without keys.
+
+    Text gets the type that all its values fit; numbers in text are compared as numbers.
+    """
     stats = [F.count("*").alias("n_rows")]
     for i, (name, kind) in enumerate(df.dtypes):
         column = F.col(f"`{name}`")
         number = _as_number(column, kind)
+        low, high, first, last = _range(column, number)
+        found = _of_text(column, number) if kind == "string" else F.lit(kind)
+        numeric = found.isin("bigint", "double") if kind == "string" else F.lit(False)
         stats += [
+            found.alias(f"data_type_{i}"),
             F.count(column).alias(f"non_null_{i}"),
             (F.count("*") - F.count(column)).alias(f"nulls_{i}"),
-            F.min(column).cast("string").alias(f"min_{i}"),
-            F.max(column).cast("string").alias(f"max_{i}"),
+            F.when(numeric, low).otherwise(first).alias(f"min_{i}"),
+            F.when(numeric, high).otherwise(last).alias(f"max_{i}"),
             F.avg(number).alias(f"avg_{i}"),
             F.stddev_samp(number).alias(f"stddev_{i}"),
         ]
     lines = F.array(*[
         F.struct(
-            F.lit(name).alias("column_name"), F.lit(kind).alias("data_type"), F.col("n_rows"),
+            F.lit(name).alias("column_name"), F.col("n_rows"),
             *[F.col(f"{stat}_{i}").alias(stat) for stat in _STATS],
         )
-        for i, (name, kind) in enumerate(df.dtypes)
+        for i, name in enumerate(df.columns)
     ])
     return df.agg(*stats).select(F.inline(lines))
 
@@ -60,6 +88,6 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return profile.withColumn("distinct", F.coalesce("distinct", F.lit(0)))
 
 
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """A few rows to look at."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first n rows in an order, to look at."""
+    return df.orderBy(*order).limit(n)

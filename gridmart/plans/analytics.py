@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import decade_of
+from ..functions.dates import date_key, decade_of
 from ..functions.results import percentage, ratio
 from ..operators.ranking import best_in_group, exact_median, with_previous
 from .star import Star
@@ -76,10 +76,14 @@ def top_drivers(star: Star, n: int = 10) -> DataFrame:
     return totals.join(drivers, "driver_id").orderBy(F.desc("wins"), F.desc("points"), "driver_id").limit(n)
 
 
-def top_poles(star: Star, n: int = 10) -> DataFrame:
-    """The n drivers with the most pole positions."""
+def _at_most(rows: DataFrame, n: int | None) -> DataFrame:
+    return rows if n is None else rows.limit(n)
+
+
+def top_poles(star: Star, n: int | None = None) -> DataFrame:
+    """Drivers with a pole position, most first; only n of them if n is given."""
     poles = star.fact("driver_id", "is_pole").where("is_pole").groupBy("driver_id").agg(F.count("*").alias("poles"))
-    return poles.join(_drivers(star), "driver_id").orderBy(F.desc("poles"), "driver_id").limit(n)
+    return _at_most(poles.join(_drivers(star), "driver_id").orderBy(F.desc("poles"), "driver_id"), n)
 
 
 def circuit_drivers(star: Star) -> DataFrame:
@@ -95,13 +99,14 @@ def pole_to_win_pct(star: Star) -> DataFrame:
         .alias("pole_to_win_pct"))
 
 
-def pole_conversion(star: Star, min_poles: int = 1, n: int = 10) -> DataFrame:
-    """The n drivers who turn most of their poles into wins."""
+def pole_conversion(star: Star, min_poles: int = 1, n: int | None = None) -> DataFrame:
+    """Drivers by the share of their poles that they turn into wins; only n of them if n is given."""
     poles = star.fact("driver_id", "is_pole", "is_win").where("is_pole").groupBy("driver_id").agg(
         F.count("*").alias("poles"), F.count_if("is_win").alias("wins_from_pole"))
     rated = poles.where(F.col("poles") >= min_poles).withColumn(
         "conversion", F.round(ratio(F.col("wins_from_pole"), F.col("poles")), 6))
-    return rated.join(_drivers(star), "driver_id").orderBy(F.desc("conversion"), F.desc("poles"), "driver_id").limit(n)
+    ordered = rated.join(_drivers(star), "driver_id").orderBy(F.desc("conversion"), F.desc("poles"), "driver_id")
+    return _at_most(ordered, n)
 
 
 def points_per_race(star: Star) -> DataFrame:
@@ -159,20 +164,26 @@ _RACES_PER_BLOCK = 1 << 22
 def season_form(star: Star, driver_id: int | None = None, year: int | None = None) -> DataFrame:
     """Start, finish and gain per race, with the change of finish from the previous race.
 
-    For one driver and year, or for all of them. Races are ordered by date and id.
+    For one driver and year, or for all of them. Races are ordered by date and id; season,
+    round and date come with one join to the races.
     """
-    fact = star.fact("driver_id", "year", "date_id", "race_id", "grid_pos", "finish_pos")
+    if year is None:
+        fact = star.fact("driver_id", "race_id", "grid_pos", "finish_pos")
+    else:
+        # Only the year's folders are read.
+        fact = star.fact("driver_id", "race_id", "grid_pos", "finish_pos", "year").where(F.col("year") == year).drop("year")
     if driver_id is not None:
         fact = fact.where(F.col("driver_id") == driver_id)
-    if year is not None:
-        fact = fact.where(F.col("year") == year)
+    races = star.dim("dim_race", "race_id", "round", "date")
+    races = races.select("race_id", "round", F.year("date").alias("year"), date_key(F.col("date")).alias("date_id"))
+    fact = fact.join(races, "race_id")
     # Days, and blocks of race ids within a day, keep the windows of a busy season small.
     blocks = fact.withColumn("_block", F.floor(F.col("race_id") / _RACES_PER_BLOCK))
     form = with_previous(blocks, ["driver_id", "year"], ["date_id", "_block"], "race_id", "finish_pos", "_previous")
     return form.select(
-        "driver_id", "year", "date_id", "race_id", "grid_pos", "finish_pos",
-        (F.col("grid_pos") - F.col("finish_pos")).alias("gain"),
-        (F.col("finish_pos") - F.col("_previous")).alias("finish_change"),
+        "driver_id", "year", "round", "date_id", "race_id", "grid_pos", "finish_pos",
+        F.try_subtract(F.col("grid_pos"), F.col("finish_pos")).alias("gain"),
+        F.try_subtract(F.col("finish_pos"), F.col("_previous")).alias("finish_change"),
     )
 
 

@@ -24,9 +24,10 @@ from ..sources.text import BAD_LINE, ORDER
 REASON = "reject_reason"
 ISSUES = "issues"
 SOURCE_KEY = "source_key"
+FAULT = "_fault"
 VERDICT_COLUMNS = (REASON, ISSUES, SOURCE_KEY, BAD_LINE)
 
-Parents = Mapping[str, DataFrame]
+Parents = Mapping[str, DataFrame | Column]
 
 
 def _text(field: Field) -> Column:
@@ -84,80 +85,105 @@ def _known(fk: ForeignKey) -> str:
     return f"_known_{fk.column}"
 
 
-def _reason(spec: TableSpec) -> Column:
-    """The first broken rule, in the order in which rules are reported."""
+def own_fault(typed: DataFrame, spec: TableSpec) -> Column:
+    """The first rule that a row breaks by itself, without a look at any other row."""
     null_key = F.lit(False)
     for name in spec.required:
-        null_key = null_key | F.col(name).isNull()
-    steps = [
+        if name in typed.columns:
+            null_key = null_key | F.col(name).isNull()
+    return F.coalesce(
         F.when(F.col(BAD_LINE).isNotNull(), F.lit("malformed_row")),
         F.when(F.col(SOURCE_KEY).isNotNull(), F.lit("bad_key")),
         F.when(null_key, F.lit("null_key")),
-        *[F.when(~F.col(_known(fk)), F.lit(fk.reason)) for fk in spec.foreign_keys],
-        F.when(~F.col("_is_first"), F.lit("duplicate_key")),
-    ]
-    return F.coalesce(*steps)
+    )
 
 
-def _judged(typed: DataFrame, spec: TableSpec, parents: Parents,
-            foreign_keys: list[ForeignKey]) -> tuple[DataFrame, Column]:
-    """Rows with a marker per foreign key, and the condition that a row breaks no rule so far."""
-    frame = typed
-    sound = F.col(BAD_LINE).isNull() & F.col(SOURCE_KEY).isNull()
-    for name in spec.required:
-        if name in typed.columns:
-            sound = sound & F.col(name).isNotNull()
-    for fk in foreign_keys:
-        frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
-        sound = sound & F.col(_known(fk))
-    return frame, sound
+def _sound(typed: DataFrame, spec: TableSpec) -> DataFrame:
+    return typed.where(own_fault(typed, spec).isNull())
+
+
+def _with_parents(rows: DataFrame, spec: TableSpec, parents: Parents) -> DataFrame:
+    """Rows all of whose foreign keys are known."""
+    for fk in spec.foreign_keys:
+        rows = mark_parent(rows, parents[fk.parent], fk.column, _known(fk)).where(_known(fk)).drop(_known(fk))
+    return rows
 
 
 def accepted_keys(typed: DataFrame, spec: TableSpec, parents: Parents | None = None) -> DataFrame:
-    """Keys that the table will hold: those of any sound row (which row wins does not matter).
+    """Keys that the table will hold: those of any sound row (which row wins does not matter)."""
+    return _with_parents(_sound(typed, spec), spec, parents or {}).select(*spec.key).distinct()
 
-    The rebalance detaches the keys from the partitioning of the distinct, so that a join to
-    them shuffles both sides itself. Only then does Spark split a hot key of the other side.
-    """
-    frame, sound = _judged(typed, spec, parents or {}, list(spec.foreign_keys))
-    return frame.where(sound).select(*spec.key).distinct().hint("rebalance")
+
+def accepted_rows(typed: DataFrame, spec: TableSpec, parents: Parents | None = None) -> DataFrame:
+    """The rows that a dimension will hold, for readers that need no rejects: one window over the
+    sound rows."""
+    rows = _finished(_with_parents(_sound(typed, spec), spec, parents or {}), spec)
+    return first_rows(rows, spec.key, [ORDER]).select(*spec.columns)
 
 
 def annotate(typed: DataFrame, spec: TableSpec, parents: Parents,
-             lookup: DataFrame | None = None) -> DataFrame:
+             lookup: DataFrame | None = None, broken: bool = True) -> DataFrame:
     """Apply not-null, foreign-key and primary-key rules; foreign keys come first.
 
+    Rows that are broken by themselves take part in no join: they are read once more and
+    added at the end (not at all if ``broken`` is off). So no join meets a NULL key, which a
+    third of the rows may share.
+
     A row that breaks a foreign key never takes the primary key. Rules that depend on the
     key alone (a foreign key inside it, or on ``lookup`` columns joined by it) hold for all
-    rows of a key alike, so they need not run before the primary-key rule. They run after
-    it, and those on lookup columns run on the lookup, which has one row per key: the rows
-    themselves meet the lookup in one join with its own shuffle, where Spark can split a hot
-    key.
+    rows of a key alike, so only the other foreign keys decide who competes for a key, on
+    narrow rows. Rules on lookup columns run on the lookup, which has one row per key and
+    tells in its FAULT column why a key is unusable. Foreign keys whose parent is not given
+    are settled by the lookup.
 
-    ``typed`` is read twice (keys, then rows) and its order column must be the same both
-    times: pass a written table, or rows ordered by stored columns.
+    ``typed`` is read more than once and its order column must be the same each time: pass
+    a written table, or rows ordered by stored columns.
     """
-    on_lookup = [fk for fk in spec.foreign_keys if lookup is not None and fk.column in lookup.columns]
-    late = [fk for fk in spec.foreign_keys if fk.column in spec.key and fk not in on_lookup]
-    early = [fk for fk in spec.foreign_keys if fk not in [*on_lookup, *late]]
-    frame, sound = _judged(typed, spec, parents, early)
-    frame = mark_first(frame, sound, spec.key, ORDER, "_is_first")
+    fks = [fk for fk in spec.foreign_keys if fk.parent in parents]
+    on_lookup = [fk for fk in fks if lookup is not None and fk.column in lookup.columns]
+    on_key = [fk for fk in fks if fk.column in spec.key and fk not in on_lookup]
+    others = [fk for fk in fks if fk not in [*on_lookup, *on_key]]
+    sound = frame = _sound(typed, spec)
+    candidates = sound.select(*dict.fromkeys([*spec.key, *[fk.column for fk in others]]), ORDER)
+    for fk in others:
+        candidates = mark_parent(candidates, parents[fk.parent], fk.column, _known(fk)).where(_known(fk))
+        frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
+    frame = mark_first(frame, candidates, spec.key, ORDER, "_is_first")
+    steps = []
     if lookup is not None:
         shared = [name for name in lookup.columns if name in typed.columns]
         for fk in on_lookup:
             lookup = mark_parent(lookup, parents[fk.parent], fk.column, _known(fk))
-        frame = frame.join(lookup, shared, "left")
-    for fk in late:
+        frame = frame.join(lookup.withColumn("_found", F.lit(True)), shared, "left")
+        absent = next(fk.reason for fk in spec.foreign_keys if fk.column in shared)
+        steps += [F.when(F.col("_found").isNull(), F.lit(absent)), F.col(FAULT)]
+    for fk in on_key:
         frame = mark_parent(frame, parents[fk.parent], fk.column, _known(fk))
-    markers = ["_is_first", *[_known(fk) for fk in spec.foreign_keys]]
-    return frame.withColumn(REASON, _reason(spec)).drop(*markers)
+    steps += [F.when(~F.col(_known(fk)), F.lit(fk.reason)) for fk in fks]
+    steps += [F.when(~F.col("_is_first"), F.lit("duplicate_key"))]
+    frame = frame.withColumn(REASON, F.coalesce(*steps)).drop("_is_first", "_found", FAULT, *[_known(fk) for fk in fks])
+    if broken:
+        rest = typed.withColumn(REASON, own_fault(typed, spec)).where(F.col(REASON).isNotNull())
+        frame = frame.unionByName(rest, allowMissingColumns=True)
+    return frame
+
+
+def _finished(frame: DataFrame, spec: TableSpec) -> DataFrame:
+    """With the columns that are derived after typing; what is cut there counts as an issue."""
+    if spec is not DIM_DRIVER:
+        return frame
+    length = next(f.length for f in spec.fields if f.name == "full_name")
+    whole = full_name(F.col("first_name"), F.col("last_name"))
+    more = F.concat(F.coalesce(ISSUES, F.array().cast("array<string>")), F.array(F.lit("full_name:cut")))
+    return frame.withColumns({
+        "full_name": F.substring(whole, 1, length),
+        ISSUES: F.when(F.length(whole) > length, more).otherwise(F.col(ISSUES)),
+    })
 
 
 def annotate_dimension(typed: DataFrame, spec: TableSpec, parents: Parents | None = None) -> DataFrame:
     """One dimension's typed rows with their verdict."""
-    frame = annotate(typed, spec, parents or {})
-    if spec is DIM_DRIVER:
-        frame = frame.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
+    frame = _finished(annotate(typed, spec, parents or {}), spec)
     return frame.select(*spec.columns, *VERDICT_COLUMNS, ORDER)
 
 
@@ -169,16 +195,24 @@ def date_dimension(typed_races: DataFrame) -> DataFrame:
 
 
 def race_lookup(typed_races: DataFrame, circuits: DataFrame) -> DataFrame:
-    """race_id to circuit and date, one row per race; ``circuits`` holds the known ids.
+    """race_id to circuit, date and FAULT, one row per race; ``circuits`` holds the known ids.
 
     Of several source rows for a race, the first one with a known circuit and a date counts,
-    because a result joined to any of the others would be rejected.
+    because a result joined to any of the others would be rejected. FAULT says why no row of
+    a race is usable, by the first of them; a race whose circuit is unknown is no race.
     """
     rows = typed_races.where(F.col("race_id").isNotNull() & F.col(BAD_LINE).isNull())
     rows = mark_parent(rows, circuits, "circuit_id", "_known")
-    unusable = ~F.col("_known") | F.col("date").isNull()
-    firsts = first_rows(rows.withColumn("_unusable", unusable), ["race_id"], ["_unusable", ORDER])
-    return firsts.select("race_id", "circuit_id", date_key(F.col("date")).alias("date_id"))
+    unreadable = F.array_contains(F.coalesce(ISSUES, F.array().cast("array<string>")), "date:nulled")
+    fault = (
+        F.when(F.col("circuit_id").isNull(), F.lit("race_without_circuit"))
+        .when(~F.col("_known"), F.lit("missing_race"))
+        .when(F.col("date").isNull() & unreadable, F.lit("race_with_bad_date"))
+        .when(F.col("date").isNull(), F.lit("race_without_date"))
+    )
+    rows = rows.withColumn(FAULT, fault).withColumn("_unusable", F.col(FAULT).isNotNull())
+    firsts = first_rows(rows, ["race_id"], ["_unusable", ORDER])
+    return firsts.select("race_id", "circuit_id", date_key(F.col("date")).alias("date_id"), FAULT)
 
 
 def typed_results(raw: DataFrame) -> DataFrame:
@@ -186,9 +220,11 @@ def typed_results(raw: DataFrame) -> DataFrame:
     return typed_rows(raw, FACT_RACE_RESULT, (Field("status_id", "int", "statusId"),))
 
 
-def annotate_fact(typed: DataFrame, races: DataFrame, parents: Parents) -> DataFrame:
-    """Typed race results with circuit, date, flags and verdict. ``races`` is a race_lookup."""
-    frame = annotate(typed, FACT_RACE_RESULT, parents, races)
+def annotate_fact(typed: DataFrame, races: DataFrame, parents: Parents, broken: bool = True) -> DataFrame:
+    """Typed race results with circuit, date, flags and verdict. ``races`` is a race_lookup, which
+    settles the keys of races and circuits."""
+    parents = {name: parents[name] for name in ("dim_driver", "dim_constructor", "dim_date")}
+    frame = annotate(typed, FACT_RACE_RESULT, parents, races, broken)
     flags = result_flags(F.col("finish_pos"), F.col("grid_pos"), F.col("points"), F.col("status_id"))
     return frame.withColumns(flags).select(*FACT_RACE_RESULT.columns, *VERDICT_COLUMNS, ORDER)
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import blank_null_tokens
 from ..functions.results import lap_time_ms
 from ..operators.keys import first_rows
-from ..operators.lookups import broadcast_when_small
-from ..operators.profile import profile_columns
+from ..operators.profile import profile_columns, sample_rows
 from ..schemas import (
     DIM_CIRCUIT, DIM_CONSTRUCTOR, DIM_DATE, DIM_DRIVER, DIM_RACE, DIM_STATUS,
     FACT_RACE_RESULT, TableSpec,
@@ -20,7 +19,7 @@ from ..sources import trade_tables as trade
 from ..sources.text import ORDER
 from . import analytics, quality
 from .annotate import (
-    REASON, SOURCE_KEY, accepted, accepted_keys, annotate_dimension, annotate_fact, cast_report,
+    REASON, SOURCE_KEY, accepted, accepted_keys, accepted_rows, annotate_dimension, annotate_fact, cast_report,
     date_dimension, outcome_counts, race_lookup, rejected, typed_results, typed_rows,
 )
 from .star import Star
@@ -32,12 +31,12 @@ class _Tables:
     """Source rows of the trade tables under the load rules.
 
     ``incomplete`` leaves some parents out of the dimensions (drivers in debt, constructors
-    above 20, African circuits, Sundays), so that results without a parent exist.
+    above 20, African circuits, Sundays) and takes circuits and dates from some races, so that
+    results without a parent exist.
     """
 
     def __init__(self, spark: SparkSession, folder: str, flawed: bool = False, incomplete: bool = False):
         self.spark, self.folder, self.flawed, self.incomplete = spark, folder, flawed, incomplete
-        self._keys: dict[str, DataFrame] = {}
 
     def _keep(self, rows: DataFrame, condition: Column) -> DataFrame:
         return rows.where(condition) if self.incomplete else rows
@@ -45,10 +44,11 @@ class _Tables:
     def raw(self, spec: TableSpec) -> DataFrame:
         if spec is FACT_RACE_RESULT:
             return trade.raw_results(self.spark, self.folder, self.flawed)
+        if spec is DIM_RACE:
+            return trade.raw_races(self.spark, self.folder, self.incomplete)
         read = {
             DIM_DRIVER.name: trade.raw_drivers, DIM_CONSTRUCTOR.name: trade.raw_constructors,
-            DIM_CIRCUIT.name: trade.raw_circuits, DIM_RACE.name: trade.raw_races,
-            DIM_STATUS.name: trade.raw_status,
+            DIM_CIRCUIT.name: trade.raw_circuits, DIM_STATUS.name: trade.raw_status,
         }[spec.name]
         rows = read(self.spark, self.folder)
         if spec is DIM_DRIVER:
@@ -65,38 +65,36 @@ class _Tables:
     def results(self) -> DataFrame:
         return typed_results(self.raw(FACT_RACE_RESULT))
 
+    def _parents(self, spec: TableSpec) -> dict[str, DataFrame]:
+        return {DIM_CIRCUIT.name: self.keys(DIM_CIRCUIT)} if spec is DIM_RACE else {}
+
     def dimension(self, spec: TableSpec) -> DataFrame:
         """A dimension with the verdict of each source row."""
-        parents = {}
-        if spec is DIM_RACE:
-            parents[DIM_CIRCUIT.name] = self.keys(DIM_CIRCUIT)
-        return annotate_dimension(self.typed(spec), spec, parents)
+        return annotate_dimension(self.typed(spec), spec, self._parents(spec))
+
+    def accepted(self, spec: TableSpec) -> DataFrame:
+        return accepted_rows(self.typed(spec), spec, self._parents(spec))
 
     def dates(self) -> DataFrame:
-        return self._keep(date_dimension(self.typed(DIM_RACE)), F.col("weekday_name") != "Domingo")
+        raw = trade.raw_races(self.spark, self.folder, self.incomplete, with_circuit=False)
+        return self._keep(date_dimension(typed_rows(raw, DIM_RACE)), F.col("weekday_name") != "Domingo")
 
     def keys(self, spec: TableSpec) -> DataFrame:
-        if spec.name not in self._keys:
-            self._keys[spec.name] = self._accepted_keys(spec)
-        return self._keys[spec.name]
-
-    def _accepted_keys(self, spec: TableSpec) -> DataFrame:
-        if spec is DIM_DATE:
-            return self.dates().select(*spec.key)
-        parents = {DIM_CIRCUIT.name: self.keys(DIM_CIRCUIT)} if spec is DIM_RACE else {}
-        keys = accepted_keys(typed_rows(self.raw(spec), spec.only_required()), spec, parents)
-        # Few keys out of many rows: Spark cannot know that they are few.
-        return broadcast_when_small(keys) if spec is DIM_CONSTRUCTOR else keys
-
-    def fact(self) -> DataFrame:
+        return accepted_keys(typed_rows(self.raw(spec), spec.only_required()), spec, self._parents(spec))
+
+    def fact(self, broken: bool = True) -> DataFrame:
         """The fact with the verdict of each source row."""
-        parents = {s.name: self.keys(s) for s in (DIM_DRIVER, DIM_CONSTRUCTOR, DIM_CIRCUIT, DIM_DATE, DIM_RACE)}
-        races = race_lookup(self.typed(DIM_RACE), parents[DIM_CIRCUIT.name])
-        return annotate_fact(self.results(), races, parents)
+        races = race_lookup(self.typed(DIM_RACE), self.keys(DIM_CIRCUIT))
+        # The dates are those of the very races that the lookup holds.
+        weekday = F.dayofweek(F.to_date(F.col("date_id").cast("string"), "yyyyMMdd"))
+        known_date = weekday != 1 if self.incomplete else F.lit(True)
+        parents = {DIM_DRIVER.name: self.keys(DIM_DRIVER), DIM_CONSTRUCTOR.name: self.keys(DIM_CONSTRUCTOR),
+                   DIM_DATE.name: F.col("date_id").isNotNull() & known_date}
+        return annotate_fact(self.results(), races, parents, broken)
 
 
 def _dimension(spec: TableSpec) -> Query:
-    return lambda spark, folder: accepted(_Tables(spark, folder).dimension(spec), spec)
+    return lambda spark, folder: _Tables(spark, folder).accepted(spec)
 
 
 def _null_token_clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,18 +121,18 @@ def _dim_date(spark: SparkSession, folder: str) -> DataFrame:
 def _fact_lookup_left(spark: SparkSession, folder: str) -> DataFrame:
     """Results with the circuit and date of their race, where orders in progress are no races."""
     tables = _Tables(spark, folder)
-    in_progress = F.col("start_time").isNull() & F.col("issues").isNull()
-    races = race_lookup(tables.typed(DIM_RACE).where(~in_progress), tables.keys(DIM_CIRCUIT))
+    started = trade.raw_races(spark, folder).where("state <> 'P'")
+    races = race_lookup(typed_rows(started, DIM_RACE), tables.keys(DIM_CIRCUIT))
     return tables.results().join(races, "race_id", "left").select(
         "race_id", "driver_id", "circuit_id", "date_id")
 
 
 def _fact_race_result(spark: SparkSession, folder: str) -> DataFrame:
-    return accepted(_Tables(spark, folder).fact(), FACT_RACE_RESULT)
+    return accepted(_Tables(spark, folder).fact(broken=False), FACT_RACE_RESULT)
 
 
 def _lap_time_to_ms(spark: SparkSession, folder: str) -> DataFrame:
-    raw = trade.raw_results(spark, folder)
+    raw = trade.raw_results(spark, folder, with_constructor=False)
     return raw.select("raceId", "driverId", "fastestLapTime", lap_time_ms(F.col("fastestLapTime")).alias("best_lap_ms"))
 
 
@@ -145,7 +143,7 @@ def _pk_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pk_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    rows = rejected(_Tables(spark, folder).fact()).where(F.col(REASON) == "duplicate_key")
+    rows = rejected(_Tables(spark, folder).fact(broken=False)).where(F.col(REASON) == "duplicate_key")
     return rows.select("race_id", "driver_id", "constructor_id", "finish_pos", "grid_pos", REASON)
 
 
@@ -165,7 +163,8 @@ def _load_report(spark: SparkSession, folder: str) -> DataFrame:
     report = outcome_counts(tables.fact(), FACT_RACE_RESULT.name)
     for spec in (DIM_DRIVER, DIM_CONSTRUCTOR, DIM_CIRCUIT, DIM_RACE):
         report = report.unionByName(outcome_counts(tables.dimension(spec), spec.name))
-    return report
+    dates = tables.dates().withColumn(REASON, F.lit(None).cast("string"))
+    return report.unionByName(outcome_counts(dates, DIM_DATE.name))
 
 
 def _orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,6 +196,12 @@ def _profile_table(spark: SparkSession, folder: str) -> DataFrame:
     return profile.withColumns({"avg": F.round("avg", 4), "stddev": F.round("stddev", 4)})
 
 
+def _profile_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of the cleaned drivers, as the profile shows them."""
+    cleaned = blank_null_tokens(trade.raw_drivers(spark, folder)).drop(ORDER)
+    return sample_rows(cleaned, 5, F.col("driverId").cast("long"))
+
+
 def _pit_trend(spark: SparkSession, folder: str) -> DataFrame:
     return analytics.pit_trend(trade.trade_star(spark, folder), trade.trade_pit_stops(spark, folder))
 
@@ -233,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "quality_metrics": _on_star(quality.quality_metrics),
     "flag_coherence": _on_star(quality.flag_coherence),
     "profile_table": _profile_table,
+    "profile_sample": _profile_sample,
     "star_denormalized": _on_star(quality.star_denormalized),
     "top_drivers": _on_star(analytics.top_drivers),
     "driver_by_year": _driver_by_year,

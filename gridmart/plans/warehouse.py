@@ -152,17 +152,19 @@ def check(run: Run) -> None:
         raise LoadFailed(f"orphans in {FACT_RACE_RESULT.name}: {failed}")
 
 
-def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = False) -> Run:
+def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = False,
+         multiline: bool = False) -> Run:
     """Read the source files, write all tables, check them, publish the run.
 
     Dimensions are written first: the fact's key checks read the written keys, whose known
-    size lets Spark choose between a broadcast and a shuffled join.
+    size lets Spark choose between a broadcast and a shuffled join. ``multiline`` allows line
+    breaks inside quotes, at the price that a file is read by one task.
     """
     run_id = uuid.uuid4().hex
     run = Run(spark, f"{warehouse}/runs/{run_id}")
 
     def raw(name: str) -> DataFrame:
-        return read_text_table(spark, f"{source}/{name}.csv", keep_tokens=True)
+        return read_text_table(spark, f"{source}/{name}.csv", multiline, keep_tokens=True)
 
     def staged(name: str, spec: TableSpec) -> DataFrame:
         return _stage(typed_rows(raw(name), spec), run, name)
@@ -178,7 +180,7 @@ def load(spark: SparkSession, source: str, warehouse: str, with_status: bool = F
     _write(annotate_dimension(races, DIM_RACE, {DIM_CIRCUIT.name: circuits}), DIM_RACE, run)
 
     results = _stage(typed_results(raw("results")), run, "results")
-    parents = {fk.parent: run.keys(fk.parent) for fk in FACT_RACE_RESULT.foreign_keys}
+    parents = {name: run.keys(name) for name in (DIM_DRIVER.name, DIM_CONSTRUCTOR.name, DIM_DATE.name)}
     _write(annotate_fact(results, race_lookup(races, circuits), parents), FACT_RACE_RESULT, run)
 
     check(run)

@@ -17,8 +17,8 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = False,
     """All columns as text with null tokens as NULL, plus ``_bad_line`` and ``_order``.
 
     ``_bad_line`` holds the whole line when it has too few or too many cells. ``_order`` is
-    the row's place in the source (file name, block, row within the block): unique, and in
-    the same order however Spark packs blocks into tasks. Files are taken in name order.
+    the row's place in the source (file path, block, row within the block): unique, and in
+    the same order however Spark packs blocks into tasks. Files are taken in path order.
 
     ``multiline`` allows line breaks inside quotes; such files cannot be split, so leave it
     off for large ones (a broken record is then reported as a bad line). ``keep_tokens``
@@ -34,7 +34,7 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = False,
         columnPruning=False,
     ).schema(schema).csv(path)
     rows = rows.withColumn(ORDER, F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ))

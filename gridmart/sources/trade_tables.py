@@ -130,10 +130,21 @@ def raw_circuits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_races(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _with_place(read(spark, folder, "orders"))
-    customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    rows = orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
+def raw_races(spark: SparkSession, folder: str, faulty: bool = False, with_circuit: bool = True) -> DataFrame:
+    """Race rows as text. ``faulty`` takes circuits and dates from some and leaves some races out;
+    without ``with_circuit`` the circuit is empty, for readers that do not need it."""
+    rows = _with_place(read(spark, folder, "orders"))
+    circuit = F.lit("")
+    if with_circuit:
+        customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey")
+        rows = rows.join(customers, rows["o_custkey"] == customers["c_custkey"], "left")
+        circuit = _text(F.col("c_nationkey"))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd")
+    if faulty:
+        place = F.pmod(F.col("o_orderkey"), F.lit(50))
+        rows = rows.where(place != 4)
+        circuit = _token_if(place == 1, "\\N", circuit)
+        date = _token_if(place == 2, "\\N", _token_if(place == 3, "03/04/2024", date))
     start = (
         F.when(F.col("o_orderstatus") == "P", F.lit("\\N"))
         .when(F.col("o_orderstatus") == "F", F.lit("14:00:00")).otherwise(F.lit("25:61:00"))
@@ -142,22 +153,27 @@ def raw_races(spark: SparkSession, folder: str) -> DataFrame:
         _text(F.col("o_orderkey")).alias("raceId"),
         _text(F.year("o_orderdate")).alias("year"),
         _text(F.dayofyear("o_orderdate")).alias("round"),
-        _text(F.col("c_nationkey")).alias("circuitId"),
+        circuit.alias("circuitId"),
         F.concat(F.lit("Grand Prix "), "o_orderkey").alias("name"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        date.alias("date"),
+        F.col("o_orderstatus").alias("state"),
         start.alias("time"),
         F.lit("nan").alias("url"),
         ORDER,
     )
 
 
-def raw_results(spark: SparkSession, folder: str, flawed: bool = False) -> DataFrame:
-    """Result rows as text. ``flawed`` breaks some keys, for the rules that reject them."""
-    items = _with_place(read(spark, folder, "lineitem"), *RESULT_ORDER)
-    parts = read(spark, folder, "part").select("p_partkey", "p_brand")
-    rows = items.join(parts, items["l_partkey"] == parts["p_partkey"], "left")
+def raw_results(spark: SparkSession, folder: str, flawed: bool = False, with_constructor: bool = True) -> DataFrame:
+    """Result rows as text. ``flawed`` breaks some keys and cells, for the rules that reject or null
+    them; without ``with_constructor`` that column is empty, for readers that do not need it."""
+    rows = _with_place(read(spark, folder, "lineitem"), *RESULT_ORDER)
+    constructor = F.lit("")
+    if with_constructor:
+        parts = read(spark, folder, "part").select("p_partkey", "p_brand")
+        rows = rows.join(parts, rows["l_partkey"] == parts["p_partkey"], "left")
+        constructor = brand_number(F.col("p_brand"))
     race, driver = _text(F.col("l_orderkey")), _text(F.col("l_suppkey"))
-    constructor = brand_number(F.col("p_brand"))
+    lap = _lap_text()
     speed = F.concat(_text(F.col("l_quantity").cast("int") + 150), F.lit(".25"))
     if flawed:
         tax = F.round(F.col("l_tax") * 100).cast("int")
@@ -165,6 +181,8 @@ def raw_results(spark: SparkSession, folder: str, flawed: bool = False) -> DataF
         driver = _token_if((tax == 7) & (F.col("l_discount") < 0.03), "unknown", driver)
         constructor = _token_if(tax == 6, "NULL", constructor)
         speed = _token_if(tax == 5, "123456.7", speed)
+        # More minutes than milliseconds in a long can count.
+        lap = _token_if(tax == 4, "153722867280914:01.0", lap)
     return rows.select(
         race.alias("raceId"),
         driver.alias("driverId"),
@@ -175,7 +193,7 @@ def raw_results(spark: SparkSession, folder: str, flawed: bool = False) -> DataF
         _text(F.col("l_quantity").cast("int") + 20).alias("laps"),
         _token_if(_retired(), "", _text(_duration_ms() * 60)).alias("milliseconds"),
         _token_if(_retired(), "NA", _text(F.col("l_quantity").cast("int"))).alias("fastestLap"),
-        _token_if(_retired(), "no time", _lap_text()).alias("fastestLapTime"),
+        _token_if(_retired(), "no time", lap).alias("fastestLapTime"),
         _token_if(_retired(), "N/A", speed).alias("fastestLapSpeed"),
         _text(_status()).alias("statusId"),
         ORDER,

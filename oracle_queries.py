@@ -23,6 +23,7 @@ def _results(flawed: bool) -> str:
     constructor = f"CASE WHEN {tax} = 6 THEN NULL ELSE {_BRAND} END" if flawed else _BRAND
     speed = "CAST(CAST(l_quantity AS INTEGER) + 150.25 AS DECIMAL(6,2))"
     bad_speed = f"({tax} = 5)" if flawed else "false"
+    bad_lap = f"({tax} = 4)" if flawed else "false"
     return f"""
     SELECT {race} AS race_id,
       CASE WHEN {bad_driver} THEN NULL ELSE l_suppkey END AS driver_id,
@@ -33,7 +34,8 @@ def _results(flawed: bool) -> str:
       CAST(l_quantity AS INTEGER) + 20 AS laps,
       CASE WHEN NOT ({_RETIRED}) THEN CAST(floor(l_extendedprice) AS BIGINT) * 60 END AS time_ms,
       CASE WHEN NOT ({_RETIRED}) THEN CAST(l_quantity AS INTEGER) END AS best_lap,
-      CASE WHEN NOT ({_RETIRED}) THEN 60000 + CAST(floor(l_extendedprice) AS BIGINT) % 60000 END AS best_lap_ms,
+      CASE WHEN NOT ({_RETIRED}) AND NOT {bad_lap} THEN 60000 + CAST(floor(l_extendedprice) AS BIGINT) % 60000 END AS best_lap_ms,
+      {_RETIRED} OR {bad_lap} AS bad_lap,
       CASE WHEN NOT ({_RETIRED}) AND NOT {bad_speed} THEN {speed} END AS avg_speed,
       {_STATUS} AS status_id,
       {bad_driver} AS bad_driver,
@@ -51,6 +53,13 @@ _RACES = f"""
       {_DAY_KEY.format(d='o_orderdate')} AS date_id, o_orderstatus
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
 
+# Some races left out, some without a circuit or a (readable) date.
+_FAULTY_RACES = f"""
+    SELECT race_id, year, round, CASE WHEN race_id % 50 <> 1 THEN circuit_id END AS circuit_id, name,
+      CASE WHEN race_id % 50 NOT IN (2, 3) THEN date END AS date,
+      CASE WHEN race_id % 50 NOT IN (2, 3) THEN date_id END AS date_id, o_orderstatus, race_id % 50 = 3 AS bad_date
+    FROM ({_RACES}) WHERE race_id % 50 <> 4"""
+
 _FLAGS = """
       coalesce(finish_pos = 1, false) AS is_win, coalesce(finish_pos <= 3, false) AS is_podium,
       coalesce(grid_pos = 1, false) AS is_pole, coalesce(points > 0, false) AS is_scoring,
@@ -104,24 +113,26 @@ def _loaded(flawed: bool, incomplete: bool) -> str:
     days = "weekday_name <> 'Domingo'" if incomplete else "true"
     return f"""WITH
   results AS ({_results(flawed)}),
-  races AS ({_RACES}),
+  races AS ({_FAULTY_RACES if incomplete else _RACES.replace(", o_orderstatus", ", o_orderstatus, false AS bad_date")}),
   known_drivers AS (SELECT s_suppkey FROM supplier WHERE {drivers}),
   known_constructors AS (SELECT DISTINCT {_BRAND} AS brand FROM part WHERE {brands}),
   known_circuits AS (SELECT circuit_id FROM ({_CIRCUITS}) WHERE {countries}),
   known_dates AS (SELECT date_id FROM ({_DATES}) WHERE {days}),
-  known_races AS (SELECT race_id FROM races WHERE circuit_id IN (FROM known_circuits)),
   joined AS (
-    SELECT r.* EXCLUDE (race_id), r.race_id, circuit_id, date_id
+    SELECT r.* EXCLUDE (race_id), r.race_id, circuit_id, date_id, CASE
+      WHEN races.race_id IS NULL THEN 'missing_race'
+      WHEN circuit_id IS NULL THEN 'race_without_circuit'
+      WHEN circuit_id NOT IN (FROM known_circuits) THEN 'missing_race'
+      WHEN bad_date THEN 'race_with_bad_date'
+      WHEN date_id IS NULL THEN 'race_without_date' END AS race_fault
     FROM results r LEFT JOIN races ON races.race_id = r.race_id),
   keyed AS (
     SELECT *, CASE
       WHEN bad_driver THEN 'bad_key'
-      WHEN race_id IS NULL OR driver_id IS NULL OR constructor_id IS NULL
-        OR circuit_id IS NULL OR date_id IS NULL THEN 'null_key'
-      WHEN race_id NOT IN (FROM known_races) THEN 'missing_race'
+      WHEN race_id IS NULL OR driver_id IS NULL OR constructor_id IS NULL THEN 'null_key'
+      WHEN race_fault IS NOT NULL THEN race_fault
       WHEN driver_id NOT IN (FROM known_drivers) THEN 'missing_driver'
       WHEN constructor_id NOT IN (FROM known_constructors) THEN 'missing_constructor'
-      WHEN circuit_id NOT IN (FROM known_circuits) THEN 'missing_circuit'
       WHEN date_id NOT IN (FROM known_dates) THEN 'missing_date' END AS broken
     FROM joined),
   judged AS (
@@ -159,13 +170,19 @@ _PROFILE_COLUMNS = {
 }
 
 
+def _profile_kind(name: str) -> str:
+    return f"""CASE WHEN count(TRY_CAST({name} AS DOUBLE)) < count({name}) THEN 'string'
+      WHEN bool_and(NOT contains({name}, '.')) THEN 'bigint' ELSE 'double' END"""
+
+
 def _profile() -> str:
     source = ", ".join(f"{sql} AS {name}" for name, sql in _PROFILE_COLUMNS.items())
     lines = [f"""
-    SELECT '{name}' AS column_name, 'string' AS data_type, count(*) AS n_rows, count({name}) AS non_null,
-      count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS "distinct", min({name}) AS "min",
-      max({name}) AS "max", round(avg(TRY_CAST({name} AS DOUBLE)), 4) AS "avg",
-      round(stddev_samp(TRY_CAST({name} AS DOUBLE)), 4) AS stddev FROM cleaned""" for name in _PROFILE_COLUMNS]
+    SELECT '{name}' AS column_name, {kind} AS data_type, count(*) AS n_rows, count({name}) AS non_null,
+      count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS "distinct",
+      CASE WHEN {kind} = 'string' THEN min({name}) ELSE arg_min({name}, TRY_CAST({name} AS DOUBLE)) END AS "min",
+      CASE WHEN {kind} = 'string' THEN max({name}) ELSE arg_max({name}, TRY_CAST({name} AS DOUBLE)) END AS "max", round(avg(TRY_CAST({name} AS DOUBLE)), 4) AS "avg",
+      round(stddev_samp(TRY_CAST({name} AS DOUBLE)), 4) AS stddev FROM cleaned""" for name, kind in zip(_PROFILE_COLUMNS, map(_profile_kind, _PROFILE_COLUMNS))]
     return (f"WITH cleaned AS (SELECT {source} FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"
             + " UNION ALL ".join(lines))
 
@@ -176,6 +193,8 @@ def _cleaned_flawed() -> str:
     columns["raceId"] = f"CASE WHEN NOT ({tax} = 8 AND {_LOW}) THEN CAST(l_orderkey AS VARCHAR) END"
     columns["driverId"] = f"CASE WHEN {tax} = 7 AND {_LOW} THEN 'unknown' ELSE CAST(l_suppkey AS VARCHAR) END"
     columns["constructorId"] = f"CASE WHEN {tax} <> 6 THEN substr(p_brand, 7) END"
+    columns["fastestLapTime"] = f"""CASE WHEN NOT ({_RETIRED}) AND {tax} = 4 THEN '153722867280914:01.0'
+      ELSE {columns['fastestLapTime']} END"""
     columns["fastestLapSpeed"] = f"""CASE WHEN {_RETIRED} THEN NULL WHEN {tax} = 5 THEN '123456.7'
       ELSE CAST(CAST(l_quantity AS INTEGER) + 150 AS VARCHAR) || '.25' END"""
     source = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
@@ -203,7 +222,7 @@ ORACLE: dict[str, str] = {
   SELECT 'fact_race_result' AS table_name, 'driver_id' AS column_name, 'nulled' AS action, count(*) AS n_rows
     FROM r WHERE bad_driver HAVING count(*) > 0
   UNION ALL SELECT 'fact_race_result', 'avg_speed', 'nulled', count(*) FROM r WHERE bad_speed HAVING count(*) > 0
-  UNION ALL SELECT 'fact_race_result', 'best_lap_ms', 'nulled', count(*) FROM r WHERE {_RETIRED} HAVING count(*) > 0
+  UNION ALL SELECT 'fact_race_result', 'best_lap_ms', 'nulled', count(*) FROM r WHERE bad_lap HAVING count(*) > 0
   UNION ALL SELECT 'dim_driver', 'code', 'cut', count(*) FROM supplier JOIN nation ON s_nationkey = n_nationkey
     WHERE length(n_name) > 3 HAVING count(*) > 0
   UNION ALL SELECT 'dim_driver', 'birth_date', 'nulled', count(*) FROM supplier WHERE s_acctbal < 0 HAVING count(*) > 0
@@ -236,15 +255,18 @@ ORACLE: dict[str, str] = {
     reject_reason FROM judged WHERE reject_reason = 'duplicate_key'""",
     "fk_validate": _loaded(False, True) + """SELECT 'fact_race_result' AS table_name,
     coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_rows FROM judged GROUP BY ALL""",
-    "fk_rejects": _loaded(True, True) + """SELECT race_id, driver_id, constructor_id, circuit_id, date_id, source_key,
+    "fk_rejects": _loaded(True, True) + """SELECT race_id, driver_id, constructor_id,
+    CASE WHEN reject_reason NOT IN ('bad_key', 'null_key') THEN circuit_id END AS circuit_id,
+    CASE WHEN reject_reason NOT IN ('bad_key', 'null_key') THEN date_id END AS date_id, source_key,
     reject_reason FROM judged WHERE reject_reason <> 'duplicate_key'""",
     "load_report": _loaded(True, True) + f"""SELECT 'fact_race_result' AS table_name,
     coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_rows FROM judged GROUP BY ALL
   UNION ALL SELECT 'dim_driver', 'accepted', count(*) FROM known_drivers
   UNION ALL SELECT 'dim_constructor', 'accepted', count(*) FROM known_constructors
   UNION ALL SELECT 'dim_circuit', 'accepted', count(*) FROM known_circuits
-  UNION ALL SELECT 'dim_race', CASE WHEN circuit_id IN (FROM known_circuits) THEN 'accepted'
-    ELSE 'missing_circuit' END, count(*) FROM races GROUP BY ALL""",
+  UNION ALL SELECT 'dim_race', CASE WHEN circuit_id IS NULL THEN 'null_key'
+    WHEN circuit_id IN (FROM known_circuits) THEN 'accepted' ELSE 'missing_circuit' END, count(*) FROM races GROUP BY ALL
+  UNION ALL SELECT 'dim_date', 'accepted', count(DISTINCT date_id) FROM races WHERE date_id IN (FROM known_dates)""",
     "table_counts": WITH_STAR + """SELECT 'dim_driver' AS table_name, count(*) AS n_rows FROM drivers
   UNION ALL SELECT 'dim_constructor', count(*) FROM constructors
   UNION ALL SELECT 'dim_circuit', count(*) FROM circuits
@@ -264,6 +286,11 @@ ORACLE: dict[str, str] = {
     count(*) FILTER (is_pole) AS poles, count(*) FILTER (is_scoring) AS scoring, count(*) FILTER (is_finished) AS finished FROM fact""",
     "flag_coherence": WITH_STAR + "SELECT count(*) FILTER (is_win AND NOT is_podium) AS wins_without_podium FROM fact",
     "profile_table": _profile(),
+    "profile_sample": """SELECT CAST(s_suppkey AS VARCHAR) AS "driverId", 'Supplier' AS forename, substr(s_name, 10) AS surname,
+    upper(n_name) AS code, CASE WHEN s_acctbal >= 0 THEN s_nationkey || '.0' END AS number, n_name AS nationality,
+    CASE WHEN s_acctbal < 0 THEN 'unknown' ELSE CAST(make_date(1960 + s_nationkey, n_regionkey + 1, 15) AS VARCHAR) END AS dob,
+    CASE WHEN s_acctbal >= 0 THEN 'https://example.org/' || s_suppkey END AS url
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey ORDER BY s_suppkey LIMIT 5""",
     "star_denormalized": WITH_STAR + """SELECT race_id, driver_id, constructor_id, circuit_id, date_id, points, finish_pos,
     grid_pos, is_win, full_name AS driver_name, constructor_name, circuit_name, country,
     races.name AS race_name, round, dates.date, decade, weekday_name
@@ -291,14 +318,12 @@ ORACLE: dict[str, str] = {
     "q02_decade_dominance": _best("CAST(year // 10 * 10 AS INTEGER) AS decade", "driver_id", "drivers", "full_name"),
     "q03_year_winners": _best("year", "driver_id", "drivers", "full_name"),
     "q05_top_poles": WITH_STAR + """SELECT driver_id, count(*) FILTER (is_pole) AS poles, full_name
-  FROM fact JOIN drivers USING (driver_id) GROUP BY driver_id, full_name HAVING poles > 0
-  ORDER BY poles DESC, driver_id LIMIT 10""",
+  FROM fact JOIN drivers USING (driver_id) GROUP BY driver_id, full_name HAVING poles > 0""",
     "q06_circuit_drivers": _best("circuit_id", "driver_id", "drivers", "full_name", _JOIN_CIRCUIT),
     "q08_pole_conversion": WITH_STAR + """, rated AS (SELECT driver_id, count(*) AS poles,
     count(*) FILTER (is_win) AS wins_from_pole, round(count(*) FILTER (is_win) / count(*), 6) AS conversion
     FROM fact WHERE is_pole GROUP BY driver_id)
-  SELECT driver_id, poles, wins_from_pole, conversion, full_name FROM rated JOIN drivers USING (driver_id)
-  ORDER BY conversion DESC, poles DESC, driver_id LIMIT 10""",
+  SELECT driver_id, poles, wins_from_pole, conversion, full_name FROM rated JOIN drivers USING (driver_id)""",
     "q09_points_per_race": WITH_STAR + """SELECT constructor_id, count(DISTINCT race_id) AS races,
     CAST(sum(points) AS DOUBLE) AS points, round(CAST(sum(points) AS DOUBLE) / count(DISTINCT race_id), 6)
     AS points_per_race, constructor_name
@@ -313,9 +338,9 @@ ORACLE: dict[str, str] = {
   years AS (SELECT year, count(*) AS stops, avg(ms) AS mean, median(ms) AS median_ms FROM stops GROUP BY year)
   SELECT year, stops, round(mean, 6) AS avg_ms, median_ms, round(mean - lag(mean) OVER (ORDER BY year), 6) AS change_ms
   FROM years""",
-    "q13_season_form": WITH_STAR + """SELECT driver_id, year, date_id, race_id, grid_pos, finish_pos,
+    "q13_season_form": WITH_STAR + """SELECT driver_id, year, CAST(dayofyear(o_orderdate) AS INTEGER) AS round, date_id, race_id, grid_pos, finish_pos,
     grid_pos - finish_pos AS gain, finish_pos - lag(finish_pos) OVER (
       PARTITION BY driver_id, year ORDER BY date_id, race_id) AS finish_change
-  FROM fact""",
+  FROM fact JOIN orders ON o_orderkey = race_id""",
     "q14_outside_top_k": WITH_STAR + "SELECT count(*) FILTER (is_win AND grid_pos > 10) AS wins_outside_top_k FROM fact",
 }

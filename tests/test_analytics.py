@@ -1,5 +1,6 @@
 """Questions on a small star whose answers can be read off the rows."""
 
+import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -37,7 +38,8 @@ def star(spark):
         "dim_circuit": spark.createDataFrame([(1, "One"), (2, "Two")], "circuit_id int, name string"),
         "dim_date": spark.createDataFrame([(d, d // 10000) for d in dates], "date_id int, year int"),
         "dim_race": spark.createDataFrame(
-            sorted({(r[0], r[4] // 10000) for r in RESULTS}), "race_id bigint, year int"),
+            sorted({(r[0], r[4] // 10000, r[0] % 2 + 1, dt.datetime.strptime(str(r[4]), "%Y%m%d").date()) for r in RESULTS}),
+            "race_id bigint, year int, round int, date date"),
     }
     return Star({name: (lambda columns, df=df: df) for name, df in dims.items()}, lambda columns: fact)
 
@@ -80,8 +82,8 @@ def test_ratios_and_counts(star):
 
 
 def test_season_form(star):
-    rows = values(analytics.season_form(star, driver_id=1), "race_id", "grid_pos", "finish_pos", "gain", "finish_change")
-    assert sorted(rows) == [(1, 1, 1, 0, None), (2, 0, None, None, None), (3, 2, 2, 0, None), (4, 0, 1, -1, -1)]
+    rows = values(analytics.season_form(star, driver_id=1), "race_id", "round", "grid_pos", "finish_pos", "gain", "finish_change")
+    assert sorted(rows) == [(1, 2, 1, 1, 0, None), (2, 1, 0, None, None, None), (3, 2, 2, 2, 0, None), (4, 1, 0, 1, -1, -1)]
     assert len(values(analytics.season_form(star, year=1999), "race_id")) == 4
     assert len(values(analytics.season_form(star), "race_id")) == len(RESULTS)
 

@@ -35,8 +35,9 @@ def test_nan_becomes_null(spark):
     ("25.5", "decimal(5,2)", Decimal("25.50")), ("123456.7", "decimal(6,2)", None),
     ("2024-02-29", "date", dt.date(2024, 2, 29)), ("2024-13-01", "date", None), ("2023-02-29", "date", None),
     ("14:00:00", "time", "14:00:00"), ("25:00:00", "time", None), ("14:00", "time", None),
-    ("1:27.452", "lap", 87452), ("1:05.5", "lap", 65500), ("bad", "lap", None), ("1:61.0", "lap", None),
-    ("1:34:50.616", "lap", None), (None, "lap", None), ("0:59.999", "lap", 59999),
+    ("2:41.007", "lap", 161007), ("1:05.5", "lap", 65500), ("bad", "lap", None), ("1:61.0", "lap", None),
+    ("2:00:41.007", "lap", None), (None, "lap", None), ("0:59.999", "lap", 59999),
+    ("153722867280914:01.0", "lap", None), ("9223372036854775807:01.000", "lap", None), ("153722867280:01.0", "lap", 9223372036801000),
 ])
 def test_typed_values(spark, text, kind, expected):
     assert one(spark, text, lambda c: typed_value(c, Field("x", kind, "x"))) == expected

@@ -4,8 +4,8 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from gridmart.operators.keys import first_rows, mark_first
-from gridmart.operators.lookups import broadcast_when_small, mark_parent, orphan_counts
+from gridmart.operators.keys import first_rows, mark_first, repeated_keys
+from gridmart.operators.lookups import mark_parent, orphan_counts
 from gridmart.operators.profile import profile_columns, sample_rows
 from gridmart.operators.ranking import best_in_group, exact_median, with_previous
 
@@ -25,21 +25,22 @@ def test_first_rows_drops_duplicates_before_the_shuffle(spark):
     assert firsts.where("k = -1").first().o == -8997
 
 
-def test_mark_first_marks_one_candidate_per_key(spark):
+def test_mark_first_marks_the_first_candidate_of_each_key(spark):
     rng = random.Random(5)
-    data = [(rng.choice([1, 1, 1, 2, 3, None]), i, rng.random() < 0.5) for i in range(300)]
+    data = [(rng.choice([1, 1, 1, 2, 3]), i, rng.random() < 0.5) for i in range(300)] + [(9, 300, True)]
     rows = spark.createDataFrame(data, "k int, o int, good boolean")
-    marked = mark_first(rows, F.col("good") & F.col("k").isNotNull(), ["k"], "o", "is_first").collect()
-    expected = {k: min(o for kk, o, g in data if kk == k and g) for k in (1, 2, 3)}
-    assert len(marked) == 300
+    marked = mark_first(rows, rows.where("good").select("k", "o"), ["k"], "o", "is_first").where("good").collect()
+    expected = {k: min(o for kk, o, g in data if kk == k and g) for k in (1, 2, 3, 9)}
     assert {r.k: r.o for r in marked if r.is_first} == expected
-    assert sum(r.is_first for r in marked) == 3
+    assert sum(r.is_first for r in marked) == 4 and len(marked) == sum(g for _, _, g in data)
 
 
-def test_mark_first_spreads_a_hot_key_by_its_order(spark):
-    rows = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("o")).hint("merge")
-    plan = plan_of(mark_first(rows, F.lit(True), ["k"], "o", "is_first"))
-    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L, o#\d+L", plan)) == 2
+def test_repeated_keys_are_counted_inside_the_tasks(spark):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("o"))
+    repeated = repeated_keys(rows, ["k"], "o", "first")
+    plan = plan_of(repeated)
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning(k")
+    assert [tuple(r) for r in repeated.collect()] == [(-1, 0)]
 
 
 def test_mark_parent_and_orphan_counts(spark):
@@ -53,10 +54,9 @@ def test_mark_parent_and_orphan_counts(spark):
     assert {r.check: r.orphans for r in none} == {"pa": 0, "pb": 0}
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    assert "hint" in broadcast_when_small(df, 10)._jdf.queryExecution().logical().toString().lower()
-    assert broadcast_when_small(df, 9) is df
+def test_mark_parent_by_a_condition(spark):
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    assert [r.known for r in mark_parent(rows, F.col("a") > 1, "a", "known").collect()] == [False, True, False]
 
 
 def test_best_in_group_keeps_ties(spark):
@@ -97,10 +97,15 @@ def test_exact_median_equals_brute_force(spark):
 
 
 def test_profile(spark):
-    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 2)], "s string, n int")
+    rows = spark.createDataFrame(
+        [("a", 1, "9", "1.5", "2020-02-03", 1.0), ("b", 2, "10", "12", "2019-12-31", float("nan")), (None, 2, None, "-3", None, 3.0)],
+        "s string, n int, whole string, part string, day string, x double")
     profile = {r.column_name: r for r in profile_columns(rows).collect()}
     s, n = profile["s"], profile["n"]
-    assert (s.n_rows, s.non_null, s.nulls, s.distinct, s["min"], s["max"], s.avg) == (3, 2, 1, 2, "a", "b", None)
+    assert (s.data_type, s.n_rows, s.non_null, s.nulls, s.distinct, s["min"], s["max"], s.avg) == ("string", 3, 2, 1, 2, "a", "b", None)
     assert (n.data_type, n.nulls, n.distinct, n["min"], n["max"]) == ("int", 0, 2, "1", "2")
     assert abs(n.avg - 5 / 3) < 1e-9 and abs(n.stddev - 0.57735) < 1e-4
-    assert sample_rows(rows, 2).count() == 2
+    found = {name: (profile[name].data_type, profile[name]["min"], profile[name]["max"]) for name in ("whole", "part", "day")}
+    assert found == {"whole": ("bigint", "9", "10"), "part": ("double", "-3", "12"), "day": ("date", "2019-12-31", "2020-02-03")}
+    assert profile["x"].avg == 2.0  # a NaN does not spoil the mean
+    assert [r.s for r in sample_rows(rows, 2, F.col("s").desc_nulls_last()).collect()] == ["b", "a"]

@@ -12,14 +12,14 @@ def write(folder, name, text):
 def test_quotes_tokens_and_accents(spark, tmp_path):
     path = write(tmp_path, "a.csv", (
         "id,name,url\n"
-        '1,"Lewis, ""LH""",http://x\n'
+        '1,"Quill, ""IQ""",http://x\n'
         '2,"",\\N\n'
         '3,São Paulo,"http://y/a,b"\n'
         "4, NA ,X\\N\n"
         "5,None,n/A\n"))
     rows = {r.id: (r.name, r.url) for r in read_text_table(spark, path).collect()}
     assert rows == {
-        "1": ('Lewis, "LH"', "http://x"), "2": (None, None), "3": ("São Paulo", "http://y/a,b"),
+        "1": ('Quill, "IQ"', "http://x"), "2": (None, None), "3": ("São Paulo", "http://y/a,b"),
         "4": (" NA ", "X\\N"), "5": (None, "n/A"),
     }
 
@@ -82,3 +82,21 @@ def test_many_files_are_one_table_in_name_order(spark, tmp_path):
         write(folder, f"part-{i:02d}.csv", f"id\n{i}a\n{i}b\n")
     ids = [r.id for r in read_text_table(spark, str(folder)).orderBy(ORDER).collect()]
     assert ids == [f"{i}{x}" for i in range(12) for x in "ab"]
+
+
+def test_first_row_is_that_of_the_first_path(spark, tmp_path):
+    """Two files of one name: the larger one is packed first, the first path comes first."""
+    from gridmart.operators.keys import first_rows
+
+    for season, lines in (("season=1", 3), ("season=2", 4000)):
+        (tmp_path / "t" / season).mkdir(parents=True)
+        (tmp_path / "t" / season / "part-0.csv").write_text("k,v\n" + "".join(f"{i},{season}\n" for i in range(7, 7 + lines)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("100", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = read_text_table(spark, str(tmp_path / "t"))
+            firsts = {r.k: r.v for r in first_rows(rows, ["k"], [ORDER]).where("k < 10").collect()}
+            assert firsts["7"] == firsts["8"] == firsts["9"] == "season=1"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
