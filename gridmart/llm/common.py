@@ -51,10 +51,13 @@ def pick_rows(docs: DataFrame, keepers: DataFrame, id_col: str, text_col: str) -
     Repeats go first, inside the tasks and then by one shuffle on (id, key); the join uses the same
     partitioning. No row meets another of the same id or group but its own repeats.
     """
-    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"))
-    once = row.groupBy("id", "key").agg(F.first("row").alias("row"))
-    k = keepers.select(F.col("id").alias("k_id"), F.col("key").alias("k_key"))
-    kept = once.join(k, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("key") == F.col("k_key")), "left_semi")
+    def keys(id_: Column, key: Column) -> list[Column]:
+        # Plain equality of columns without NULL: the join takes over the partitioning as it is.
+        return [id_.isNull().alias("none"), F.coalesce(id_.cast("long"), F.lit(0)).alias("id"), key.alias("key")]
+
+    row = docs.select(F.struct("*").alias("row"), *keys(F.col(id_col), text_key(F.col(text_col))))
+    once = row.groupBy("none", "id", "key").agg(F.first("row").alias("row"))
+    kept = once.join(keepers.select(*keys(F.col("id"), F.col("key"))), ["none", "id", "key"], "left_semi")
     return kept.select("row.*")
 
 
