@@ -30,21 +30,27 @@ def uniform(seed: str, key: Column, part: Column | None = None) -> Column:
     return (F.conv(F.substring(F.md5(F.concat_ws("|", *pieces)), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def poisson_quantile(u: Column, mean: Column) -> Column:
-    """The smallest count whose cumulative probability is at least u, for means up to LARGEST_MEAN."""
-    start = F.struct(F.lit(0).alias("n"), F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"))
+def poisson_levels(mean: Column) -> Column:
+    """Cumulative probabilities of 0, 1, ... for a mean up to LARGEST_MEAN, as far as they are below 1."""
+    start = F.struct(F.exp(-mean).alias("p"), F.array(F.exp(-mean)).alias("cdf"))
 
     def step(state: Column, k: Column) -> Column:
         p = state["p"] * mean / k
-        return F.when(state["cdf"] >= u, state).otherwise(
-            F.struct(k.cast("int").alias("n"), p.alias("p"), (state["cdf"] + p).alias("cdf")))
+        return F.struct(p.alias("p"), F.concat(state["cdf"], F.array(F.element_at(state["cdf"], -1) + p)).alias("cdf"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(LARGEST_COUNT)), start, step, lambda state: state["n"])
+    levels = F.aggregate(F.sequence(F.lit(1), F.lit(LARGEST_COUNT)), start, step, lambda state: state["cdf"])
+    return F.filter(levels, lambda level: level < 1.0)
+
+
+def poisson_quantile(u: Column, levels: Column) -> Column:
+    """The smallest count whose cumulative probability is at least u."""
+    return F.size(F.filter(levels, lambda level: level < u))
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col: str, text_col: str) -> DataFrame:
-    """(`source`, `rate`): the mean repetition of each source's documents at the target weights; the
-    mix is as large as the input. A source of empty texts alone has rate 1 (0 if it has no weight)."""
+    """(`source`, `rate`, `parts`, `levels`): the mean repetition of each source's documents at the target
+    weights, in how many equal parts it is drawn, and the cumulative probabilities of a part. The mix
+    is as large as the input. A source of empty texts alone has rate 1 (0 if it has no weight)."""
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("size"))
     if weights is None:
@@ -55,8 +61,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col:
     weighed = cut(sizes.withColumn("weight", weight.cast("double")))
     total = weighed.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
     scale = F.lit(float(total["size"] or 0) / (total["weight"] or 1.0))
-    return weighed.select("source", F.when(F.col("size") > 0, F.col("weight") * scale / F.col("size")).otherwise(
+    rates = weighed.select("source", F.when(F.col("size") > 0, F.col("weight") * scale / F.col("size")).otherwise(
         F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).alias("rate"))
+    rates = rates.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int"))
+    return cut(rates.withColumn("levels", poisson_levels(F.col("rate") / F.col("parts"))))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed: str = SEED, id_col: str = "doc_id",
@@ -75,12 +83,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
         F.lit("text:"), F.md5(F.coalesce(F.col("row").getField(text_col), F.lit("")))))
     rows = docs.select(F.struct("*").alias("row")).join(
         rates, F.col("row").getField(source_col).eqNullSafe(F.col("source")))
-    rows = rows.select("row", key.alias("key"), "rate")
-    parts = F.ceil(F.col("rate") / LARGEST_MEAN).cast("int")
-    one = poisson_quantile(uniform(seed, F.col("key")), F.col("rate"))
-    many = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda sum_, i: sum_ + poisson_quantile(
-        uniform(seed, F.col("key"), i), F.col("rate") / parts))
-    rows = rows.withColumn("copies", F.when(F.col("rate") <= LARGEST_MEAN, one).otherwise(many)).where("copies > 0")
+    rows = rows.select("row", key.alias("key"), "parts", "levels")
+    one = poisson_quantile(uniform(seed, F.col("key")), F.col("levels"))
+    many = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda sum_, i: sum_ + poisson_quantile(
+        uniform(seed, F.col("key"), i), F.col("levels")))
+    rows = rows.withColumn("copies", F.when(F.col("parts") == 1, one).otherwise(many)).where("copies > 0")
     rows = rows.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     place = F.xxhash64(F.lit(seed), F.col("key"), F.col("copy"))
     rows = rows.withColumn("place", place).repartition("place").sortWithinPartitions("place")
