@@ -7,12 +7,15 @@ without a second document; sequences of equal length form a bucket, from which b
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +39,11 @@ class Encoder:
     itself; all others go through the whole tokenizer. Names of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
+        """definition: the content of the tokenizer's file."""
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -89,12 +93,12 @@ def binary_pieces(n: int, longest: int = LONGEST) -> list[int]:
 _PIECES = "id long, start long, length long, ids binary, doc_tokens long"
 
 
-def _pieces(path: str, end: int, longest: int):
+def _pieces(definition: Broadcast, name: str, end: int, longest: int):
     ending = int(end).to_bytes(4, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("encoders")
-        encoder = state.get(path) or state.setdefault(path, Encoder(path))
+        encoder = state.get(name) or state.setdefault(name, Encoder(definition.value))
         for batch, texts in slices(batches, "text", most_chars=500_000):
             of, starts, lengths, ids, sizes = [], [], [], [], []
             for id_, text in zip(batch.column("id").to_pylist(), texts):
@@ -126,8 +130,12 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     if longest & (longest - 1) or not 1 <= longest <= 1 << 15:
         raise ValueError("the longest sequence must be a power of two up to 32768")
+    # The file is read here and sent along (some 2 MB): executors need not have it.
+    definition = Path(tokenizer_path).read_text(encoding="utf-8")
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    name = hashlib.sha256(definition.encode()).hexdigest()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    pieces = rows.mapInArrow(_pieces(tokenizer_path, end, longest), _PIECES)
+    pieces = rows.mapInArrow(_pieces(shared, name, end, longest), _PIECES)
     bucket = F.round(F.log2(F.col("length"))).cast("long")
     return pieces.select(
         F.col("id").alias("doc_id"), "start", "length", "ids", "doc_tokens",

@@ -215,7 +215,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def score(texts):
         import pandas as pd
 
-        values, out = texts.tolist(), []
+        values, out = [text if isinstance(text, str) else None for text in texts], []
         start, size = 0, 0
         for i, text in enumerate(values):
             n = len(text) if text else 0
