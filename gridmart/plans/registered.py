@@ -192,7 +192,7 @@ def _race_circuit_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 def _profile_table(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = blank_null_tokens(trade.raw_results(spark, folder)).drop(ORDER)
-    profile = profile_columns(cleaned)
+    profile = profile_columns(cleaned, exact=True)
     return profile.withColumns({"avg": F.round("avg", 4), "stddev": F.round("stddev", 4)})
 
 

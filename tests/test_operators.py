@@ -100,7 +100,8 @@ def test_profile(spark):
     rows = spark.createDataFrame(
         [("a", 1, "9", "1.5", "2020-02-03", 1.0), ("b", 2, "10", "12", "2019-12-31", float("nan")), (None, 2, None, "-3", None, 3.0)],
         "s string, n int, whole string, part string, day string, x double")
-    profile = {r.column_name: r for r in profile_columns(rows).collect()}
+    profile = {r.column_name: r for r in profile_columns(rows, exact=True).collect()}
+    assert {r.column_name: r.asDict() for r in profile_columns(rows).collect()} == {k: r.asDict() for k, r in profile.items()}
     s, n = profile["s"], profile["n"]
     assert (s.data_type, s.n_rows, s.non_null, s.nulls, s.distinct, s["min"], s["max"], s.avg) == ("string", 3, 2, 1, 2, "a", "b", None)
     assert (n.data_type, n.nulls, n.distinct, n["min"], n["max"]) == ("int", 0, 2, "1", "2")
