@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import slices, table
-from gridmart.llm.letters import LETTER, code_tables, joined, labelled_sample, run_hashes
+from gridmart.llm.letters import LETTER, bounded, code_tables, joined, labelled_sample, run_hashes
 
 #: Texts that the weights are learned from, at most, for each language.
 SAMPLE = 200
@@ -243,12 +243,17 @@ def train(sample: list[tuple[str, str]]) -> Model | None:
 
 
 def classify(model: Model | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Language and score of every text."""
-    words = Words(texts) if texts else None
-    if model is None or words is None or not words.count:
+    """Language and score of every text. A text over a million characters is read in pieces, each a
+    chain of its own."""
+    if model is None or not texts:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    probabilities = marginals(model.scores(words), model.transitions, words.first)
-    sums = np.stack([np.bincount(words.text_of, p * words.lengths, len(texts)) for p in probabilities.T], axis=1)
+    sums = np.zeros((len(texts), len(model.labels)))
+    for parts, owners in bounded(texts):
+        words = Words(parts)
+        if words.count:
+            probabilities = marginals(model.scores(words), model.transitions, words.first)
+            of = owners[words.text_of]
+            sums += np.stack([np.bincount(of, p * words.lengths, len(texts)) for p in probabilities.T], axis=1)
     total = sums.sum(axis=1)
     best = sums.argmax(axis=1)
     share = np.where(total > 0, sums[np.arange(len(texts)), best] / np.maximum(total, 1e-12), 0.0)

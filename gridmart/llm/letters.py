@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,30 @@ def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes, starts
 
 
+def bounded(texts: list[str | None], most_chars: int = 1_000_000) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Groups of texts of bounded size, with the number of the text that each piece belongs to. A longer
+    text is cut at white space (or, where there is none, anywhere) into pieces of different groups."""
+    parts, owners, size = [], [], 0
+    for i, text in enumerate(texts):
+        text, at = text or "", 0
+        while True:
+            end = len(text)
+            if end - at > most_chars:
+                end = max(text.rfind(" ", at + 1, at + most_chars), text.rfind("\n", at + 1, at + most_chars))
+                end = at + most_chars if end < 0 else end
+            if parts and (size + end - at > most_chars or at):
+                yield parts, np.array(owners)
+                parts, owners, size = [], [], 0
+            parts.append(text[at:end])
+            owners.append(i)
+            size += end - at
+            at = end
+            if at >= len(text):
+                break
+    if parts:
+        yield parts, np.array(owners)
+
+
 def runs(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of one class other than SPACE."""
     starts = np.flatnonzero(np.concatenate([[True], kinds[1:] != kinds[:-1]]))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import cut, slices, table
 from gridmart.llm.langid import remainder
-from gridmart.llm.letters import code_tables, joined, labelled_sample, run_hashes, runs
+from gridmart.llm.letters import bounded, code_tables, joined, labelled_sample, run_hashes, runs
 
 #: Word slots, length of a vector, entries that aren't zero in a fixed one, neighbours on each side.
 SLOT_BITS, SIZE, ENTRIES, REACH = 14, 48, 4, 2
@@ -61,8 +61,8 @@ def add_contexts(sums: np.ndarray, slots: np.ndarray, text_of: np.ndarray, fixed
 def _task_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums, fixed = np.zeros(SLOTS * SIZE), fixed_vectors()
     for _, texts in slices(batches, "text", most_chars=1_500_000, most_rows=20_000):
-        slots, text_of = word_slots(texts)
-        add_contexts(sums, slots, text_of, fixed)
+        for parts, _ in bounded(texts, 1_500_000):
+            add_contexts(sums, *word_slots(parts), fixed)
     yield from _vectors(sums)
 
 
@@ -96,21 +96,22 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(vectors: np.ndarray, texts: list[str | None]) -> np.ndarray:
     """(texts, 2 * SIZE + 1): mean and deviation of the vectors of each text's words, and the mean product
     of neighbours (near 1 where words repeat); zeros without words."""
-    slots, text_of = word_slots(texts)
-    out = np.zeros((len(texts), 2 * SIZE + 1))
-    if not len(slots):
-        return out
-    starts = np.flatnonzero(np.concatenate([[True], text_of[1:] != text_of[:-1]]))
-    found = text_of[starts]
-    n = np.diff(np.append(starts, len(slots)))[:, None]
-    words = vectors[slots]
-    mean = np.add.reduceat(words, starts, axis=0) / n
-    square = np.add.reduceat(words * words, starts, axis=0) / n
-    out[found, :SIZE] = mean
-    out[found, SIZE:2 * SIZE] = np.sqrt(np.maximum(square - mean * mean, 0))
-    alike = np.zeros(len(slots))
-    alike[1:] = np.einsum("ij,ij->i", words[1:], words[:-1]) * (text_of[1:] == text_of[:-1])
-    out[found, 2 * SIZE] = np.add.reduceat(alike, starts) / n[:, 0]
+    sums, count = np.zeros((len(texts), 2 * SIZE + 1)), np.zeros((len(texts), 1))
+    for parts, owners in bounded(texts):
+        slots, part_of = word_slots(parts)
+        if not len(slots):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], part_of[1:] != part_of[:-1]]))
+        words = vectors[slots]
+        alike = np.zeros(len(slots))
+        alike[1:] = np.einsum("ij,ij->i", words[1:], words[:-1]) * (part_of[1:] == part_of[:-1])
+        of = owners[part_of[starts]]  # no text has two pieces in one group
+        sums[of, :SIZE] += np.add.reduceat(words, starts, axis=0)
+        sums[of, SIZE:2 * SIZE] += np.add.reduceat(words * words, starts, axis=0)
+        sums[of, 2 * SIZE] += np.add.reduceat(alike, starts)
+        count[of, 0] += np.diff(np.append(starts, len(slots)))
+    out = sums / np.maximum(count, 1)
+    out[:, SIZE:2 * SIZE] = np.sqrt(np.maximum(out[:, SIZE:2 * SIZE] - out[:, :SIZE] ** 2, 0))
     return out
 
 

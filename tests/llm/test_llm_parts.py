@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridmart.llm import html_text, langid, mixing, packing, pii, quality, secrets, simhash, winnow
+from gridmart.llm import html_text, langid, letters, mixing, packing, pii, quality, secrets, simhash, winnow
 from gridmart.llm.components import star_roots
 from gridmart.llm.cuckoo import SLOTS, CuckooIndex
 
@@ -221,13 +221,37 @@ def test_winnow_keeps_the_rightmost_minimum_of_every_window(text):
 
 def test_winnow_in_stretches(monkeypatch):
     rng = random.Random(1)
-    text = "".join(rng.choices("abcd ", k=3000))
+    text = "".join(rng.choices("abcd ", k=3000)) + "ab" * 400
     whole = winnow.winnow(text)
     shared = text[1000:1000 + winnow.K + winnow.W - 1]
     assert set(winnow.winnow("zz" + shared + "yy")[0].tolist()) & set(whole[0].tolist())
-    grams = winnow.kgram_hashes(np.frombuffer(text.encode("utf-32-le"), np.uint32))
-    period = {winnow.kgram_hashes(np.array([1, 2] * 40, np.uint32))[i] for i in (0, 2, 4)}
-    assert len(period) == 1 and len(set(grams.tolist())) > 2900
+    for stretch in (100, 257, 1000):
+        monkeypatch.setattr(winnow, "STRETCH", stretch)
+        parts = winnow.winnow(text)
+        assert parts[0].tolist() == whole[0].tolist() and parts[1].tolist() == whole[1].tolist()
+
+
+def test_long_texts_are_read_in_pieces():
+    rng = random.Random(2)
+    texts = ["", "one two", " ".join(rng.choices(["alpha", "be ta", "gamma\n"], k=900)), "x" * 500, None, "last one"]
+    groups = list(letters.bounded(texts, 100))
+    assert all(sum(map(len, parts)) <= 100 for parts, _ in groups)
+    joined = [""] * len(texts)
+    for parts, owners in groups:
+        assert len(set(owners.tolist())) == len(parts)
+        for part, owner in zip(parts, owners):
+            joined[owner] += part
+    assert joined == [text or "" for text in texts]
+
+
+def test_pooling_in_pieces(monkeypatch):
+    vectors = np.random.default_rng(0).normal(size=(quality.SLOTS, quality.SIZE)).astype(np.float32)
+    texts = ["a b c a b", None, " ".join("abcdefgh"[i % 8] for i in range(600)), "z"]
+    whole = quality.pooled(vectors, texts)
+    monkeypatch.setattr(quality, "bounded", lambda texts: letters.bounded(texts, 64))
+    parts = quality.pooled(vectors, texts)
+    assert np.allclose(whole[:, :-1], parts[:, :-1], atol=1e-4) and np.abs(whole[:, -1] - parts[:, -1]).max() < 1
+    assert (whole[1] == 0).all()
 
 
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aZé'sÀſİΣ<|>09 \t\x1c\x85 ́")), max_size=60))
