@@ -65,7 +65,7 @@ def test_codeword_keys_meet_within_one_bit():
         assert {len(a) for a in mine} <= {1, 6}
 
 
-@pytest.mark.parametrize("blocks", [simhash.BLOCKS, simhash.FINER_BLOCKS])
+@pytest.mark.parametrize("blocks", [simhash.BLOCKS, 5, 6, 7, simhash.FINER_BLOCKS])
 def test_bucket_keys_meet_within_three_bits(blocks):
     rng = random.Random(blocks)
     for _ in range(300):
