@@ -8,7 +8,9 @@ import types
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,17 +69,24 @@ def worker_state(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_chars: int = 2_000_000,
+def cuts(sizes: np.ndarray, most: int, most_rows: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of rows of a bounded total size (a larger row has a range of its own)."""
+    total, start = np.cumsum(sizes), 0
+    while start < len(total):
+        end = int(np.searchsorted(total, (total[start - 1] if start else 0) + most, side="right"))
+        end = min(max(end, start + 1), start + most_rows)
+        yield start, min(end, len(total))
+        start = end
+
+
+def byte_sizes(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2_000_000,
            most_rows: int = 4096) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Pieces of the batches of bounded text size (a single longer text makes a piece of its own)."""
+    """Pieces of the batches of bounded text size; only a piece's texts exist as Python strings."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        start, size = 0, 0
-        for i, text in enumerate(texts):
-            n = len(text) if text else 0
-            if i > start and (size + n > most_chars or i - start >= most_rows):
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += n
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        for start, end in cuts(byte_sizes(batch.column(column)), most_bytes, most_rows):
+            part = batch.slice(start, end - start)
+            yield part, part.column(column).to_pylist()

@@ -271,7 +271,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text", most_chars=1_000_000):
+        for batch, texts in slices(batches, "text", most_bytes=1_000_000):
             names, scores = classify(shared.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],

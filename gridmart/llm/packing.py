@@ -99,7 +99,7 @@ def _pieces(definition: Broadcast, name: str, end: int, longest: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("encoders")
         encoder = state.get(name) or state.setdefault(name, Encoder(definition.value))
-        for batch, texts in slices(batches, "text", most_chars=500_000):
+        for batch, texts in slices(batches, "text", most_bytes=500_000):
             of, starts, lengths, ids, sizes = [], [], [], [], []
             for id_, text in zip(batch.column("id").to_pylist(), texts):
                 tokens = encoder.ids(text or "") + ending

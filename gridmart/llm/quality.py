@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import cut, slices, table
+from gridmart.llm.common import byte_sizes, cut, cuts, slices, table
 from gridmart.llm.langid import remainder
 from gridmart.llm.letters import bounded, code_tables, joined, labelled_sample, run_hashes, runs
 
@@ -29,6 +29,8 @@ SLOTS = 1 << SLOT_BITS
 SAMPLE, CALIBRATION = 1500, 0.3
 HIDDEN, EPOCHS, RATE, DECAY = 32, 60, 0.01, 1e-4
 KEEP = 0.7
+#: Text worked on at once (a worker then needs some 200 MB).
+GROUP = 400_000
 
 
 def word_slots(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,8 +62,8 @@ def add_contexts(sums: np.ndarray, slots: np.ndarray, text_of: np.ndarray, fixed
 
 def _task_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums, fixed = np.zeros(SLOTS * SIZE), fixed_vectors()
-    for _, texts in slices(batches, "text", most_chars=1_500_000, most_rows=20_000):
-        for parts, _ in bounded(texts, 1_500_000):
+    for _, texts in slices(batches, "text", most_bytes=GROUP):
+        for parts, _ in bounded(texts, GROUP):
             add_contexts(sums, *word_slots(parts), fixed)
     yield from _vectors(sums)
 
@@ -97,7 +99,7 @@ def pooled(vectors: np.ndarray, texts: list[str | None]) -> np.ndarray:
     """(texts, 2 * SIZE + 1): mean and deviation of the vectors of each text's words, and the mean product
     of neighbours (near 1 where words repeat); zeros without words."""
     sums, count = np.zeros((len(texts), 2 * SIZE + 1)), np.zeros((len(texts), 1))
-    for parts, owners in bounded(texts):
+    for parts, owners in bounded(texts, GROUP):
         slots, part_of = word_slots(parts)
         if not len(slots):
             continue
@@ -212,20 +214,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        values, out = [text if isinstance(text, str) else None for text in texts], []
-        start, size = 0, 0
-        for i, text in enumerate(values):
-            n = len(text) if text else 0
-            if i > start and size + n > 1_000_000:
-                out.append(shared.value.score(values[start:i]))
-                start, size = i, 0
-            size += n
-        out.append(shared.value.score(values[start:]))
-        return pd.Series(np.clip(np.concatenate(out), 0.0, 1.0))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        scores = [shared.value.score(texts.slice(start, end - start).to_pylist())
+                  for start, end in cuts(byte_sizes(texts), GROUP, 4096)]
+        return pa.array(np.clip(np.concatenate(scores or [np.empty(0)]), 0.0, 1.0), pa.float64())
 
     return docs.select(F.struct("*").alias("row"), score(F.col(text_col)).alias("quality_score"))
 

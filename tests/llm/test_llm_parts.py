@@ -248,7 +248,7 @@ def test_pooling_in_pieces(monkeypatch):
     vectors = np.random.default_rng(0).normal(size=(quality.SLOTS, quality.SIZE)).astype(np.float32)
     texts = ["a b c a b", None, " ".join("abcdefgh"[i % 8] for i in range(600)), "z"]
     whole = quality.pooled(vectors, texts)
-    monkeypatch.setattr(quality, "bounded", lambda texts: letters.bounded(texts, 64))
+    monkeypatch.setattr(quality, "bounded", lambda texts, most: letters.bounded(texts, 64))
     parts = quality.pooled(vectors, texts)
     assert np.allclose(whole[:, :-1], parts[:, :-1], atol=1e-4) and np.abs(whole[:, -1] - parts[:, -1]).max() < 1
     assert (whole[1] == 0).all()
