@@ -231,6 +231,30 @@ def test_winnow_in_stretches(monkeypatch):
         assert parts[0].tolist() == whole[0].tolist() and parts[1].tolist() == whole[1].tolist()
 
 
+def test_short_texts_are_like_their_half_copies():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(500)]
+    prose = [" ".join(rng.choices(words, k=60)) for _ in range(801)]
+    near = {}
+    for i, n in enumerate([*range(20, 200)] * 4):
+        text = prose[i][:n]
+        edited = winnow.winnow(winnow._edited(text, prose[i + 1]))[0]
+        near.setdefault(n, []).append(winnow.likeness(winnow.winnow(text)[0], edited))
+    assert all(min(near[n]) > 0 for n in range(22, 200))
+    assert sum(x == 0 for n in (20, 21) for x in near[n]) <= 4  # of 8
+    assert all(0.3 < sum(near[n]) / 4 < 0.7 for n in range(95, 200))
+
+
+def test_written_marks_and_likeness_are_those_of_plain_python():
+    rng = random.Random(6)
+    for n in (0, 1, 9, 40, 1000, 120_000):
+        text = "".join(rng.choices("ab é𝔘", k=n))
+        a, b = winnow.winnow(text), winnow.winnow(text[n // 2:])
+        assert winnow.written(a) == ",".join(f"{h:010x}:{p}" for h, p in zip(*(x.tolist() for x in a)))
+        common = sum((Counter(a[0].tolist()) & Counter(b[0].tolist())).values())
+        assert winnow.likeness(a[0], b[0]) == (2 * common / (len(a[0]) + len(b[0])) if n else 1.0)
+
+
 def test_long_texts_are_read_in_pieces():
     rng = random.Random(2)
     texts = ["", "one two", " ".join(rng.choices(["alpha", "be ta", "gamma\n"], k=900)), "x" * 500, None, "last one"]
