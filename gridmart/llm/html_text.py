@@ -113,7 +113,9 @@ class Lines:
                 else:
                     at = m.end()
                 name = m[2].lower()
-                if name in RAW and not m[1]:
+                if name in ("svg", "math") and not m[1] and m[3].endswith("/"):
+                    self._text(" ")  # closed by itself: nothing inside
+                elif name in RAW and not m[1]:
                     lower = lower or page.lower()
                     if len(lower) != len(page):
                         close = re.compile("</" + name, re.I).search(page, at)

@@ -339,6 +339,14 @@ def test_line_blocks():
     assert html_text.main_text("<p>only") == "only" and html_text.main_text("<!-- no end <p>x") == ""
 
 
+@pytest.mark.parametrize("icon", ["<svg class=i width='9'/>", "<svg/>", "<math />", "<SVG viewBox='0 0 1 1' />"])
+@pytest.mark.parametrize("later", ["", "<svg><path d='M0'/></svg>", "<p>x <svg/> y</p><math><mi>z</mi></math>"])
+def test_self_closed_icons_are_empty(icon, later):
+    page = f"<article><p>{icon} First part, here.</p><p>Second part.</p>{later}<p>Last part.</p></article>"
+    wanted = ["First part, here.", "Second part.", *(["x y"] if "<p>" in later else []), "Last part."]
+    assert html_text.main_text(page) == "\n\n".join(wanted)
+
+
 def test_long_and_broken_pages_take_little_time():
     assert html_text.main_text("<b>" * 50_000 + "x" + "</i>" * 50_000) == "x"
     html_text.main_text("<a href='" * 20_000)
