@@ -3,7 +3,9 @@
 Markup is stripped to lines, one per block element, with blank lines where containers begin and end.
 A line weighs its characters outside links; lines in menus, headers, footers, sidebars, notices,
 adverts, forms and comments weigh nothing. Sums over a sliding window of lines surge where a dense
-region begins and dive to zero behind it. Regions whose peak passes the threshold are kept whole.
+region begins and dive to zero behind it. Regions inside an article or main element are kept whole;
+of a page's other regions those whose peak passes the threshold, and without such an element also
+those between the first and the last of them.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ CONTAINERS = frozenset("article main nav header footer aside form body".split())
 BLOCKS = CONTAINERS | frozenset(
     "address blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li menu ol "
     "option p pre section select summary table tbody td tfoot th thead tr ul head".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Parts of class, id and role names that mark what isn't the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
@@ -56,6 +59,7 @@ class Lines:
     def __init__(self, page: str):
         self.texts: list[str] = []
         self.weights: list[int] = []
+        self.inside: list[bool] = []  # of an article or main element
         self._pieces: list[str] = []
         self._linked = 0
         self._open: list[tuple[str, bool]] = []
@@ -71,11 +75,14 @@ class Lines:
             if text:
                 inside = not self._skipped
                 self.texts.append(text if inside else "")
-                self.weights.append(max(0, len(text) - self._linked) if inside else 0)
+                linked = 0 if self._articles and any(self._names[h] for h in HEADINGS) else self._linked
+                self.weights.append(max(0, len(text) - linked) if inside else 0)
+                self.inside.append(self._articles > 0)
             self._pieces, self._linked = [], 0
         if blanks and self.texts:
             self.texts += [""] * blanks
             self.weights += [0] * blanks
+            self.inside += [self._articles > 0] * blanks
 
     def _text(self, text: str) -> None:
         if text:
@@ -173,23 +180,34 @@ class Lines:
             self._end(WINDOW if name in CONTAINERS else 1 if name in ("div", "ul", "ol", "table", "section") else 0)
 
 
-def regions(weights: list[int]) -> list[tuple[int, int]]:
-    """Surge and dive points (first line, line after) of the dense regions."""
+def window_sums(weights: list[int]) -> np.ndarray:
+    """Of each line and those behind it, a window in all."""
+    return np.convolve(np.array(weights, np.int64), np.ones(WINDOW, np.int64))[WINDOW - 1:]
+
+
+def regions(weights: list[int], inside: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Surge and dive points (first line, line after) of the kept regions. inside tells the lines of
+    article and main elements."""
     if not weights:
         return []
-    w = np.array(weights, np.int64)
-    sums = np.convolve(w, np.ones(WINDOW, np.int64))[WINDOW - 1:]  # of each line and those behind it
+    sums = window_sums(weights)
     dense = np.concatenate([[False], sums > 0, [False]])
     surges = np.flatnonzero(~dense[:-1] & dense[1:])
     dives = np.flatnonzero(dense[:-1] & ~dense[1:])
     limit = min(THRESHOLD, sums.max() / 2)
-    return [(int(a), int(b)) for a, b in zip(surges, dives) if sums[a:b].max() > limit]
+    kept = [bool(sums[a:b].max() > limit) for a, b in zip(surges, dives)]
+    if inside is not None and any(inside):
+        kept = [k or any(i and w for i, w in zip(inside[a:b], weights[a:b])) for k, a, b in zip(kept, surges, dives)]
+    elif any(kept):
+        first, last = kept.index(True), len(kept) - kept[::-1].index(True)
+        kept[first:last] = [True] * (last - first)
+    return [(int(a), int(b)) for k, a, b in zip(kept, surges, dives) if k]
 
 
 def main_text(page: str | None) -> str:
     """The kept lines, with an empty line between; empty if the page has no text outside boilerplate."""
     lines = Lines(page or "")
-    return "\n\n".join(text for a, b in regions(lines.weights) for text in lines.texts[a:b] if text)
+    return "\n\n".join(text for a, b in regions(lines.weights, lines.inside) for text in lines.texts[a:b] if text)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

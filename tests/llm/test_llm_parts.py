@@ -347,6 +347,20 @@ def test_self_closed_icons_are_empty(icon, later):
     assert html_text.main_text(page) == "\n\n".join(wanted)
 
 
+def test_short_parts_between_containers_stay():
+    long = "Long text of the article. " * 20
+    parts = ["<header><h1>Short title</h1></header>", f"<p>{long}</p>", "<aside>See also</aside>", "<p>One line.</p>",
+             "<form>Your name <input></form>", "<div class='ad'>Buy this</div>", "<p>The end.</p>"]
+    wanted = "\n\n".join(["Short title", long.strip(), "One line.", "The end."])
+    for name in ("article", "main"):
+        page = f"<body><p>Up here</p><nav>Home</nav><{name}>{''.join(parts)}</{name}><footer>Left</footer><p>Down here</p>"
+        assert html_text.main_text(page) == wanted
+    linked = f"<article><header><h1><a href=x>Linked title</a></h1></header><p>{long}</p></article>"
+    assert html_text.main_text(linked) == "Linked title\n\n" + long.strip()
+    page = f"<body><p>Up here</p><nav>Home</nav><p>{long}</p>{''.join(parts[2:])}<form>x</form><p>{long}</p><nav>Next</nav><p>Down here</p>"
+    assert html_text.main_text(page) == "\n\n".join([long.strip(), "One line.", "The end.", long.strip()])
+
+
 def test_long_and_broken_pages_take_little_time():
     assert html_text.main_text("<b>" * 50_000 + "x" + "</i>" * 50_000) == "x"
     html_text.main_text("<a href='" * 20_000)
