@@ -5,7 +5,9 @@ A line weighs its characters outside links; lines in menus, headers, footers, si
 adverts, forms and comments weigh nothing. Sums over a sliding window of lines surge where a dense
 region begins and dive to zero behind it. Regions inside an article or main element are kept whole;
 of a page's other regions those whose peak passes the threshold, and without such an element also
-those between the first and the last of them.
+those between the first and the last of them. A part is a menu, sidebar and so on by its tag, or by
+a whole class, id or role name; one skipped by name alone is read after all if it holds what the page
+is about (see Lines._uncover).
 """
 
 from __future__ import annotations
@@ -34,7 +36,11 @@ BLOCKS = CONTAINERS | frozenset(
     "address blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li menu ol "
     "option p pre section select summary table tbody td tfoot th thead tr ul head".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-#: Parts of class, id and role names that mark what isn't the article.
+#: Block elements whose class, id or role names never skip them. Ids of other elements than LISTED are
+#: places that links lead to.
+PLAIN = frozenset(("html", "body", "article", "main", *HEADINGS))
+LISTED = frozenset("div ul ol table".split())
+#: Whole class, id and role names that mark what isn't the article, also joined by - or _.
 MARKS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
     "sidebar footer header masthead breadcrumb breadcrumbs comment comments reply replies disqus cookie cookies "
@@ -42,14 +48,20 @@ MARKS = frozenset(
     "recommended popup modal overlay widget pagination pager toolbar search complementary contentinfo".split())
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_NAMES = re.compile(r"""(?<![A-Za-z-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_PARTS = re.compile(r"[A-Za-z]+")
+_NAMES = re.compile(r"""(?<![A-Za-z-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_JOINTS = re.compile("[-_]+")
 
 
-def _marked(attributes: str) -> bool:
+def _marked(name: str, attributes: str, in_article: bool) -> bool:
+    """Whether a name of the element says that it isn't the article: one of MARKS, or several joined."""
+    if name not in BLOCKS or name in PLAIN:
+        return False
     for m in _NAMES.finditer(attributes):
-        if any(part.lower() in MARKS for part in _PARTS.findall(m[1] or m[2] or m[3] or "")):
-            return True
+        if m[1].lower() == "id" and name not in LISTED:
+            continue
+        for token in (m[2] or m[3] or m[4] or "").lower().split():
+            if all(part in MARKS for part in _JOINTS.split(token)) and not (in_article and token in ("header", "masthead")):
+                return True
     return False
 
 
@@ -60,13 +72,22 @@ class Lines:
         self.texts: list[str] = []
         self.weights: list[int] = []
         self.inside: list[bool] = []  # of an article or main element
+        # Parts skipped by name: the part around; the h1 elements, then the article and main ones, inside.
+        # For each line its innermost one, or -1.
+        self._parts: list[list[int]] = []
+        self._part, self._of = -1, []
         self._pieces: list[str] = []
         self._linked = 0
-        self._open: list[tuple[str, bool]] = []
+        self._open: list[tuple[str, bool, int]] = []
         self._names: Counter = Counter()
-        self._skipped = self._links = self._articles = 0
+        self._skipped = self._links = self._articles = self._titles = self._mains = 0
         self._read(page)
         self._end()
+        while self._part >= 0:
+            self._leave(self._part)
+        self.densest = 0
+        if self._parts and self.texts:
+            self._uncover()
 
     def _end(self, blanks: int = 0) -> None:
         """Close the line; blanks adds empty lines behind it."""
@@ -78,11 +99,13 @@ class Lines:
                 linked = 0 if self._articles and any(self._names[h] for h in HEADINGS) else self._linked
                 self.weights.append(max(0, len(text) - linked) if inside else 0)
                 self.inside.append(self._articles > 0)
+                self._of.append(self._part)
             self._pieces, self._linked = [], 0
         if blanks and self.texts:
             self.texts += [""] * blanks
             self.weights += [0] * blanks
             self.inside += [self._articles > 0] * blanks
+            self._of += [-1] * blanks
 
     def _text(self, text: str) -> None:
         if text:
@@ -149,15 +172,28 @@ class Lines:
             self._text(" ")
         if name in VOID or attributes.endswith("/"):
             return
-        skipped = (name in BOILERPLATE and not (name == "header" and self._articles)
-                   or name not in ("html", "body", "article", "main") and _marked(attributes))
+        skipped = name in BOILERPLATE and not (name == "header" and self._articles)
+        part = -1
+        if not skipped and not self._skipped and attributes and _marked(name, attributes, self._articles > 0):
+            self._end(WINDOW)
+            part = len(self._parts)
+            self._parts.append([self._part, -self._titles, -self._mains])
+            self._part = part
         if skipped and not self._skipped:
             self._end(WINDOW)
-        self._open.append((name, skipped))
+        self._open.append((name, skipped, part))
         self._names[name] += 1
         self._skipped += skipped
         self._links += name == "a"
         self._articles += name in ("article", "main")
+        self._titles += name == "h1" and not self._skipped
+        self._mains += name in ("article", "main") and not self._skipped
+
+    def _leave(self, part: int) -> None:
+        # The counts began at minus those before the part.
+        self._part = self._parts[part][0]
+        self._parts[part][1] += self._titles
+        self._parts[part][2] += self._mains
 
     def _close(self, name: str) -> None:
         if name in BLOCKS:
@@ -165,8 +201,12 @@ class Lines:
         if not self._names[name]:
             return
         while self._open:
-            opened, skipped = self._open.pop()
+            opened, skipped, part = self._open.pop()
             self._names[opened] -= 1
+            if part >= 0:
+                self._end()
+                self._leave(part)
+                self._end(WINDOW)
             if skipped:
                 self._end()
                 self._skipped -= 1
@@ -180,21 +220,64 @@ class Lines:
             self._end(WINDOW if name in CONTAINERS else 1 if name in ("div", "ul", "ol", "table", "section") else 0)
 
 
+    def _covered(self, read: set[int]) -> list[bool]:
+        """Of each line, whether a part that isn't in read covers it."""
+        parts: list[bool] = []
+        for i, (around, _, _) in enumerate(self._parts):
+            parts.append(i not in read or around >= 0 and parts[around])
+        return [part >= 0 and parts[part] for part in self._of]
+
+    def _uncover(self) -> None:
+        """Empty the lines of parts skipped by name. A part around the page's densest window is read
+        if all article and main elements are in it (or there are none), and either there is such an
+        element or an h1, all of them inside, or the rest of the page has no window that would pass
+        the threshold. densest: the densest window before."""
+        def shown() -> list[int]:
+            return [0 if c else w for c, w in zip(self._covered(read), self.weights)]
+
+        read: set[int] = set()
+        sums = window_sums(self.weights)
+        at = int(sums.argmax())
+        limit = min(THRESHOLD, sums[at] / 2)
+        top = self.densest = int(window_sums(shown()).max())
+        around: list[set[int]] = []
+        for line in range(at, min(at + WINDOW, len(self.weights))):
+            if self.weights[line]:
+                part, chain = self._of[line], set()
+                while part >= 0:
+                    chain.add(part)
+                    part = self._parts[part][0]
+                around.append(chain)
+        own = set(self._of)
+        for part in sorted(set.intersection(*around) if around else ()):  # from the outermost inwards
+            _, titles, mains = self._parts[part]
+            all_inside = titles + mains > 0 and titles == self._titles
+            if mains < self._mains or not all_inside and top > limit:
+                break
+            read.add(part)
+            if part in own:
+                top = int(window_sums(shown()).max())
+        for line, covered in enumerate(self._covered(read)):
+            if covered:
+                self.texts[line], self.weights[line] = "", 0
+
+
 def window_sums(weights: list[int]) -> np.ndarray:
     """Of each line and those behind it, a window in all."""
     return np.convolve(np.array(weights, np.int64), np.ones(WINDOW, np.int64))[WINDOW - 1:]
 
 
-def regions(weights: list[int], inside: list[bool] | None = None) -> list[tuple[int, int]]:
+def regions(weights: list[int], inside: list[bool] | None = None, densest: int = 0) -> list[tuple[int, int]]:
     """Surge and dive points (first line, line after) of the kept regions. inside tells the lines of
-    article and main elements."""
+    article and main elements; densest is the window that short pages are measured by, if not the
+    densest of all."""
     if not weights:
         return []
     sums = window_sums(weights)
     dense = np.concatenate([[False], sums > 0, [False]])
     surges = np.flatnonzero(~dense[:-1] & dense[1:])
     dives = np.flatnonzero(dense[:-1] & ~dense[1:])
-    limit = min(THRESHOLD, sums.max() / 2)
+    limit = min(THRESHOLD, (densest or sums.max()) / 2)
     kept = [bool(sums[a:b].max() > limit) for a, b in zip(surges, dives)]
     if inside is not None and any(inside):
         kept = [k or any(i and w for i, w in zip(inside[a:b], weights[a:b])) for k, a, b in zip(kept, surges, dives)]
@@ -207,7 +290,7 @@ def regions(weights: list[int], inside: list[bool] | None = None) -> list[tuple[
 def main_text(page: str | None) -> str:
     """The kept lines, with an empty line between; empty if the page has no text outside boilerplate."""
     lines = Lines(page or "")
-    return "\n\n".join(text for a, b in regions(lines.weights, lines.inside) for text in lines.texts[a:b] if text)
+    return "\n\n".join(text for a, b in regions(lines.weights, lines.inside, lines.densest) for text in lines.texts[a:b] if text)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -361,6 +361,34 @@ def test_short_parts_between_containers_stay():
     assert html_text.main_text(page) == "\n\n".join([long.strip(), "One line.", "The end.", long.strip()])
 
 
+def test_names_skip_no_article():
+    long = "Long text of the article. " * 20
+    page = f"<h1>Title</h1><p>{long}</p><p>The end.</p>"
+    whole = "\n\n".join(["Title", long.strip(), "The end."])
+    for name in ("no-sidebar", "has-banner", "with-sidebar", "page with-sidebar", "widget", "overlay"):
+        assert html_text.main_text(f"<body><div class='{name}'>{page}</div><p>Copyright</p></body>").startswith(whole)
+        assert html_text.main_text(f"<div id='{name}'><div class=popup><article>{page}</article></div></div>") == whole
+    inner = (f"<div class='entry-header'><h1>Title</h1></div><p>{long}</p><h2 id='related-work'>Related work</h2><p>Some.</p>"
+             "<h2 class=social>Social</h2><section id='search'><p>Search it</p></section><div class=header><p>By me</p></div>"
+             "<p>One <a class='share' href=x>linked</a> and <span id='social'>social</span> tail</p>")
+    wanted = ["Title", long.strip(), "Related work", "Some.", "Social", "Search it", "By me", "One linked and social tail"]
+    assert html_text.main_text(f"<article>{inner}</article>") == "\n\n".join(wanted)
+
+
+def test_names_still_skip_what_is_no_article():
+    long, other = "Long text of the article. " * 20, "<p>" + "Other things on this site. " * 40 + "</p>"
+    for name in ("class=ad", "class='x Comments'", "id=sidebar", "role=navigation", "class='cookie-banner'", "id=social_share"):
+        for page in (f"<article><p>{long}</p><div {name}>{other}</div></article>", f"<p>{long}</p><div {name}>{other}</div>",
+                     f"<div {name}>{other}<div>{other}</div></div><h1>{long}</h1>"):
+            assert html_text.main_text(page) == long.strip()
+    short = "<p>A short article.</p><div class=comments><p>" + "I disagree. " * 30 + "</p></div>"
+    assert html_text.main_text(short).startswith("A short article.")
+    tiny = "<div class=ad>Some words of an advert, more than the article's.</div><article><h1>Reo. Nd.</h1><p>Reo. Nd.</article>"
+    assert html_text.main_text(tiny) == "Reo. Nd.\n\nReo. Nd."
+    deep = "<div class=ad>" * 3000 + "<p>" + long
+    assert html_text.main_text(deep) == long.strip()
+
+
 def test_long_and_broken_pages_take_little_time():
     assert html_text.main_text("<b>" * 50_000 + "x" + "</i>" * 50_000) == "x"
     html_text.main_text("<a href='" * 20_000)
