@@ -36,15 +36,21 @@ class Encoder:
 
     No token crosses white space, so a text's ids are those of its words, which are remembered. Words
     of simple Latin letters go to the tokenizer's model directly, split and in lower case as it does
-    itself; all others go through the whole tokenizer. Names of special tokens are ordinary text.
+    itself; all others go through the whole tokenizer. Names of the file's added tokens are ordinary
+    text, or else (named) those tokens, as in the tokenizer's own encoding: texts that hold one go
+    through the whole tokenizer.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, named: bool = False):
         """definition: the content of the tokenizer's file."""
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not named
+        added = self.tokenizer.get_added_tokens_decoder().values() if named else ()
+        # A name that is looked for after normalization may hide in any text.
+        names = "" if any(token.normalized for token in added) else "|".join(re.escape(token.content) for token in added)
+        self.has_name = re.compile(names).search if added else lambda text: None
         self.model = self.tokenizer.model
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x130)]]
@@ -78,7 +84,7 @@ class Encoder:
         return ids
 
     def ids(self, text: str) -> bytes:
-        if _OTHER_SPACE(text):  # white space to Python, but not to the tokenizer
+        if _OTHER_SPACE(text) or self.has_name(text):  # (white space to Python, but not to the tokenizer)
             return self.whole(text)
         known = self.words.get
         return b"".join([known(word) or self._word(word) for word in text.split()])
@@ -98,7 +104,7 @@ def _pieces(definition: Broadcast, name: str, end: int, longest: int):
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("encoders")
-        encoder = state.get(name) or state.setdefault(name, Encoder(definition.value))
+        encoder = state.get(name) or state.setdefault(name, Encoder(definition.value, named=True))
         for batch, texts in slices(batches, "text", most_bytes=500_000):
             of, starts, lengths, ids, sizes = [], [], [], [], []
             for id_, text in zip(batch.column("id").to_pylist(), texts):
@@ -123,7 +129,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """One row per piece: doc_id, start, length, ids (binary, 32 bits each, little-endian), doc_tokens,
     sequence_id, offset.
 
-    No text is an empty one: the end token alone. Repeated rows are packed each. Sequence ids are
+    ids are those of the tokenizer's file without its added ends; a name of a special token in a text
+    is that token. No text is an empty one: the end token alone. Repeated rows are packed each. Sequence ids are
     unique; their last four bits tell the bucket (length = 1 << bits). A piece is a sequence, so its
     offset is 0. An empty table gives an empty result; other columns are not read. Tasks need no
     shuffle, and memory for a few texts.

@@ -290,6 +290,23 @@ def test_encoder_gives_the_tokenizers_ids(text):
     assert np.frombuffer(state["own"].ids(text), np.uint32).tolist() == state["whole"].encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "It's", "À 1", "\x1c", "\n", "end"]), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_packed_ids_are_those_of_the_unchanged_tokenizer(parts):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    state = test_packed_ids_are_those_of_the_unchanged_tokenizer.__dict__
+    if "whole" not in state:
+        state["whole"], state["own"] = Tokenizer.from_file(path), packing.Encoder(Path(path).read_text(encoding="utf-8"), named=True)
+    for text in ("".join(parts), "read <|endoftext|> more" + " ".join(parts)):
+        assert np.frombuffer(state["own"].ids(text), np.uint32).tolist() == state["whole"].encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_hold_the_ids_of_named_tokens(spark):
+    docs = spark.createDataFrame([(1, "read <|endoftext|> more")], "doc_id long, text string")
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).orderBy("start").collect()
+    assert np.frombuffer(b"".join(p.ids for p in pieces), np.uint32).tolist() == [1199, 49407, 750, packing.END]
+
+
 @given(st.integers(1, 40_000))
 def test_binary_pieces(n):
     pieces = packing.binary_pieces(n)
