@@ -51,7 +51,7 @@ def luhn(digits: str) -> bool:
 
 def is_ip(text: str) -> bool:
     parts = text.split(".")
-    return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and p.isdigit() and int(p) <= 255 for p in parts)
+    return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and p.isascii() and p.isdigit() and int(p.lstrip("0") or "0") <= 255 for p in parts)
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:

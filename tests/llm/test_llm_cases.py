@@ -104,6 +104,14 @@ def test_personal_data(docs, empty):
     assert spans == [(0, 7, 12), (1, 17, 24), (3, 47, 56)] and dropped == [(27, 36), (42, 46)]
 
 
+def test_addresses_with_many_zeros(spark):
+    zeros = "0" * 5000
+    texts = [f"at 1.2.3.{zeros} now", f"{zeros}7.2.3.4", f"1.2.3.{zeros}256", "0.0.0.0 1.2.3.4", "1.2².3.4 m"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.id: [(s.kind, s.start, s.end) for s in r.base] for r in pii.find_personal_data(docs, pii.learn(docs)).collect()}
+    assert rows == {0: [(1, 3, 5009)], 1: [(1, 0, 5007)], 2: [], 3: [(1, 0, 7), (1, 8, 15)], 4: []}
+
+
 def test_main_text(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<p>Hello</p>", 1), (2, None, None, 2), (None, "v", "", 3), (1, "u", "<p>Hello</p>", 4),
