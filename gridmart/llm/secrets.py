@@ -2,9 +2,10 @@
 
 A window slides over every candidate string (a long run of key characters). Its Shannon entropy,
 log2(W) - sum(n * log2(n)) / W over the counts n of its characters, follows from the counts of the
-one character that leaves and the one that enters; counts of characters outside the digits and
-outside the hex digits tell the window's character class, which has its own threshold. Strings on an
-allow-list (words, paths, dates, UUIDs, placeholders) are not reported.
+one character that leaves and the one that enters; counts of characters outside the digits, the hex
+digits, and digits with letters of one case tell the window's character class, which has its own
+threshold. Strings on an allow-list (words, paths, dates, UUIDs) and parts with a placeholder are not
+reported.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ PATTERNS = {
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 #: Characters of a window, and bits of entropy from which a window of a class is suspect. Windows of
-#: digits alone never are: the most they can have is below any random key of the other classes.
-WINDOW = 24
+#: digits alone never are. Of random windows about one in a hundred is below the limit of its class: of
+#: hex digits, of digits and letters of one case (base 32 and 36), and of others (base 62 and 64).
+WINDOW = 16
 STRETCH = 512
-HEX_BITS, KEY_BITS = 3.0, 4.0
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
-#: Allow-list: every part of the string is a word, an acronym or a short number; or a UUID.
-ALLOWED_PART = r"^([A-Z]?[a-z]*|[A-Z]+|[0-9]{1,8})$"
+HEX_BITS, CASE_BITS, KEY_BITS = 2.65, 3.07, 3.32
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+#: Allow-list: every part of the string is a word, joined words (each capital begins one), an acronym or
+#: a short number; or a UUID.
+ALLOWED_PART = r"^([A-Z]?[a-z]*|(?!.*[A-Z](?![a-z]))[A-Za-z]+|[A-Z]+|[0-9]{1,8})$"
 ALLOWED_WHOLE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 PLACEHOLDER = r"(?i)example|placeholder|dummy|changeme|xxxxxx"
 KINDS = [*PATTERNS, "entropy"]
@@ -68,7 +71,10 @@ def _outside(letter: Column, allowed: str) -> Column:
     return F.when(F.instr(F.lit(allowed), letter) > 0, 0).otherwise(1)
 
 
-_DIGITS, _HEX = "0123456789", "0123456789abcdefABCDEF"
+_DIGITS = "0123456789"
+#: Characters of the classes that a window is told by: the name of the count of those outside.
+_CLASSES = {"nondigits": _DIGITS, "nonhex": _DIGITS + "abcdefABCDEF", "nonlower": _DIGITS + "abcdefghijklmnopqrstuvwxyz",
+            "nonupper": _DIGITS + "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -99,15 +105,15 @@ def _suspect_windows(value: Column) -> Column:
     letters = F.split(whole, "")
     total = F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda sum_, x: sum_ + _n_log_n(_count(whole, x)))
     start = F.struct(
-        total.alias("sum"), (F.length(whole) - F.length(F.regexp_replace(whole, "[^0-9]", ""))).alias("nondigits"),
-        (F.length(whole) - F.length(F.regexp_replace(whole, "[^0-9a-fA-F]", ""))).alias("nonhex"),
+        total.alias("sum"), *[F.length(F.translate(whole, allowed, "")).alias(name) for name, allowed in _CLASSES.items()],
         F.lit(-1).alias("first"), F.lit(-1).alias("last"))
 
     def judged(state: Column, place: Column) -> Column:
         bits = F.lit(math.log2(WINDOW)) - state["sum"] / WINDOW
-        limit = F.when(state["nonhex"] == 0, F.lit(HEX_BITS)).otherwise(F.lit(KEY_BITS))
+        limit = F.when(state["nonhex"] == 0, F.lit(HEX_BITS)).when(
+            (state["nonlower"] == 0) | (state["nonupper"] == 0), F.lit(CASE_BITS)).otherwise(F.lit(KEY_BITS))
         hit = (state["nondigits"] > 0) & (bits >= limit)
-        return F.struct(state["sum"].alias("sum"), state["nondigits"].alias("nondigits"), state["nonhex"].alias("nonhex"),
+        return F.struct(state["sum"].alias("sum"), *[state[name].alias(name) for name in _CLASSES],
                         F.when(hit & (state["first"] < 0), place).otherwise(state["first"]).alias("first"),
                         F.when(hit, place).otherwise(state["last"]).alias("last"))
 
@@ -118,8 +124,8 @@ def _suspect_windows(value: Column) -> Column:
                       + _n_log_n(x["n_enters"] + 1) - _n_log_n(x["n_enters"]))
             return F.struct(
                 F.when(x["leaves"] == x["enters"], state["sum"]).otherwise(state["sum"] + change).alias("sum"),
-                (state["nondigits"] - _outside(x["leaves"], _DIGITS) + _outside(x["enters"], _DIGITS)).alias("nondigits"),
-                (state["nonhex"] - _outside(x["leaves"], _HEX) + _outside(x["enters"], _HEX)).alias("nonhex"),
+                *[(state[name] - _outside(x["leaves"], allowed) + _outside(x["enters"], allowed)).alias(name)
+                  for name, allowed in _CLASSES.items()],
                 state["first"].alias("first"), state["last"].alias("last"))
 
         window = F.struct(F.substring(value, i, F.lit(WINDOW)).alias("before"),
@@ -138,9 +144,23 @@ def _suspect_windows(value: Column) -> Column:
                        lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
+def _words(value: Column) -> Column:
+    return F.forall(F.split(value, "[-_/=+]"), lambda part: part.rlike(ALLOWED_PART))
+
+
+def _known(value: Column) -> Column:
+    return _words(value) | value.rlike(ALLOWED_WHOLE)
+
+
+def _placeholder(part: Column) -> Column:
+    """Whether a piece of a suspect part that could itself be a key holds a placeholder: not a folder
+    or a name before a key."""
+    return part.rlike(PLACEHOLDER) & F.exists(F.split(part, "[/=]"), lambda piece: (
+        F.length(piece) >= WINDOW) & piece.rlike(PLACEHOLDER) & ~_words(piece))
+
+
 def allowed(value: Column) -> Column:
-    words = F.forall(F.split(value, "[-_/=+]"), lambda part: part.rlike(ALLOWED_PART))
-    return words | value.rlike(ALLOWED_WHOLE) | value.rlike(PLACEHOLDER)
+    return _known(value) | value.rlike(PLACEHOLDER)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,7 +175,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = docs.select(
         F.col(id_col).alias("doc_id"), text.alias("text"),
         *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"hits_{kind}") for kind, p in PATTERNS.items()],
-        F.filter(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda x: ~allowed(x)).alias("hits_entropy"))
+        F.filter(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda x: ~_known(x)).alias("hits_entropy"))
     none = F.array().cast(_SPANS)
 
     def spans(kind: str, group: int) -> Column:
@@ -171,12 +191,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = F.concat(spans("assign", 2), spans("access", 0), spans("hex", 0))
     based = found.select("doc_id", "text", F.sort_array(base).alias("base"), (F.size("hits_entropy") > 0).alias("some"))
     hits = F.regexp_extract_all(F.col("text"), F.lit(CANDIDATE), F.lit(0))
-    places = F.filter(located(F.col("text"), CANDIDATE, hits, hits), lambda x: ~allowed(x["value"]))
+    places = F.filter(located(F.col("text"), CANDIDATE, hits, hits), lambda x: ~_known(x["value"]))
 
     def part(x: Column) -> Column:
-        return F.struct(x["start"].alias("start"), suspect_part(x["value"]).alias("part"))
+        return F.struct(x["start"].alias("start"), x["value"].alias("value"), suspect_part(x["value"]).alias("part"))
 
-    parts = F.filter(F.transform(places, part), lambda x: x["part"]["first"].isNotNull())
+    parts = F.filter(F.transform(places, part), lambda x: x["part"]["first"].isNotNull() & ~_placeholder(F.substring(
+        x["value"], x["part"]["first"] + 1, x["part"]["last"] - x["part"]["first"] + WINDOW)))
     added = F.transform(parts, lambda x: F.struct(
         (x["start"] + x["part"]["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("rank"),
         F.lit("entropy").alias("kind"), (x["start"] + x["part"]["last"] + WINDOW).alias("end")))

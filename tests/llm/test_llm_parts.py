@@ -345,6 +345,30 @@ def test_allow_list(spark, value, allowed):
     assert spark.range(1).select(secrets.allowed(F.lit(value))).first()[0] is allowed
 
 
+def test_random_keys_of_every_alphabet_are_found(spark):
+    rng, lower, upper = random.Random(12), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = {"HEX": "0123456789ABCDEF", "BASE32": upper + "234567", "base32": lower + "234567",
+                 "BASE36": upper + "0123456789", "base36": lower + "0123456789", "base62": lower + upper + "0123456789",
+                 "base64": lower + upper + "0123456789+/"}
+    rows = [(f"{name}:{n}:{i}", "key is " + "".join(rng.choices(letters, k=n)) + " there")
+            for name, letters in alphabets.items() for n in (16, 20, 24, 32, 40) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = Counter(r.doc_id.rsplit(":", 1)[0] for r in secrets.find_secrets(docs).collect() if r.base or r.added)
+    assert len(found) == 35 and min(found.values()) >= 54, found
+    assert sum(found.values()) >= 0.98 * len(rows)
+
+
+def test_placeholders_count_in_the_key_only(spark):
+    key = "Zq9LkP3xT7vW1mN8bR5cY2dF6h"
+    texts = [f"/home/example/{key}", f"dummy={key}", f"/srv/example1/my-dummy-dir/{key}",
+             "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "myEXAMPLEkey1234567890abcd", "getElementByIdAndClassName",
+             "some-long-path/with_words/inside", "4111111111111111", "123e4567-e89b-12d3-a456-426614174000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.added for r in secrets.find_secrets(docs).collect()}
+    assert [len(rows[i]) for i in range(len(texts))] == [1, 1, 1, 0, 0, 0, 0, 0, 0]
+    assert all(rows[i][0].end == len(texts[i]) for i in range(3))
+
+
 def test_line_blocks():
     assert html_text.regions([]) == []
     assert html_text.regions([5, 0, 0, 0, 200, 0, 30, 0, 0, 0, 10]) == [(2, 7)]
