@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridmart.llm.decontam import OP11_SQL, op11_decontamination
 from gridmart.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from gridmart.llm.html_text import op5_main_text
 from gridmart.llm.langid import op1_language_id
@@ -30,9 +31,11 @@ QUERIES: dict[str, Query] = {
     "op8_binary_packing": op8_binary_packing,
     "op9_winnowing": op9_winnowing,
     "op10_mix_sources": op10_mix_sources,
+    "op11_decontamination": op11_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op10_mix_sources": OP10_SQL,
+    "op11_decontamination": OP11_SQL,
 }

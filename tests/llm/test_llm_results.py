@@ -23,7 +23,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     found = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "benchmark"):
         found.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return found
 
