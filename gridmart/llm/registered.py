@@ -10,6 +10,7 @@ from gridmart.llm.decontam import OP11_SQL, op11_decontamination
 from gridmart.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from gridmart.llm.html_text import op5_main_text
 from gridmart.llm.langid import op1_language_id
+from gridmart.llm.merkle import OP13_SQL, op13_merkle_manifest
 from gridmart.llm.mixing import OP10_SQL, op10_mix_sources
 from gridmart.llm.packing import op8_binary_packing
 from gridmart.llm.pii import op4_personal_data
@@ -32,10 +33,12 @@ QUERIES: dict[str, Query] = {
     "op9_winnowing": op9_winnowing,
     "op10_mix_sources": op10_mix_sources,
     "op11_decontamination": op11_decontamination,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op10_mix_sources": OP10_SQL,
     "op11_decontamination": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
