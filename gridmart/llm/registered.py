@@ -17,6 +17,7 @@ from gridmart.llm.pii import op4_personal_data
 from gridmart.llm.quality import op7_quality
 from gridmart.llm.secrets import op6_secret_scan
 from gridmart.llm.simhash import op2_simhash_dedup
+from gridmart.llm.spelling import OP12_SQL, op12_spelling_variants
 from gridmart.llm.winnow import op9_winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,7 @@ QUERIES: dict[str, Query] = {
     "op9_winnowing": op9_winnowing,
     "op10_mix_sources": op10_mix_sources,
     "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -40,5 +42,6 @@ ORACLE: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op10_mix_sources": OP10_SQL,
     "op11_decontamination": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

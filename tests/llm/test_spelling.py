@@ -1,0 +1,123 @@
+"""Spelling variants: the index against a comparison of all pairs, buckets of any size, odd inputs."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from gridmart.llm import spelling
+
+
+def is_near(a, b):
+    """Exactly one letter inserted, deleted or replaced."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def drawn(draw, n, letters, most):
+    return list({"".join(draw.choice(letters) for _ in range(draw.randint(5, most))) for _ in range(n)})
+
+
+def all_pairs(words):
+    return {tuple(sorted((a, b))) for i, a in enumerate(words) for b in words[:i] if is_near(a, b)}
+
+
+@pytest.mark.parametrize("letters,n,most", [("ab", 60, 7), ("ab", 300, 9), ("abcé", 700, 6), ("xyz÷", 64, 5), ("a", 9, 12)])
+@pytest.mark.parametrize("walk", [spelling.WALK, 3])
+def test_index_finds_all_pairs(letters, n, most, walk, monkeypatch):
+    monkeypatch.setattr(spelling, "WALK", walk)
+    words = drawn(random.Random(n), n, letters, most)
+    left, right = spelling.near_pairs(words)
+    found = [tuple(sorted((words[a], words[b]))) for a, b in zip(left, right)]
+    assert len(found) == len(set(found)) and set(found) == all_pairs(words)
+
+
+@pytest.mark.parametrize("limit", [spelling.BUCKET, 20, 2])
+def test_buckets_lose_no_pair(spark, limit):
+    """Also when most buckets are dealt anew, down to single letters."""
+    draw = random.Random(5)
+    words = drawn(draw, 400, "abc", 8) + [f"prefix{w}" for w in drawn(draw, 100, "ab", 7)] + ["z" * k for k in range(5, 40)]
+    words = sorted(set(words))
+    vocabulary = spark.createDataFrame([(w, i + 3) for i, w in enumerate(words)], "word string, n long").repartition(4)
+    count = dict((w, i + 3) for i, w in enumerate(words))
+    rows = spelling.near_words(vocabulary, limit).collect()
+    assert {(r.a, r.b) for r in rows} == all_pairs(words) and len(rows) == len(all_pairs(words))
+    assert all((r.n_a, r.n_b) == (count[r.a], count[r.b]) for r in rows)
+
+
+def plain(docs):
+    """(doc_id, text) rows to the result, one word at a time."""
+    counts = Counter()
+    for id_, text in docs:
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", lowered):
+            h = zlib.crc32(f"{'' if id_ is None else id_}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 5:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= 3}
+    near = {w: [x for x in counts if is_near(w, x)] for w in counts}
+    form = {}
+    for word, n in counts.items():
+        best = min(near[word], key=lambda x: (-counts[x], x), default=None)
+        form[word] = best if best is not None and counts[best] >= 2 * n else None
+    rows = []
+    for word, n in counts.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        rows.append((word, form[word], root, n, len(near[word]), counts.get(form[word])))
+    return sorted(rows, key=str)
+
+
+def built(docs):
+    return sorted(((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.spelling_variants(docs).collect()), key=str)
+
+
+def test_same_as_word_by_word(spark):
+    draw = random.Random(9)
+    vocabulary = drawn(draw, 150, "abé", 7) + ["Colour", "color", "colors", "ÀÉtude", "àÉtude"]
+    rows = [(i, " ".join(draw.choices(vocabulary, k=draw.randint(0, 60)))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = plain(rows)
+    assert built(docs) == expected and any(r[1] for r in expected)
+
+
+#: A chain of forms: each word is near the next, which is more than twice as frequent.
+CHAIN = ["aaaaa", "aaaab", "aaabb", "aabbb", "abbbb", "bbbbb", "bbbbbb"]
+ROWS = [(1, None), (2, ""), (None, "Nameless NAMELESS nameless"), (3, "x" * 300_000), (4, "x" * 300_000), (5, "x" * 300_000),
+        (6, "y" + "x" * 300_000 + " cafés cafés CAFÉs cafés\x00cafés"), (7, "tie" * 3 + " équal équal équal"), (8, "1234567 ÷÷÷÷÷ " * 3),
+        (9, "same words same words words"), (9, "same words same words words"), (10, "four five six " * 50_000)]
+ROWS += [(100 + i, f"{word} " * (3 ** i * 4)) for i, word in enumerate(CHAIN)]
+
+
+def test_cases(spark, monkeypatch):
+    clash = ("id", "word", "n", "near", "form", "root", "m", "bucket")
+    docs = spark.createDataFrame([(*r, *[0] * len(clash)) for r in ROWS], "doc_id long, text string" + "".join(f", {c} int" for c in clash))
+    found = built(docs.repartition(3))
+    assert found == plain(ROWS)
+    chain = {r[0]: r for r in found}
+    assert chain["aaaab"][1:3] == ("aaabb", "bbbbbb") and chain["bbbbbb"][1] is None
+    assert built(docs.limit(0)) == [] and built(docs.where("doc_id <= 2")) == []
+
+
+def test_counts_are_passed_on_in_parts(monkeypatch):
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2, None], "text": [b"apples pears apples" * 3, b"apples grapes", None]})
+    whole = Counter()
+    for out in spelling._counted(iter([batch])):
+        whole.update(dict(zip(out.column("word").to_pylist(), out.column("n").to_pylist())))
+    monkeypatch.setattr(spelling, "HELD", 1)
+    monkeypatch.setattr(spelling, "LONG", 2)
+    parts, n = Counter(), 0
+    for out in spelling._counted(iter([batch])):
+        n += 1
+        for word, times in zip(out.column("word").to_pylist(), out.column("n").to_pylist()):
+            parts[word] += times
+    assert parts == whole and n > 1
