@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import blank_null_tokens
 from ..functions.results import lap_time_ms
 from ..operators.keys import first_rows
-from ..operators.profile import profile_columns, sample_rows
+from ..operators.profile import QUARTILES, profile_columns, sample_rows
 from ..schemas import (
     DIM_CIRCUIT, DIM_CONSTRUCTOR, DIM_DATE, DIM_DRIVER, DIM_RACE, DIM_STATUS,
     FACT_RACE_RESULT, TableSpec,
@@ -193,7 +193,7 @@ def _race_circuit_orphans(spark: SparkSession, folder: str) -> DataFrame:
 def _profile_table(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = blank_null_tokens(trade.raw_results(spark, folder)).drop(ORDER)
     profile = profile_columns(cleaned, exact=True)
-    return profile.withColumns({"avg": F.round("avg", 4), "stddev": F.round("stddev", 4)})
+    return profile.withColumns({name: F.round(name, 4) for name in ("avg", "stddev", *QUARTILES)})
 
 
 def _profile_sample(spark: SparkSession, folder: str) -> DataFrame:

@@ -182,7 +182,9 @@ def _profile() -> str:
       count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS "distinct",
       CASE WHEN {kind} = 'string' THEN min({name}) ELSE arg_min({name}, TRY_CAST({name} AS DOUBLE)) END AS "min",
       CASE WHEN {kind} = 'string' THEN max({name}) ELSE arg_max({name}, TRY_CAST({name} AS DOUBLE)) END AS "max", round(avg(TRY_CAST({name} AS DOUBLE)), 4) AS "avg",
-      round(stddev_samp(TRY_CAST({name} AS DOUBLE)), 4) AS stddev FROM cleaned""" for name, kind in zip(_PROFILE_COLUMNS, map(_profile_kind, _PROFILE_COLUMNS))]
+      round(stddev_samp(TRY_CAST({name} AS DOUBLE)), 4) AS stddev,
+      round(quantile_cont(TRY_CAST({name} AS DOUBLE), 0.25), 4) AS q25, round(quantile_cont(TRY_CAST({name} AS DOUBLE), 0.5), 4) AS q50,
+      round(quantile_cont(TRY_CAST({name} AS DOUBLE), 0.75), 4) AS q75 FROM cleaned""" for name, kind in zip(_PROFILE_COLUMNS, map(_profile_kind, _PROFILE_COLUMNS))]
     return (f"WITH cleaned AS (SELECT {source} FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"
             + " UNION ALL ".join(lines))
 

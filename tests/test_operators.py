@@ -2,11 +2,14 @@ import random
 import re
 import statistics
 
+import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
 from gridmart.operators.keys import first_rows, mark_first, repeated_keys
 from gridmart.operators.lookups import mark_parent, orphan_counts
-from gridmart.operators.profile import profile_columns, sample_rows
+from gridmart.operators.profile import _totals, _values, profile_columns, sample_rows
 from gridmart.operators.ranking import best_in_group, exact_median, with_previous
 
 
@@ -101,7 +104,11 @@ def test_profile(spark):
         [("a", 1, "9", "1.5", "2020-02-03", 1.0), ("b", 2, "10", "12", "2019-12-31", float("nan")), (None, 2, None, "-3", None, 3.0)],
         "s string, n int, whole string, part string, day string, x double")
     profile = {r.column_name: r for r in profile_columns(rows, exact=True).collect()}
-    assert {r.column_name: r.asDict() for r in profile_columns(rows).collect()} == {k: r.asDict() for k, r in profile.items()}
+    estimated = {r.column_name: r for r in profile_columns(rows).collect()}
+    for name, r in profile.items():
+        same = [k for k in r.asDict() if k not in ("q25", "q50", "q75", "stddev")]
+        assert [r[k] for k in same] == [estimated[name][k] for k in same]
+        assert r.stddev == pytest.approx(estimated[name].stddev)
     s, n = profile["s"], profile["n"]
     assert (s.data_type, s.n_rows, s.non_null, s.nulls, s.distinct, s["min"], s["max"], s.avg) == ("string", 3, 2, 1, 2, "a", "b", None)
     assert (n.data_type, n.nulls, n.distinct, n["min"], n["max"]) == ("int", 0, 2, "1", "2")
@@ -110,3 +117,56 @@ def test_profile(spark):
     assert found == {"whole": ("bigint", "9", "10"), "part": ("double", "-3", "12"), "day": ("date", "2019-12-31", "2020-02-03")}
     assert profile["x"].avg == 2.0  # a NaN does not spoil the mean
     assert [r.s for r in sample_rows(rows, 2, F.col("s").desc_nulls_last()).collect()] == ["b", "a"]
+
+
+def _drawn_numbers(seed):
+    draw = random.Random(seed)
+    return {
+        "near": [1e15 + draw.randint(0, 9) for _ in range(500)],
+        "wide": [draw.choice((-1, 1)) * 10.0 ** draw.uniform(-300, 300) for _ in range(700)] + [0.0] * 5,
+        "tiny": [draw.choice((5e-324, 1e-323, 2.5e-308, 0.0, -5e-324)) for _ in range(301)],
+        "next": [1.0 + k * 2.0 ** -52 for k in draw.sample(range(4096), 400)],
+        "same": [7.0] * 101, "few": [draw.randint(0, 3) for _ in range(50)], "one": [3.5], "two": [1.0, 2.0],
+        "hot": [5.0] * 900 + [draw.random() for _ in range(600)],
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quartiles_are_exact(spark, seed):
+    """Against numpy, on numbers that lie close together, far apart, or mostly on one value."""
+    columns = _drawn_numbers(seed)
+    length = max(map(len, columns.values()))
+    rows = [tuple(repr(float(x[i])) if i < len(x) else None for x in columns.values()) for i in range(length)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).repartition(5)
+    profile = {r.column_name: r for r in profile_columns(df, exact=True).collect()}
+    estimated = {r.column_name: r for r in profile_columns(df).collect()}
+    for name, numbers in columns.items():
+        got = profile[name]
+        assert [got.q25, got.q50, got.q75] == pytest.approx(list(np.quantile(numbers, [0.25, 0.5, 0.75])), rel=1e-15), name
+        assert got.non_null == len(numbers) and got.distinct == len(set(map(float, numbers)))
+        assert (float(got["min"]), float(got["max"])) == (min(numbers), max(numbers))
+        if len(numbers) > 1 and name != "wide":
+            assert got.stddev == pytest.approx(statistics.stdev(numbers), rel=1e-9, abs=1e-300)
+        # A sketch gives one of the numbers, near the rank.
+        assert estimated[name].q50 in numbers
+    assert profile["one"].stddev is None
+
+
+def test_profile_of_nothing_and_of_texts(spark):
+    texts = ["b", "a\0", "a", "abcdefgh", "abcdefgz", "\u00e9", "", "zzzzzzzz1", "zzzzzzzz0", None]
+    df = spark.createDataFrame([(t, None, True) for t in texts], "t string, none double, flag boolean")
+    profile = {r.column_name: r for r in profile_columns(df, exact=True).collect()}
+    assert (profile["t"]["min"], profile["t"]["max"], profile["t"].distinct, profile["t"].q50) == ("", "\u00e9", 9, None)
+    assert (profile["none"].data_type, profile["none"].nulls, profile["none"]["min"]) == ("double", 10, None)
+    assert (profile["flag"]["max"], profile["flag"].data_type) == ("true", "boolean")
+    upper = profile_columns(df.where("t like 'zzz%' or t like 'abc%'"), exact=True).where("column_name = 't'").first()
+    assert (upper["min"], upper["max"]) == ("abcdefgh", "zzzzzzzz1")
+    empty = profile_columns(df.limit(0), exact=True).collect()
+    assert [(r.column_name, r.data_type, r.n_rows, r.distinct, r.q25) for r in empty] == [
+        ("t", "string", 0, 0, None), ("none", "double", 0, 0, None), ("flag", "boolean", 0, 0, None)]
+
+
+def test_exact_profile_sorts_no_rows(spark):
+    df = spark.range(1000).selectExpr("cast(id as string) as a", "id % 7 as b")
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(_totals(_values(df), [0])._jdf.queryExecution(), "formatted")
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
