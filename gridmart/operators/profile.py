@@ -76,7 +76,7 @@ def _totals(values: DataFrame, texts: list[int]) -> DataFrame:
 
 def _order_of_magnitude(number: Column) -> Column:
     """Grows with the number; equal steps are equal factors (746 is above -ln of the least double)."""
-    return F.signum(number) * (F.ln(F.abs(number)) + 746)
+    return F.when(number == 0, F.lit(0.0)).otherwise(F.signum(number) * (F.ln(F.abs(number)) + 746))
 
 
 def _bucket(number: Column, low: Column, high: Column) -> Column:
