@@ -19,10 +19,7 @@ def main() -> None:
     run = load(spark, args.source, args.warehouse, args.status, args.multiline)
     star = run.star()
     names = [spec.name for spec in LOAD_ORDER]
-    for report in (
-        run.load_report(*names), run.issue_report(*names), quality.table_counts(star),
-        quality.orphan_checks(star), quality.quality_metrics(star), quality.flag_coherence(star),
-    ):
+    for report in (run.observed_report(), run.issue_report(*names), quality.integrity_report(star)):
         report.show(100, truncate=False)
 
 

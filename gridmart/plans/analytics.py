@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, decade_of
 from ..functions.results import percentage, ratio
 from ..operators.ranking import best_in_group, exact_median, with_previous
+from ..schemas import DIM_DATE
 from .star import Star
 
 
@@ -193,27 +194,31 @@ def outside_top_k(star: Star, k: int = 10) -> DataFrame:
         F.count_if(F.col("is_win") & (F.col("grid_pos") > k)).alias("wins_outside_top_k"))
 
 
-def driver_by_year(star: Star, full_name: str | None = None, collation: str | None = None) -> DataFrame:
+def driver_by_year(star: Star, full_name: str | None = None, collation: str | None = None,
+                   when: Column | None = None) -> DataFrame:
     """Races, points, wins and average finish per year, for one driver name or for all.
 
-    Names compare exactly; pass a collation such as UNICODE_CI_AI to ignore case and accents.
+    Names compare exactly; pass a collation such as UNICODE_CI_AI to ignore case and accents. ``when`` is
+    a condition on the columns of the date dimension. Dates are joined by year too, which the date
+    implies: the fact lies in folders by year, and Spark then reads those of the dates found only.
     """
     drivers = _drivers(star)
-    rows = star.fact("driver_id", "date_id", "points", "is_win", "finish_pos")
+    rows = star.fact("driver_id", "date_id", "year", "points", "is_win", "finish_pos")
     if full_name is not None:
         name = F.collate("full_name", collation) if collation else F.col("full_name")
         drivers = drivers.where(name == full_name)
         rows = rows.join(drivers.select("driver_id"), "driver_id", "left_semi")
     # Per (driver, date) first, so that no join meets all rows of a busy driver.
-    days = rows.groupBy("driver_id", "date_id").agg(
+    days = rows.groupBy("driver_id", "date_id", "year").agg(
         F.count("*").alias("races"),
         F.sum("points").alias("points"),
         F.count_if("is_win").alias("wins"),
         F.sum("finish_pos").alias("places"),
         F.count("finish_pos").alias("classified"),
     )
-    dates = star.dim("dim_date", "date_id", "year")
-    years = days.join(dates, "date_id").groupBy("year", "driver_id").agg(
+    dates = star.dim("dim_date", *DIM_DATE.columns)
+    dates = (dates.where(when) if when is not None else dates).select("date_id", "year")
+    years = days.join(dates, ["date_id", "year"]).groupBy("year", "driver_id").agg(
         F.sum("races").alias("races"),
         F.sum("points").cast("double").alias("points"),
         F.sum("wins").alias("wins"),

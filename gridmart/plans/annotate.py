@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import null_if_token
@@ -229,6 +229,33 @@ def annotate_fact(typed: DataFrame, races: DataFrame, parents: Parents, broken:
     return frame.withColumns(flags).select(*FACT_RACE_RESULT.columns, *VERDICT_COLUMNS, ORDER)
 
 
+def reject_reasons(spec: TableSpec) -> list[str]:
+    """Every reason that a row of the table can be rejected for."""
+    reasons = ["malformed_row", "bad_key", "null_key", *[fk.reason for fk in spec.foreign_keys], "duplicate_key"]
+    if spec is FACT_RACE_RESULT:
+        reasons += ["race_without_circuit", "race_with_bad_date", "race_without_date"]
+    return reasons
+
+
+def observed_outcomes(annotated: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation]:
+    """The same rows, counted by outcome while they are written.
+
+    Put the write behind it without another shuffle in between: the rows of the last stage count once,
+    however often one of its tasks is tried, while an earlier stage may run twice.
+    """
+    observation = Observation()
+    reason = F.col(REASON)
+    counts = [F.count("*").alias("extracted"), F.count_if(reason.isNull()).alias("accepted")]
+    counts += [F.count_if(reason == name).alias(name) for name in reject_reasons(spec)]
+    return annotated.observe(observation, *counts), observation
+
+
+def outcomes_of(observation: Observation) -> dict[str, int]:
+    """Rows per outcome, without those that no row has; all of them are ``extracted``."""
+    found = observation.get
+    return {name: n for name, n in found.items() if n or name == "extracted"}
+
+
 def accepted(annotated: DataFrame, spec: TableSpec) -> DataFrame:
     return annotated.where(F.col(REASON).isNull()).select(*spec.columns)
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +15,14 @@ from ..operators.keys import first_rows
 from ..operators.profile import QUARTILES, profile_columns, sample_rows
 from ..schemas import (
     DIM_CIRCUIT, DIM_CONSTRUCTOR, DIM_DATE, DIM_DRIVER, DIM_RACE, DIM_STATUS,
-    FACT_RACE_RESULT, TableSpec,
+    FACT_RACE_RESULT, LOAD_ORDER, TableSpec,
 )
 from ..sources import trade_tables as trade
 from ..sources.text import ORDER
 from . import analytics, quality
 from .annotate import (
-    REASON, SOURCE_KEY, accepted, accepted_keys, accepted_rows, annotate_dimension, annotate_fact, cast_report,
-    date_dimension, outcome_counts, race_lookup, rejected, typed_results, typed_rows,
+    REASON, SOURCE_KEY, accepted, accepted_keys, accepted_rows, annotate, annotate_dimension, annotate_fact, cast_report,
+    date_dimension, observed_outcomes, outcome_counts, outcomes_of, race_lookup, rejected, typed_results, typed_rows,
 )
 from .star import Star
 
@@ -82,17 +84,55 @@ class _Tables:
     def keys(self, spec: TableSpec) -> DataFrame:
         return accepted_keys(typed_rows(self.raw(spec), spec.only_required()), spec, self._parents(spec))
 
-    def fact(self, broken: bool = True) -> DataFrame:
-        """The fact with the verdict of each source row."""
+    def _fact_parents(self) -> tuple[DataFrame, dict[str, DataFrame | Column]]:
         races = race_lookup(self.typed(DIM_RACE), self.keys(DIM_CIRCUIT))
         # The dates are those of the very races that the lookup holds.
         weekday = F.dayofweek(F.to_date(F.col("date_id").cast("string"), "yyyyMMdd"))
         known_date = weekday != 1 if self.incomplete else F.lit(True)
         parents = {DIM_DRIVER.name: self.keys(DIM_DRIVER), DIM_CONSTRUCTOR.name: self.keys(DIM_CONSTRUCTOR),
                    DIM_DATE.name: F.col("date_id").isNotNull() & known_date}
+        return races, parents
+
+    def fact(self, broken: bool = True) -> DataFrame:
+        """The fact with the verdict of each source row."""
+        races, parents = self._fact_parents()
         return annotate_fact(self.results(), races, parents, broken)
 
 
+class _KeptTables(_Tables):
+    """The same rules on the columns that decide about a row, read and typed once and kept on the
+    executors for all tables that need them (a lost executor's rows are read again)."""
+
+    def __init__(self, *args, **options):
+        super().__init__(*args, **options)
+        self._kept: dict[str, DataFrame] = {}
+
+    def typed(self, spec: TableSpec) -> DataFrame:
+        if spec.name not in self._kept:
+            deciding = replace(spec, fields=tuple(f for f in spec.fields if f.name in (*spec.required, "date")))
+            self._kept[spec.name] = typed_rows(self.raw(spec), deciding).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._kept[spec.name]
+
+    def keys(self, spec: TableSpec) -> DataFrame:
+        return accepted_keys(self.typed(spec), spec, self._parents(spec))
+
+    def dates(self) -> DataFrame:
+        return self._keep(date_dimension(self.typed(DIM_RACE)), F.col("weekday_name") != "Domingo")
+
+    def verdicts(self, spec: TableSpec) -> DataFrame:
+        """One row per source row: why it is rejected, or NULL."""
+        if spec is DIM_DATE:
+            return self.dates().select(F.lit(None).cast("string").alias(REASON))
+        if spec is not FACT_RACE_RESULT:
+            return annotate(self.typed(spec), spec, self._parents(spec)).select(REASON)
+        races, parents = self._fact_parents()
+        return annotate(self.typed(spec), spec, parents, races).select(REASON)
+
+    def forget(self) -> None:
+        for rows in self._kept.values():
+            rows.unpersist()
+
+
 def _dimension(spec: TableSpec) -> Query:
     return lambda spark, folder: _Tables(spark, folder).accepted(spec)
 
@@ -159,16 +199,21 @@ def _fk_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _load_report(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _Tables(spark, folder, flawed=True, incomplete=True)
-    report = outcome_counts(tables.fact(), FACT_RACE_RESULT.name)
-    for spec in (DIM_DRIVER, DIM_CONSTRUCTOR, DIM_CIRCUIT, DIM_RACE):
-        report = report.unionByName(outcome_counts(tables.dimension(spec), spec.name))
-    dates = tables.dates().withColumn(REASON, F.lit(None).cast("string"))
-    return report.unionByName(outcome_counts(dates, DIM_DATE.name))
-
-
-def _orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact of the whole star against dimensions that lack some rows."""
+    """Rows per table and outcome, observed while the verdicts pass by, as in a load."""
+    tables = _KeptTables(spark, folder, flawed=True, incomplete=True)
+    lines = []
+    try:
+        for spec in LOAD_ORDER:
+            rows, observation = observed_outcomes(tables.verdicts(spec), spec)
+            rows.write.format("noop").mode("overwrite").save()
+            lines += [(spec.name, outcome, n) for outcome, n in outcomes_of(observation).items() if outcome != "extracted"]
+    finally:
+        tables.forget()
+    return spark.createDataFrame(lines, "table_name string, outcome string, n_rows long")
+
+
+def _incomplete_star(spark: SparkSession, folder: str) -> Star:
+    """The fact of the whole star with dimensions that lack some rows."""
     star = trade.trade_star(spark, folder)
     in_debt = trade.read(spark, folder, "supplier").where("s_acctbal < 0")
     kept = {
@@ -181,7 +226,15 @@ def _orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
         name: (lambda columns, name=name: kept[name](star.dimensions[name](columns))) for name in kept
     }
     dimensions["dim_race"] = star.dimensions["dim_race"]
-    return quality.orphan_checks(Star(dimensions, star.fact_columns))
+    return Star(dimensions, star.fact_columns)
+
+
+def _orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.orphan_checks(_incomplete_star(spark, folder))
+
+
+def _integrity_report(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.integrity_report(_incomplete_star(spark, folder))
 
 
 def _race_circuit_orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,6 +263,12 @@ def _driver_by_year(spark: SparkSession, folder: str) -> DataFrame:
     return analytics.driver_by_year(trade.trade_star(spark, folder), "Supplier 000000007")
 
 
+def _driver_by_year_weekends(spark: SparkSession, folder: str) -> DataFrame:
+    """Results on weekends of the years 1995 to 1997."""
+    when = F.col("is_weekend") & F.col("year").between(1995, 1997)
+    return analytics.driver_by_year(trade.trade_star(spark, folder), when=when)
+
+
 def _on_star(question: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, folder: question(trade.trade_star(spark, folder))
 
@@ -235,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "table_counts": _on_star(quality.table_counts),
     "orphan_checks": _orphan_checks,
     "race_circuit_orphans": _race_circuit_orphans,
+    "integrity_report": _integrity_report,
     "quality_metrics": _on_star(quality.quality_metrics),
     "flag_coherence": _on_star(quality.flag_coherence),
     "profile_table": _profile_table,
@@ -242,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "star_denormalized": _on_star(quality.star_denormalized),
     "top_drivers": _on_star(analytics.top_drivers),
     "driver_by_year": _driver_by_year,
+    "driver_by_year_weekends": _driver_by_year_weekends,
     "driver_by_year_all": _on_star(analytics.driver_by_year),
     "pole_to_win_pct": _on_star(analytics.pole_to_win_pct),
     "q01_champions": _on_star(analytics.champions),

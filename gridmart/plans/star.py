@@ -21,6 +21,8 @@ class Star:
 
     dimensions: Mapping[str, Callable[[Columns], DataFrame]]
     fact_columns: Callable[[Columns], DataFrame]
+    #: Rows of a table for counting only, where a source has a cheaper way to them.
+    countable: Callable[[str], DataFrame] | None = None
 
     def dim(self, name: str, *columns: str) -> DataFrame:
         return self.dimensions[name](columns).select(*columns)

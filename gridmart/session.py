@@ -14,6 +14,11 @@ SETTINGS = {
     # Wide projections of text cells exceed the method size that the JVM compiles; above it
     # Spark should generate one method per operator instead of one for the whole stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Plan by the statistics of catalog tables, where a run's tables have been analysed.
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
+    # Counts come from the files' footers where the reader allows it.
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 

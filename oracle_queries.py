@@ -282,6 +282,30 @@ ORACLE: dict[str, str] = {
     UNION ALL SELECT 'dim_circuit', count(*) FROM fact JOIN circuits USING (circuit_id) WHERE country = 'AFRICA'
     UNION ALL SELECT 'dim_date', count(*) FROM fact JOIN dates USING (date_id) WHERE weekday_name = 'Domingo')
   SELECT *, orphans = 0 AS passed FROM checks""",
+    "integrity_report": WITH_STAR + """, n AS (
+    SELECT (SELECT count(*) FROM fact JOIN supplier ON s_suppkey = driver_id WHERE s_acctbal < 0) AS drivers,
+      (SELECT count(*) FROM fact WHERE constructor_id > 20) AS constructors,
+      (SELECT count(*) FROM fact JOIN circuits USING (circuit_id) WHERE country = 'AFRICA') AS circuits,
+      (SELECT count(*) FROM fact JOIN dates USING (date_id) WHERE weekday_name = 'Domingo') AS dates),
+  lines AS (
+    SELECT 'rows' AS section, 'dim_driver' AS name, (SELECT count(*) FROM supplier WHERE s_acctbal >= 0) AS n_rows
+    UNION ALL SELECT 'rows', 'dim_constructor', count(*) FROM constructors WHERE constructor_id <= 20
+    UNION ALL SELECT 'rows', 'dim_circuit', count(*) FROM circuits WHERE country <> 'AFRICA'
+    UNION ALL SELECT 'rows', 'dim_date', count(*) FROM dates WHERE weekday_name <> 'Domingo'
+    UNION ALL SELECT 'rows', 'dim_race', count(*) FROM races
+    UNION ALL SELECT 'rows', 'fact_race_result', count(*) FROM fact
+    UNION ALL SELECT 'orphans', 'dim_race', 0
+    UNION ALL SELECT 'orphans', 'dim_driver', drivers FROM n
+    UNION ALL SELECT 'orphans', 'dim_constructor', constructors FROM n
+    UNION ALL SELECT 'orphans', 'dim_circuit', circuits FROM n
+    UNION ALL SELECT 'orphans', 'dim_date', dates FROM n
+    UNION ALL SELECT 'flags', 'is_win', count(*) FROM fact WHERE is_win
+    UNION ALL SELECT 'flags', 'is_podium', count(*) FROM fact WHERE is_podium
+    UNION ALL SELECT 'flags', 'is_pole', count(*) FROM fact WHERE is_pole
+    UNION ALL SELECT 'flags', 'is_scoring', count(*) FROM fact WHERE is_scoring
+    UNION ALL SELECT 'flags', 'is_finished', count(*) FROM fact WHERE is_finished
+    UNION ALL SELECT 'coherence', 'wins_without_podium', count(*) FROM fact WHERE is_win AND NOT is_podium)
+  SELECT section, name, n_rows, CASE WHEN section IN ('orphans', 'coherence') THEN n_rows = 0 END AS passed FROM lines""",
     "race_circuit_orphans": WITH_STAR + """SELECT count(*) AS orphans FROM races LEFT JOIN (
     FROM circuits WHERE country <> 'AFRICA') c USING (circuit_id) WHERE c.country IS NULL""",
     "quality_metrics": WITH_STAR + """SELECT count(*) AS total, count(*) FILTER (is_win) AS wins, count(*) FILTER (is_podium) AS podiums,
@@ -305,6 +329,10 @@ ORACLE: dict[str, str] = {
     "driver_by_year": WITH_STAR + """SELECT year, driver_id, full_name, count(*) AS races,
     CAST(sum(points) AS DOUBLE) AS points, count(*) FILTER (is_win) AS wins, round(avg(finish_pos), 6) AS avg_finish
   FROM fact JOIN drivers USING (driver_id) WHERE full_name = 'Supplier 000000007' GROUP BY year, driver_id, full_name""",
+    "driver_by_year_weekends": WITH_STAR + """SELECT year, driver_id, full_name, count(*) AS races,
+    CAST(sum(points) AS DOUBLE) AS points, count(*) FILTER (is_win) AS wins, round(avg(finish_pos), 6) AS avg_finish
+  FROM fact JOIN drivers USING (driver_id) JOIN (SELECT date_id, isodow(date) AS weekday FROM dates) USING (date_id)
+  WHERE weekday >= 6 AND year BETWEEN 1995 AND 1997 GROUP BY year, driver_id, full_name""",
     "driver_by_year_all": WITH_STAR + """SELECT year, driver_id, full_name, count(*) AS races,
     CAST(sum(points) AS DOUBLE) AS points, count(*) FILTER (is_win) AS wins, round(avg(finish_pos), 6) AS avg_finish
   FROM fact JOIN drivers USING (driver_id) GROUP BY year, driver_id, full_name""",
