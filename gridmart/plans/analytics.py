@@ -216,7 +216,7 @@ def driver_by_year(star: Star, full_name: str | None = None, collation: str | No
         F.sum("finish_pos").alias("places"),
         F.count("finish_pos").alias("classified"),
     )
-    dates = star.dim("dim_date", *DIM_DATE.columns)
+    dates = star.dim("dim_date", *(("date_id", "year") if when is None else DIM_DATE.columns))
     dates = (dates.where(when) if when is not None else dates).select("date_id", "year")
     years = days.join(dates, ["date_id", "year"]).groupBy("year", "driver_id").agg(
         F.sum("races").alias("races"),
