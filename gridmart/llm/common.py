@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import pickle
+import re
 import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,11 +25,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share. A temporary one only where none is set, as in tests."""
+    """The folder that all executors share. Only a session of one machine gets a temporary one where none
+    is set, as in tests; on a cluster each machine has a /tmp of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if folder is None:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        folder = context.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir is not set: it names the folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -48,7 +58,8 @@ def text_key(text: Column) -> Column:
 
 def pick_rows(docs: DataFrame, keepers: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs whose (id, text key) is listed in keepers(`id`, `key`), all columns as they
-    are. Rows that repeat both id and text count as one document: one of them stays.
+    are. Rows that repeat both id and text count as one document: the least of them stays, column by
+    column (of columns without an order, such as maps, by their JSON).
 
     Repeats go first, inside the tasks and then by one shuffle on (id, key); the join uses the same
     partitioning. No row meets another of the same id or group but its own repeats.
@@ -58,7 +69,9 @@ def pick_rows(docs: DataFrame, keepers: DataFrame, id_col: str, text_col: str) -
         return [id_.isNull().alias("none"), F.coalesce(id_.cast("long"), F.lit(0)).alias("id"), key.alias("key")]
 
     row = docs.select(F.struct("*").alias("row"), *keys(F.col(id_col), text_key(F.col(text_col))))
-    once = row.groupBy("none", "id", "key").agg(F.first("row").alias("row"))
+    unordered = any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in docs.schema)
+    least = F.min_by("row", F.to_json("row")) if unordered else F.min("row")
+    once = row.groupBy("none", "id", "key").agg(least.alias("row"))
     kept = once.join(keepers.select(*keys(F.col("id"), F.col("key"))), ["none", "id", "key"], "left_semi")
     return kept.select("row.*")
 
@@ -69,6 +82,23 @@ def worker_state(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A value of bounded size for all tasks, as a function that gives it there.
+
+    It travels with the code of its classes, so workers that don't have this package can read it. A
+    worker unpacks it once and keeps the value of its last job only.
+    """
+    packed, name = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+
+    def get() -> Any:
+        state = worker_state("shared")
+        if name not in state:
+            state.clear()
+            state[name] = pickle.loads(packed.value)
+        return state[name]
+    return get
+
+
 def cuts(sizes: np.ndarray, most: int, most_rows: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows of a bounded total size (a larger row has a range of its own)."""
     total, start = np.cumsum(sizes), 0

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import cut, pick_rows, slices, table, text_key
 from gridmart.llm.cuckoo import CuckooIndex
 
+#: Live entries that one index holds, about (some 50 MB).
+MOST_LIVE = 100_000
+
 _ROWS = "id long, row long, key long, digest binary, size long, check long"
 _ENTRIES = "digest binary, size long, check long, id long, row long, key long, copies long"
 
@@ -53,22 +56,36 @@ def _later(a: tuple, b: tuple) -> bool:
     return (a[0] is not None, a[0] or 0, a[1]) > (b[0] is not None, b[0] or 0, b[1])
 
 
-def _live_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge rows or entries through one index; the live ones, each with the count of its copies."""
-    index = CuckooIndex()
-    for batch in batches:
-        has_copies = "copies" in batch.schema.names
-        columns = [batch.column(c).to_pylist() for c in ("digest", "size", "check", "id", "row", "key")]
-        copies = batch.column("copies").to_pylist() if has_copies else [1] * batch.num_rows
-        for digest, size, check, id_, row, key, n in zip(*columns, copies):
-            content = (digest, size, check)
-            found = index.get(content)
-            if found is None:
-                index.insert(content, ((id_, row, key), n))
-            else:
-                stays = (id_, row, key) if _later((id_, row, key), found[0]) else found[0]
-                index.delete(content)
-                index.insert(content, (stays, found[1] + n))
+def _live_entries(in_order: bool):
+    """Merge rows or entries through an index; the live ones, each with the count of its copies.
+
+    A full index passes its entries on and another one begins. In an order by the digests' first bytes
+    that is only done where those change, so that entries of one digest always meet in one index.
+    """
+    def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, last = CuckooIndex(), None
+        for batch in batches:
+            has_copies = "copies" in batch.schema.names
+            columns = [batch.column(c).to_pylist() for c in ("digest", "size", "check", "id", "row", "key")]
+            copies = batch.column("copies").to_pylist() if has_copies else [1] * batch.num_rows
+            for digest, size, check, id_, row, key, n in zip(*columns, copies):
+                if index.live >= MOST_LIVE and (not in_order or digest[:2] != last):
+                    yield from _entries_of(index)
+                    index = CuckooIndex()
+                last = digest[:2]
+                content = (digest, size, check)
+                found = index.get(content)
+                if found is None:
+                    index.insert(content, ((id_, row, key), n))
+                else:
+                    stays = (id_, row, key) if _later((id_, row, key), found[0]) else found[0]
+                    index.delete(content)
+                    index.insert(content, (stays, found[1] + n))
+        yield from _entries_of(index)
+    return live
+
+
+def _entries_of(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
     entries = list(index.entries())
     for start in range(0, len(entries), 10_000):
         part = entries[start:start + 10_000]
@@ -82,8 +99,9 @@ def _live_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def live_index(rows: DataFrame) -> DataFrame:
     """One entry per distinct text: its digest, the row that stays, and the number of copies."""
-    per_task = rows.mapInArrow(_live_entries, _ENTRIES)
-    return per_task.repartition("digest").mapInArrow(_live_entries, _ENTRIES)
+    per_task = rows.mapInArrow(_live_entries(False), _ENTRIES)
+    by_digest = per_task.repartition("digest").sortWithinPartitions(F.substring("digest", 1, 2))
+    return by_digest.mapInArrow(_live_entries(True), _ENTRIES)
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -30,7 +30,9 @@ WINDOW, THRESHOLD = 3, 86
 
 RAW = frozenset("script style title textarea noscript template iframe object svg math canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog button select option fieldset label".split())
+BOILERPLATE = frozenset("nav header footer aside form menu dialog select option fieldset".split())
+#: Parts of a line that are not read, but don't end it.
+MUTED = frozenset("button label".split())
 CONTAINERS = frozenset("article main nav header footer aside form body".split())
 BLOCKS = CONTAINERS | frozenset(
     "address blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li menu ol "
@@ -47,20 +49,28 @@ MARKS = frozenset(
     "consent gdpr notice notification alert newsletter subscribe signup login share sharing social related "
     "recommended popup modal overlay widget pagination pager toolbar search complementary contentinfo".split())
 
+#: Names of reader comments, also with what holds them (comment-list, comments-area), on articles too.
+COMMENTS = frozenset("comment comments reply replies disqus".split())
+HOLDERS = frozenset("area list section thread threads box block wrap wrapper container item items tree feed stream root".split())
+
 _TAG = re.compile(r"""<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?<![A-Za-z-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _JOINTS = re.compile("[-_]+")
+_SENTENCE = re.compile(r"[.!?\u2026][\"'\u201d\u2019\u00bb)\]]*$")
 
 
 def _marked(name: str, attributes: str, in_article: bool) -> bool:
     """Whether a name of the element says that it isn't the article: one of MARKS, or several joined."""
-    if name not in BLOCKS or name in PLAIN:
+    if name not in BLOCKS or name in PLAIN and name != "article":
         return False
     for m in _NAMES.finditer(attributes):
         if m[1].lower() == "id" and name not in LISTED:
             continue
         for token in (m[2] or m[3] or m[4] or "").lower().split():
-            if all(part in MARKS for part in _JOINTS.split(token)) and not (in_article and token in ("header", "masthead")):
+            parts = set(_JOINTS.split(token))
+            if parts & COMMENTS and parts <= COMMENTS | HOLDERS:
+                return True
+            if name not in PLAIN and all(part in MARKS for part in _JOINTS.split(token)) and not (in_article and token in ("header", "masthead")):
                 return True
     return False
 
@@ -72,6 +82,7 @@ class Lines:
         self.texts: list[str] = []
         self.weights: list[int] = []
         self.inside: list[bool] = []  # of an article or main element
+        self.kinds: list[str] = []  # h: a heading; p: a paragraph
         # Parts skipped by name: the part around; the h1 elements, then the article and main ones, inside.
         # For each line its innermost one, or -1.
         self._parts: list[list[int]] = []
@@ -80,7 +91,7 @@ class Lines:
         self._linked = 0
         self._open: list[tuple[str, bool, int]] = []
         self._names: Counter = Counter()
-        self._skipped = self._links = self._articles = self._titles = self._mains = 0
+        self._muted = self._skipped = self._links = self._articles = self._titles = self._mains = 0
         self._read(page)
         self._end()
         while self._part >= 0:
@@ -99,16 +110,18 @@ class Lines:
                 linked = 0 if self._articles and any(self._names[h] for h in HEADINGS) else self._linked
                 self.weights.append(max(0, len(text) - linked) if inside else 0)
                 self.inside.append(self._articles > 0)
+                self.kinds.append("h" if any(self._names[h] for h in HEADINGS) else "p" if self._names["p"] else "")
                 self._of.append(self._part)
             self._pieces, self._linked = [], 0
         if blanks and self.texts:
             self.texts += [""] * blanks
             self.weights += [0] * blanks
             self.inside += [self._articles > 0] * blanks
+            self.kinds += [""] * blanks
             self._of += [-1] * blanks
 
     def _text(self, text: str) -> None:
-        if text:
+        if text and not self._muted:
             self._pieces.append(text)
             if self._links:
                 self._linked += len(text)
@@ -185,6 +198,7 @@ class Lines:
         self._names[name] += 1
         self._skipped += skipped
         self._links += name == "a"
+        self._muted += name in MUTED
         self._articles += name in ("article", "main")
         self._titles += name == "h1" and not self._skipped
         self._mains += name in ("article", "main") and not self._skipped
@@ -213,6 +227,7 @@ class Lines:
                 if not self._skipped:
                     self._end(WINDOW)
             self._links -= opened == "a"
+            self._muted -= opened in MUTED
             self._articles -= opened in ("article", "main")
             if opened == name:
                 break
@@ -287,10 +302,30 @@ def regions(weights: list[int], inside: list[bool] | None = None, densest: int =
     return [(int(a), int(b)) for k, a, b in zip(kept, surges, dives) if k]
 
 
+def _beside(lines: Lines, kept: list[tuple[int, int]]) -> list[int]:
+    """Of a page without article and main elements: the headings in the lines next to the kept regions'
+    first one, and the paragraphs in those next to the last one, up to the first line of another kind."""
+    found, (first, last) = [], (kept[0][0], kept[-1][1])
+    for places, kind in ((range(first - 1, -1, -1), "h"), (range(last, len(lines.texts)), "p")):
+        for i in places:
+            if lines.texts[i]:
+                if lines.kinds[i] != kind or not lines.weights[i] or kind == "p" and not _SENTENCE.search(lines.texts[i]):
+                    break
+                found.append(i)
+    return found
+
+
 def main_text(page: str | None) -> str:
-    """The kept lines, with an empty line between; empty if the page has no text outside boilerplate."""
+    """The kept lines, with an empty line between; empty if the page has no text outside boilerplate.
+    Lines of an article or main element are all kept, those of links alone too."""
     lines = Lines(page or "")
-    return "\n\n".join(text for a, b in regions(lines.weights, lines.inside, lines.densest) for text in lines.texts[a:b] if text)
+    found = regions(lines.weights, lines.inside, lines.densest)
+    kept = {i for a, b in found for i in range(a, b)}
+    if any(lines.inside):
+        kept.update(i for i, inside in enumerate(lines.inside) if inside)
+    elif found:
+        kept.update(_beside(lines, found))
+    return "\n\n".join(lines.texts[i] for i in sorted(kept) if lines.texts[i])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import slices, table
-from gridmart.llm.letters import LETTER, bounded, code_tables, joined, labelled_sample, run_hashes
+from gridmart.llm.common import share, slices, table
+from gridmart.llm.letters import LETTER, code_tables, grouped, joined, labelled_sample, pieces, run_hashes
 
 #: Texts that the weights are learned from, at most, for each language.
 SAMPLE = 200
@@ -115,20 +115,27 @@ class Model:
         return total
 
 
-#: Words in a column of the chain.
+#: Words in a column of the chain. Characters of texts read at once; a longer text is read in pieces.
 COLUMN = 256
+GROUP = 1_000_000
 
 
-def marginals(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, pairs: bool = False):
+def marginals(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, pairs: bool = False,
+              before: np.ndarray | None = None, behind: np.ndarray | None = None):
     """Forward-backward over a chain of words that begins anew where first is set.
 
     Returns each word's label probabilities and, if wanted, the expected counts of label pairs.
     Every column is a stretch of COLUMN words; transfer matrices carry states from border to border.
+    Of a piece of a longer chain, before is the forward state of the word before it, and behind the
+    backward state of its last word.
     """
     n, k = scores.shape
     columns = -(-n // COLUMN)
     emit = np.ones((columns * COLUMN, k))
     emit[:n] = np.exp(scores - scores.max(axis=1, keepdims=True))
+    if behind is not None:
+        # The words behind weigh on the last one as if they were part of it.
+        emit[n - 1] *= behind / behind.max()
     begin = np.ones(columns * COLUMN, bool)
     begin[:n] = first
     emit = np.ascontiguousarray(emit.reshape(columns, COLUMN, k).transpose(1, 0, 2))
@@ -145,7 +152,7 @@ def marginals(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, pa
         transfer /= transfer.sum(axis=(1, 2), keepdims=True)
     borders = np.empty((columns, k))
     backs = np.empty((columns, k))
-    state, back = np.full(k, 1 / k), np.full(k, 1 / k)
+    state, back = np.full(k, 1 / k) if before is None else before, np.full(k, 1 / k)
     for c in range(columns):
         borders[c] = state
         state = state @ transfer[c]
@@ -242,18 +249,77 @@ def train(sample: list[tuple[str, str]]) -> Model | None:
     return model
 
 
+def _passage(scores: np.ndarray, transitions: np.ndarray, is_begin: bool) -> np.ndarray:
+    """The transfer matrix of a whole piece: from the state of the word before it to its last word's."""
+    move, k = np.exp(transitions - transitions.max()), transitions.shape[0]
+    whole = np.eye(k)
+    for at in range(0, len(scores), block := max(2, 2_000_000 // k ** 2)):
+        part = scores[at:at + block]
+        steps = move[None] * np.exp(part - part.max(axis=1, keepdims=True))[:, None, :]
+        if is_begin and not at:
+            steps[0] = np.exp(part[0] - part[0].max())[None, :]
+        while len(steps) > 1:
+            odd = steps[-1:] if len(steps) % 2 else steps[:0]
+            steps = steps[0:len(steps) - len(odd):2] @ steps[1:len(steps) - len(odd):2]
+            steps = np.concatenate([steps / steps.sum(axis=(1, 2), keepdims=True), odd])
+        whole = whole @ steps[0]
+        whole /= whole.sum()
+    return whole
+
+
+def _long_sums(model: Model, text: str) -> np.ndarray:
+    """Probability of each label, added up by word length, over a text that is read in pieces.
+
+    First each piece's transfer matrix; then, from those, the states at the borders; then the words
+    inside. So the pieces make the same chain as the whole text, and one piece is held at a time.
+    """
+    k = len(model.labels)
+    passages: list[np.ndarray | None] = []
+    begun = False
+    for piece in pieces(text, GROUP):
+        words = Words([piece])
+        passages.append(_passage(model.scores(words), model.transitions, not begun) if words.count else None)
+        begun = begun or words.count > 0
+    before, behind = [], []
+    state = np.full(k, 1 / k)
+    for passage in passages:
+        before.append(state)
+        if passage is not None:
+            state = state @ passage
+            state = state / state.sum()
+    back = np.ones(k)
+    for passage in reversed(passages):
+        behind.append(back)
+        if passage is not None:
+            # The state behind the word before a piece.
+            back = passage @ back
+            back = back / back.sum()
+    sums, begun = np.zeros(k), False
+    for piece, front, rear in zip(pieces(text, GROUP), before, reversed(behind)):
+        words = Words([piece])
+        if not words.count:
+            continue
+        words.first[0] = not begun
+        begun = True
+        probabilities = marginals(model.scores(words), model.transitions, words.first, before=front, behind=rear)
+        sums += words.lengths @ probabilities
+    return sums
+
+
 def classify(model: Model | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Language and score of every text. A text over a million characters is read in pieces, each a
-    chain of its own."""
+    """Language and score of every text. A text longer than GROUP is read in pieces of one chain."""
     if model is None or not texts:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
     sums = np.zeros((len(texts), len(model.labels)))
-    for parts, owners in bounded(texts):
-        words = Words(parts)
+    for at, group in grouped(texts, GROUP):
+        if len(group[0]) > GROUP:
+            sums[at] = _long_sums(model, group[0])
+            continue
+        words = Words(group)
         if words.count:
             probabilities = marginals(model.scores(words), model.transitions, words.first)
-            of = owners[words.text_of]
-            sums += np.stack([np.bincount(of, p * words.lengths, len(texts)) for p in probabilities.T], axis=1)
+            sums[at:at + len(group)] += np.stack(
+                [np.bincount(words.text_of, p * words.lengths, len(group)) for p in probabilities.T], axis=1)
     total = sums.sum(axis=1)
     best = sums.argmax(axis=1)
     share = np.where(total > 0, sums[np.arange(len(texts)), best] / np.maximum(total, 1e-12), 0.0)
@@ -268,11 +334,11 @@ def remainder(id_: Column, n: int) -> Column:
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, lang_pred, score. No text, or one without a letter, has `und` and score 0; so have
     all texts if there was nothing to learn from. Repeated rows each get their row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text", most_bytes=1_000_000):
-            names, scores = classify(shared.value, texts)
+            names, scores = classify(shared(), texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["id", "lang_pred", "score"])

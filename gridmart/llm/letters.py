@@ -34,28 +34,32 @@ def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes, starts
 
 
-def bounded(texts: list[str | None], most_chars: int = 1_000_000) -> Iterator[tuple[list[str], np.ndarray]]:
-    """Groups of texts of bounded size, with the number of the text that each piece belongs to. A longer
-    text is cut at white space (or, where there is none, anywhere) into pieces of different groups."""
-    parts, owners, size = [], [], 0
+def grouped(texts: list[str | None], most_chars: int) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of a bounded size in all, with the place of the first; a longer text alone."""
+    group, first, size = [], 0, 0
     for i, text in enumerate(texts):
-        text, at = text or "", 0
-        while True:
-            end = len(text)
-            if end - at > most_chars:
-                end = max(text.rfind(" ", at + 1, at + most_chars), text.rfind("\n", at + 1, at + most_chars))
-                end = at + most_chars if end < 0 else end
-            if parts and (size + end - at > most_chars or at):
-                yield parts, np.array(owners)
-                parts, owners, size = [], [], 0
-            parts.append(text[at:end])
-            owners.append(i)
-            size += end - at
-            at = end
-            if at >= len(text):
-                break
-    if parts:
-        yield parts, np.array(owners)
+        text = text or ""
+        if group and size + len(text) > most_chars:
+            yield first, group
+            group, size = [], 0
+        if not group:
+            first = i
+        group.append(text)
+        size += len(text)
+    if group:
+        yield first, group
+
+
+def pieces(text: str, most_chars: int) -> Iterator[str]:
+    """A long text in pieces of about most_chars that cut no run (of letters, of digits, of signs): a
+    piece goes on to the end of the run that it would cut."""
+    kinds, at = code_tables()[1], 0
+    while at < len(text):
+        end = at + most_chars
+        while end < len(text) and kinds[ord(text[end])] == kinds[ord(text[end - 1])] != SPACE:
+            end += 1
+        yield text[at:end]
+        at = end
 
 
 def runs(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

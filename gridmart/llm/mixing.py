@@ -22,6 +22,10 @@ BROADCAST_SOURCES = 100_000
 LARGEST_MEAN = 64.0
 #: Beyond this count the quantile at a mean of 64 has passed every 52-bit uniform number.
 LARGEST_COUNT = 160
+#: Parts of a sum at most; a larger mean than LARGEST_MEAN * MOST_PARTS is inverted by its expansion.
+MOST_PARTS = 64
+#: Copies that one row is exploded into at once. Rows with more are dealt out in chunks first.
+CHUNK = 10_000
 
 
 def uniform(seed: str, key: Column, part: Column | None = None) -> Column:
@@ -47,10 +51,46 @@ def poisson_quantile(u: Column, levels: Column) -> Column:
     return F.size(F.filter(levels, lambda level: level < u))
 
 
+# Coefficients of a rational approximation to the normal quantile (error below 1.2e-9),
+# numerator and denominator, for the middle and for the tails.
+_MIDDLE = ((-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02,
+            -3.066479806614716e+01, 2.506628277459239e+00),
+           (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01,
+            -1.328068155288572e+01, 1.0))
+_TAIL = ((-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00,
+          4.374664141464968e+00, 2.938163982698783e+00),
+         (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0))
+_EDGE = 0.02425
+
+
+def _polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
+    value = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        value = value * x + c
+    return value
+
+
+def normal_quantile(u: Column) -> Column:
+    """The standard normal deviate below which a share u lies."""
+    near, root = u - 0.5, F.sqrt(-2 * F.ln(F.least(u, 1 - u)))
+    middle = near * _polynomial(near * near, _MIDDLE[0]) / _polynomial(near * near, _MIDDLE[1])
+    tail = _polynomial(root, _TAIL[0]) / _polynomial(root, _TAIL[1])
+    return F.when((u >= _EDGE) & (u <= 1 - _EDGE), middle).otherwise(F.when(u < 0.5, tail).otherwise(-tail))
+
+
+def large_poisson_quantile(u: Column, mean: Column) -> Column:
+    """The Poisson quantile at a large mean, from the normal one by the first terms of its expansion.
+    At means of some thousands it is off by one at most, and seldom."""
+    z = normal_quantile(u)
+    return F.greatest(F.lit(0.0), F.floor(
+        mean + F.sqrt(mean) * z + (z * z + 2) / 6 + (-z * z * z - 2 * z) / (72 * F.sqrt(mean)))).cast("long")
+
+
 def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col: str, text_col: str) -> DataFrame:
     """(`source`, `rate`, `parts`, `levels`): the mean repetition of each source's documents at the target
-    weights, in how many equal parts it is drawn, and the cumulative probabilities of a part. The mix
-    is as large as the input. A source of empty texts alone has rate 1 (0 if it has no weight)."""
+    weights, in how many equal parts it is drawn (0: not in parts, as it is too large), and the
+    cumulative probabilities of a part. The mix is as large as the input. A source of empty texts alone
+    has rate 1 (0 if it has no weight)."""
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("size"))
     if weights is None:
@@ -63,8 +103,9 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, source_col:
     scale = F.lit(float(total["size"] or 0) / (total["weight"] or 1.0))
     rates = weighed.select("source", F.when(F.col("size") > 0, F.col("weight") * scale / F.col("size")).otherwise(
         F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).alias("rate"))
-    rates = rates.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int"))
-    return cut(rates.withColumn("levels", poisson_levels(F.col("rate") / F.col("parts"))))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN))
+    rates = rates.withColumn("parts", F.when(parts <= MOST_PARTS, parts).otherwise(F.lit(0)).cast("int"))
+    return cut(rates.withColumn("levels", F.when(F.col("parts") > 0, poisson_levels(F.col("rate") / F.col("parts")))))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed: str = SEED, id_col: str = "doc_id",
@@ -75,27 +116,43 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     weights every source gets the same; with weights, a source that isn't listed gets none. No source
     is a source of its own; no text is an empty one. Rows without an id draw by their text. Rows that
     repeat an id draw the same count. An empty table gives an empty result.
+
+    A row of many copies, as of a source with few texts, is dealt out to the tasks in chunks of copies
+    before those are made.
     """
     rates = source_rates(docs, weights, source_col, text_col)
-    if rates.count() <= BROADCAST_SOURCES:
+    sizes = rates.agg(F.count("*").alias("n"), F.max("rate").alias("most")).first()
+    if sizes["n"] <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    key = F.coalesce(F.col("row").getField(id_col).cast("string"), F.concat(
-        F.lit("text:"), F.md5(F.coalesce(F.col("row").getField(text_col), F.lit("")))))
-    rows = docs.select(F.struct("*").alias("row")).join(
-        rates, F.col("row").getField(source_col).eqNullSafe(F.col("source")))
-    rows = rows.select("row", key.alias("key"), "parts", "levels")
+    # Plain columns under names of their own, which no column of the documents clashes with.
+    own = {name: f"_own_{i}" for i, name in enumerate(docs.columns)}
+    key = F.coalesce(F.col(own[id_col]).cast("string"), F.concat(
+        F.lit("text:"), F.md5(F.coalesce(F.col(own[text_col]), F.lit("")))))
+    rows = docs.toDF(*own.values()).join(
+        rates.select(F.col("source").alias("_of"), "rate", "parts", "levels"), F.col(own[source_col]).eqNullSafe(F.col("_of")))
+    rows = rows.select(*own.values(), key.alias("key"), "rate", "parts", "levels")
     one = poisson_quantile(uniform(seed, F.col("key")), F.col("levels"))
     many = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda sum_, i: sum_ + poisson_quantile(
         uniform(seed, F.col("key"), i), F.col("levels")))
-    rows = rows.withColumn("copies", F.when(F.col("parts") == 1, one).otherwise(many)).where("copies > 0")
-    rows = rows.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    large = large_poisson_quantile(uniform(seed, F.col("key")), F.col("rate"))
+    copies = F.when(F.col("parts") == 1, one).when(F.col("parts") > 1, many).otherwise(large).cast("long")
+    rows = rows.select(*own.values(), "key", copies.alias("copies")).where("copies > 0")
+    zero = F.lit(0).cast("long")
+    if (sizes["most"] or 0) < CHUNK / 10:
+        rows = rows.withColumn("chunk", zero)
+    else:
+        chunks = F.explode(F.sequence(zero, F.expr(f"(copies - 1) div {CHUNK}")))
+        rows = rows.select(*own.values(), "key", "copies", chunks.alias("chunk")).repartition("key", "chunk")
+    rows = rows.select(*own.values(), "key", F.explode(F.sequence(
+        F.col("chunk") * CHUNK + 1, F.least(F.col("copies"), (F.col("chunk") + 1) * CHUNK))).alias("copy"))
     place = F.xxhash64(F.lit(seed), F.col("key"), F.col("copy"))
     rows = rows.withColumn("place", place).repartition("place").sortWithinPartitions("place")
-    return rows.select("row.*", *([F.col("copy").alias(copy_col)] if copy_col else []))
+    return rows.select(*[F.col(own_name).alias(name) for name, own_name in own.items()],
+                       *([F.col("copy").alias(copy_col)] if copy_col else []))
 
 
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    return mix_sources(table(spark, folder, "documents"), copy_col="copy")
+    return mix_sources(table(spark, folder, "documents"), copy_col="copy").withColumn("copy", F.col("copy").cast("int"))
 
 
 OP10_SQL = f"""

@@ -13,19 +13,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import slices, table
+from gridmart.llm.common import share, slices, table
 
 KINDS = ["email", "ip", "card", "phone"]
 OUTSIDE = len(KINDS)
 #: Tokens of an entity, at most; texts that the weights are learned from, at most.
 LONGEST, SAMPLE = 16, 2000
+#: Of the sample: characters of a stretch to learn from, stretches, and made pairs of entities, at most.
+LEARN_CHARS, LEARN_STRETCHES, LEARN_PAIRS = 400, 3000, 1000
 EPOCHS, RATE, SHRINK = 6, 0.5, 1e-4
 
 # The fixed patterns. Lookbehinds only spare starts that cannot match; the emails' first part is
@@ -123,25 +129,49 @@ def features(key: tuple) -> list[tuple]:
             ("left", left, shape[0]), ("right", right), ("left+signs", left, signs), ("right+signs", right, signs)]
 
 
+#: What a token may do: begin a candidate, end one, be a number, be an @ sign.
+_OPENS, _CLOSES, _DIGIT, _AT = 1, 2, 4, 8
+
+
+class Tokens:
+    """The tokens of a stretch, in plain arrays, and the candidate segments that end behind one."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.starts, self.ends, self.marks = array("q"), array("q"), bytearray()
+        for m in _TOKEN.finditer(text, start, end):
+            c = text[m.start()]
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+            self.marks.append(
+                c.isascii() and (_OPENS * (c.isalnum() or c in "+(") | _CLOSES * c.isalnum() | _DIGIT * c.isdigit() | _AT * (c == "@")))
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def candidates(self, at: int) -> Iterator[int]:
+        """First tokens of the candidates that end before token `at`, the shortest first."""
+        if not self.marks[at - 1] & _CLOSES:
+            return
+        seen = 0
+        for first in range(at - 1, max(at - 1 - LONGEST, -1), -1):
+            seen |= self.marks[first]
+            if self.marks[first] & _OPENS and (seen & _AT or seen & _DIGIT and (
+                    first < at - 1 or self.ends[first] - self.starts[first] >= 8)):
+                yield first
+
+    def key(self, text: str, first: int, at: int) -> tuple:
+        return segment_key(text, self.starts[first], self.ends[at - 1])
+
+
 class Stretch:
-    """The tokens of a stretch and its candidate segments (first token, token after, key)."""
+    """A short stretch with all its candidate segments (first token, token after, key), to learn from."""
 
     def __init__(self, text: str, start: int, end: int):
-        self.tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
-        n = len(self.tokens)
-        kind = [text[a] for a, _ in self.tokens]
-        opens = [c.isascii() and (c.isalnum() or c in "+(") for c in kind]
-        closes = [c.isascii() and c.isalnum() for c in kind]
-        digit = [c.isascii() and c.isdigit() for c in kind]
-        self.candidates: list[tuple[int, int, tuple]] = []
-        for i in range(n):
-            if not opens[i]:
-                continue
-            found = at = False
-            for j in range(i, min(n, i + LONGEST)):
-                found, at = found or digit[j], at or kind[j] == "@"
-                if closes[j] and (at or found and (j > i or self.tokens[j][1] - self.tokens[j][0] >= 8)):
-                    self.candidates.append((i, j + 1, segment_key(text, self.tokens[i][0], self.tokens[j][1])))
+        found = Tokens(text, start, end)
+        self.tokens = list(zip(found.starts, found.ends))
+        n = len(found)
+        self.candidates: list[tuple[int, int, tuple]] = sorted(
+            (first, at, found.key(text, first, at)) for at in range(1, n + 1) for first in found.candidates(at))
         self.by_end: list[list[int]] = [[] for _ in range(n + 1)]
         self.by_start: list[list[int]] = [[] for _ in range(n + 1)]
         for c, (i, j, _) in enumerate(self.candidates):
@@ -175,36 +205,40 @@ class Model:
             self._known[key] = known
         return known
 
-    def best(self, stretch: Stretch) -> list[tuple[int, int, int]]:
+    def best(self, text: str, tokens: Tokens) -> list[tuple[int, int, int]]:
         """Entities (kind, first token, token after) of the best cut. Of equal cuts, the one with
-        fewer entities, then that with the shorter last entity."""
-        n = len(stretch.tokens)
-        value = np.full((n + 1, OUTSIDE + 1), -np.inf)
-        value[0, OUTSIDE] = 0.0
-        back: list[dict[int, tuple[int, int]]] = [{} for _ in range(n + 1)]
-        entering = [None] * (n + 1)
+        fewer entities, then that with the shorter last entity.
+
+        Candidates are made where they end, and values are kept for LONGEST tokens; of the others only
+        the way back stays, two bytes for each kind.
+        """
+        n = len(tokens)
+        lengths, befores = np.zeros((n + 1, OUTSIDE + 1), np.uint8), np.full((n + 1, OUTSIDE + 1), OUTSIDE, np.uint8)
+        entering: deque = deque(maxlen=LONGEST)  # of the last places, the nearest first
         for at in range(n + 1):
+            value = np.full(OUTSIDE + 1, -np.inf)
             if at:
-                value[at, OUTSIDE], before = entering[at - 1][0][OUTSIDE], int(entering[at - 1][1][OUTSIDE])
-                back[at][OUTSIDE] = (at - 1, before)
-                for c in reversed(stretch.by_end[at]):
-                    i, _, key = stretch.candidates[c]
-                    total = entering[i][0][:OUTSIDE] + self.score(key)
-                    for kind in np.flatnonzero(total > value[at, :OUTSIDE] + 1e-12):
-                        value[at, kind] = total[kind]
-                        back[at][int(kind)] = (i, int(entering[i][1][kind]))
-            ways = value[at][:, None] + self.moves
+                value[OUTSIDE], before = entering[0][0][OUTSIDE], entering[0][1][OUTSIDE]
+                lengths[at, OUTSIDE], befores[at, OUTSIDE] = 1, before
+                for first in tokens.candidates(at):
+                    ways, before = entering[at - first - 1]
+                    total = ways[:OUTSIDE] + self.score(tokens.key(text, first, at))
+                    for kind in np.flatnonzero(total > value[:OUTSIDE] + 1e-12):
+                        value[kind] = total[kind]
+                        lengths[at, kind], befores[at, kind] = at - first, before[kind]
+            else:
+                value[OUTSIDE] = 0.0
+            ways = value[:, None] + self.moves
             ways[OUTSIDE] += 1e-9
-            entering[at] = (ways.max(axis=0), ways.argmax(axis=0))
+            entering.appendleft((ways.max(axis=0), ways.argmax(axis=0)))
         found, at = [], n
-        last = value[n].copy()
-        last[OUTSIDE] += 1e-9
-        kind = int(last.argmax())
+        value[OUTSIDE] += 1e-9
+        kind = int(value.argmax())
         while at:
-            start, before = back[at][kind]
+            start = at - int(lengths[at, kind])
             if kind != OUTSIDE:
                 found.append((kind, start, at))
-            at, kind = start, before
+            at, kind = start, int(befores[at, kind])
         return found[::-1]
 
     def expected(self, stretch: Stretch) -> tuple[np.ndarray, np.ndarray]:
@@ -260,12 +294,12 @@ def train(texts: list[str]) -> Model:
     examples, entities = [], []
     for text in texts:
         for start, end in stretches(text):
-            if end - start <= 400 and (labelled := _gold(text, start, end)):
+            if end - start <= LEARN_CHARS and (labelled := _gold(text, start, end)):
                 examples.append(labelled)
         entities += [(kind, text[a:b]) for kind, a, b in base_spans(text)[0]]
-    order = rng.permutation(len(examples))[:3000]
+    order = rng.permutation(len(examples))[:LEARN_STRETCHES]
     examples = [examples[i] for i in order]
-    for _ in range(min(1000, 4 * len(entities))):
+    for _ in range(min(LEARN_PAIRS, 4 * len(entities))):
         (kind, first), (other, second) = (entities[i] for i in rng.integers(0, len(entities), 2))
         line = f"{first} {second}"
         stretch = Stretch(line, 0, len(line))
@@ -309,13 +343,15 @@ def train(texts: list[str]) -> Model:
 def added_spans(model: Model, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Entities of the best cut that overlap no match of the fixed patterns."""
     found = []
+    matches = sorted((a, b) for _, a, b in base)
+    begins, furthest = [a for a, _ in matches], list(accumulate((b for _, b in matches), max))
     for start, end in stretches(text):
-        stretch = Stretch(text, start, end)
-        if not stretch.candidates:
-            continue
-        for kind, i, j in model.best(stretch):
-            a, b = stretch.tokens[i][0], stretch.tokens[j - 1][1]
-            if not any(a < e and s < b for _, s, e in base):
+        tokens = Tokens(text, start, end)
+        for kind, i, j in model.best(text, tokens):
+            a, b = tokens.starts[i], tokens.ends[j - 1]
+            # Matches that begin before the entity ends; one of them may reach into it.
+            before = bisect_left(begins, b)
+            if not before or furthest[before - 1] <= a:
                 found.append((kind, a, b))
     return found
 
@@ -341,7 +377,7 @@ def find_personal_data(docs: DataFrame, model: Model, id_col: str = "doc_id", te
     them. No text is an empty one. Texts are read one by one: repeated rows each get their row, an
     empty table gives an empty result, other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -350,7 +386,7 @@ def find_personal_data(docs: DataFrame, model: Model, id_col: str = "doc_id", te
             for text in texts:
                 spans = base_spans(text or "")[0]
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                added.append([{"kind": k, "start": a, "end": b} for k, a, b in added_spans(shared.value, text or "", spans)])
+                added.append([{"kind": k, "start": a, "end": b} for k, a, b in added_spans(shared(), text or "", spans)])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(base, kind), pa.array(added, kind)], ["id", "base", "added"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

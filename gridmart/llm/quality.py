@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import byte_sizes, cut, cuts, slices, table
+from gridmart.llm.common import byte_sizes, cut, cuts, share, slices, table
 from gridmart.llm.langid import remainder
-from gridmart.llm.letters import bounded, code_tables, joined, labelled_sample, run_hashes, runs
+from gridmart.llm.letters import code_tables, grouped, joined, labelled_sample, pieces, run_hashes, runs
 
 #: Word slots, length of a vector, entries that aren't zero in a fixed one, neighbours on each side.
 SLOT_BITS, SIZE, ENTRIES, REACH = 14, 48, 4, 2
@@ -49,11 +49,29 @@ def fixed_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice(np.array([-1.0, 1.0]), (SLOTS, ENTRIES))
 
 
-def add_contexts(sums: np.ndarray, slots: np.ndarray, text_of: np.ndarray, fixed: tuple[np.ndarray, np.ndarray]) -> None:
-    """Add the fixed vectors of each word's neighbours in its text to the sums of its slot."""
+def in_pieces(texts: list[str | None], reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Place of the first text, slots, numbers of the texts from there, and how many of the first slots
+    were given before: a text longer than GROUP comes in pieces, each with the last `reach` slots of
+    the piece before."""
+    for at, group in grouped(texts, GROUP):
+        if len(group[0]) <= GROUP:
+            yield at, *word_slots(group), 0
+            continue
+        tail = np.empty(0, np.int64)
+        for piece in pieces(group[0], GROUP):
+            slots = np.concatenate([tail, word_slots([piece])[0]])
+            yield at, slots, np.zeros(len(slots), np.int64), len(tail)
+            tail = slots[max(0, len(slots) - reach):]
+
+
+def add_contexts(sums: np.ndarray, slots: np.ndarray, text_of: np.ndarray, fixed: tuple[np.ndarray, np.ndarray],
+                 seen: int = 0) -> None:
+    """Add the fixed vectors of each word's neighbours in its text to the sums of its slot. Pairs among
+    the first `seen` words are not counted again."""
     places, signs = fixed
     for step in range(1, REACH + 1):
         same = text_of[step:] == text_of[:-step]
+        same[:max(0, seen - step)] = False
         left, right = slots[:-step][same], slots[step:][same]
         for word, neighbour in ((left, right), (right, left)):
             at = (word * SIZE)[:, None] + places[neighbour]
@@ -63,8 +81,8 @@ def add_contexts(sums: np.ndarray, slots: np.ndarray, text_of: np.ndarray, fixed
 def _task_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums, fixed = np.zeros(SLOTS * SIZE), fixed_vectors()
     for _, texts in slices(batches, "text", most_bytes=GROUP):
-        for parts, _ in bounded(texts, GROUP):
-            add_contexts(sums, *word_slots(parts), fixed)
+        for _, slots, text_of, seen in in_pieces(texts, REACH):
+            add_contexts(sums, slots, text_of, fixed, seen)
     yield from _vectors(sums)
 
 
@@ -99,19 +117,19 @@ def pooled(vectors: np.ndarray, texts: list[str | None]) -> np.ndarray:
     """(texts, 2 * SIZE + 1): mean and deviation of the vectors of each text's words, and the mean product
     of neighbours (near 1 where words repeat); zeros without words."""
     sums, count = np.zeros((len(texts), 2 * SIZE + 1)), np.zeros((len(texts), 1))
-    for parts, owners in bounded(texts, GROUP):
-        slots, part_of = word_slots(parts)
-        if not len(slots):
+    for at, slots, text_of, seen in in_pieces(texts, 1):
+        if len(slots) == seen:
             continue
-        starts = np.flatnonzero(np.concatenate([[True], part_of[1:] != part_of[:-1]]))
         words = vectors[slots]
         alike = np.zeros(len(slots))
-        alike[1:] = np.einsum("ij,ij->i", words[1:], words[:-1]) * (part_of[1:] == part_of[:-1])
-        of = owners[part_of[starts]]  # no text has two pieces in one group
-        sums[of, :SIZE] += np.add.reduceat(words, starts, axis=0)
-        sums[of, SIZE:2 * SIZE] += np.add.reduceat(words * words, starts, axis=0)
+        alike[1:] = np.einsum("ij,ij->i", words[1:], words[:-1]) * (text_of[1:] == text_of[:-1])
+        words, alike, text_of = words[seen:], alike[seen:], text_of[seen:]
+        starts = np.flatnonzero(np.concatenate([[True], text_of[1:] != text_of[:-1]]))
+        of = at + text_of[starts]  # a text has one run of words in each piece
+        sums[of, :SIZE] += np.add.reduceat(words, starts, axis=0, dtype=np.float64)
+        sums[of, SIZE:2 * SIZE] += np.add.reduceat(words * words, starts, axis=0, dtype=np.float64)
         sums[of, 2 * SIZE] += np.add.reduceat(alike, starts)
-        count[of, 0] += np.diff(np.append(starts, len(slots)))
+        count[of, 0] += np.diff(np.append(starts, len(text_of)))
     out = sums / np.maximum(count, 1)
     out[:, SIZE:2 * SIZE] = np.sqrt(np.maximum(out[:, SIZE:2 * SIZE] - out[:, :SIZE] ** 2, 0))
     return out
@@ -212,11 +230,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     No text is an empty one, which has a score too. Repeated rows each get their row; an empty table
     gives an empty result; other columns pass through untouched.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        scores = [shared.value.score(texts.slice(start, end - start).to_pylist())
+        scores = [shared().score(texts.slice(start, end - start).to_pylist())
                   for start, end in cuts(byte_sizes(texts), GROUP, 4096)]
         return pa.array(np.clip(np.concatenate(scores or [np.empty(0)]), 0.0, 1.0), pa.float64())
 

@@ -31,6 +31,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: hex digits, of digits and letters of one case (base 32 and 36), and of others (base 62 and 64).
 WINDOW = 16
 STRETCH = 512
+#: Matches of a text that are worked on together.
+BLOCK = 256
 HEX_BITS, CASE_BITS, KEY_BITS = 2.65, 3.07, 3.32
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 #: Allow-list: every part of the string is a word, joined words (each capital begins one), an acronym or
@@ -43,11 +45,36 @@ KINDS = [*PATTERNS, "entropy"]
 _SPANS = "array<struct<start:long,rank:int,kind:string,end:long>>"
 
 
+def blocks_of(items: Column) -> Column:
+    """An array in consecutive pieces of BLOCK items."""
+    return F.when(F.size(items) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
+        lambda b: F.slice(items, b * BLOCK + 1, BLOCK))).otherwise(F.array())
+
+
 def located(text: Column, pattern: str, hits: Column, values: Column) -> Column:
     """Places of all matches as structs (start, end, value): code points, end exclusive. hits are the
-    matches and values the wanted groups; the gaps between matches come from splitting the text."""
+    matches and values the wanted groups; the gaps between matches come from splitting the text.
+
+    Adding to an array copies it, so places are added up in blocks of matches first, then over blocks.
+    """
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
     parts = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
+    return bind(parts, lambda p: F.when(F.size(p) <= BLOCK, _placed(p)["found"]).otherwise(
+        bind(F.transform(blocks_of(p), _placed), _joined_blocks)))
+
+
+def _joined_blocks(blocks: Column) -> Column:
+    """The places of all blocks, each moved by where its block begins."""
+    ends = F.aggregate(blocks, F.array(F.lit(0).cast("long")), lambda a, block: F.concat(
+        a, F.array(F.element_at(a, -1) + block["at"])))
+    return bind(ends, lambda at: F.flatten(F.transform(blocks, lambda block, i: F.transform(
+        block["found"], lambda x: F.struct((x["start"] + F.get(at, i)).alias("start"), (x["end"] + F.get(at, i)).alias("end"),
+                                           x["value"].alias("value"))))))
+
+
+def _placed(parts: Column) -> Column:
+    """Where the parts end (at) and the places in them (found), from 0 on."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long,value:string>>").alias("found"))
 
     def step(state: Column, part: Column) -> Column:
@@ -56,7 +83,7 @@ def located(text: Column, pattern: str, hits: Column, values: Column) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    return F.aggregate(parts, zero, step, lambda state: state["found"])
+    return F.aggregate(parts, zero, step)
 
 
 def _n_log_n(n: Column) -> Column:
@@ -201,8 +228,23 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     added = F.transform(parts, lambda x: F.struct(
         (x["start"] + x["part"]["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("rank"),
         F.lit("entropy").alias("kind"), (x["start"] + x["part"]["last"] + WINDOW).alias("end")))
-    return based.select("doc_id", "text", "base", F.when(F.col("some"), F.filter(added, lambda x: ~F.exists(
-        F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))).otherwise(none).alias("added"))
+    return based.select("doc_id", "text", "base", F.when(F.col("some"), bind(added, lambda spans: _apart(
+        spans, F.col("base")))).otherwise(none).alias("added"))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _apart(spans: Column, base: Column) -> Column:
+    """The spans (in order) that overlap none of base. A block of them is compared with what of base lies
+    where the block does."""
+    def block(some: Column) -> Column:
+        reach = F.struct(F.element_at(some, 1)["start"].alias("start"), F.array_max(F.transform(some, lambda x: x["end"])).alias("end"))
+        return bind(F.filter(base, lambda b: _overlap(b, reach)), lambda near: F.filter(
+            some, lambda x: ~F.exists(near, lambda b: _overlap(b, x))))
+
+    return F.flatten(F.transform(blocks_of(spans), block))
 
 
 def _written(spans: Column) -> Column:

@@ -1,15 +1,26 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import os
+import random
+import subprocess
+import sys
+import textwrap
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridmart.llm import exact_dedup, html_text, langid, mixing, packing, pii, quality, secrets, simhash, winnow
+from gridmart.llm import common, exact_dedup, html_text, langid, mixing, packing, pii, quality, secrets, simhash, winnow
 
+from gridmart.llm.common import text_key
+
+ROOT = Path(__file__).resolve().parent.parent.parent
 #: Columns with the names that the operators use inside.
 CLASH = ("id", "key", "row", "score", "print", "component_id", "root", "rate", "copies", "copy", "place", "range",
          "lent", "base", "added", "quality_score", "digest", "length", "kept", "hits_hex", "size", "label")
@@ -178,6 +189,103 @@ def test_winnowing(docs, empty, spark):
     assert winnow.compare_with_next(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [5, None])
+def test_winnowing_of_one_hot_id(spark, hot):
+    """Most rows have one id, or none: they are cut by text key, and the order is that of one list."""
+    rows = [(i, f"text number {i} of all") for i in range(40)] + [(hot, f"another text {i} under one id") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text").collect()
+    order = sorted(keyed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.key), reverse=True)
+    expected = Counter()
+    for row, following in zip(order, [*order[1:], order[0]]):
+        half = len(row.text) // 2
+        edited = row.text[:len(row.text) - half] + following.text[:half]
+        expected[row.doc_id, hashlib.sha256(edited.encode()).hexdigest()] += 1
+    got = winnow.compare_with_next(docs)
+    assert Counter((r.doc_id, r.edited_sha256) for r in got.collect()) == expected
+
+
+def test_ranges_are_few_and_in_order():
+    rng = random.Random(0)
+    ids = sorted([7] * 40 + rng.choices(range(1000), k=60))
+    ranges = winnow.Ranges(ids, 0.25, 100)
+    rows = sorted(((i, k) for i in [*range(-5, 1005), 7, 7, 7] for k in (rng.randrange(-(1 << 63), 1 << 63) for _ in range(3))), reverse=True)
+    numbers = ranges.of(pd.Series([i for i, _ in rows]), pd.Series([k for _, k in rows])).tolist()
+    assert numbers == sorted(numbers)
+    hot = {n for (i, _), n in zip(rows, numbers) if i == 7}
+    assert len(hot) > 5 and not hot & {n for (i, _), n in zip(rows, numbers) if i != 7}
+    missing = ranges.of(pd.Series([None] * 50, dtype="float64"), pd.Series([rng.randrange(-(1 << 63), 1 << 63) for _ in range(50)]))
+    assert min(missing) > max(numbers) and len(set(missing)) > 10
+
+
+@pytest.mark.parametrize("most", [1, 5])
+def test_full_indexes_are_passed_on(spark, monkeypatch, most):
+    monkeypatch.setattr(exact_dedup, "MOST_LIVE", most)
+    rows = [(i, f"Text {i % 40}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = exact_dedup.exact_duplicates(docs).collect()
+    assert all(r.keep_id == max(i for i in range(300) if i % 40 == r.doc_id % 40) and r.kept == (r.keep_id == r.doc_id)
+               and r.group_size == len(range(r.doc_id % 40, 300, 40)) for r in got) and len(got) == 300
+
+
+def test_a_repeated_row_is_the_least_one(spark):
+    """Rows that repeat id and text but differ elsewhere: the same one stays at any partitioning."""
+    rows = [(1, "same", lang) for lang in ("de", "aa", None, "en")] + [(2, "other", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {tuple(sorted(map(str, exact_dedup.drop_exact_duplicates(docs.repartition(n)).collect()))) for n in (1, 2, 5)}
+    assert len(found) == 1 and "lang=None" in next(iter(found))[0]
+    maps = docs.withColumn("more", F.create_map(F.lit("k"), F.col("lang")))
+    assert {r.doc_id for r in exact_dedup.drop_exact_duplicates(maps).collect()} == {1, 2}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session())
+
+
+def test_models_travel_without_the_package(tmp_path):
+    """Workers that cannot import this package still run what learns a model and applies it."""
+    script = textwrap.dedent(f"""
+        import sys
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+            "spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+        spark.sparkContext.setLogLevel("OFF")
+        sys.path.insert(0, {str(ROOT)!r})
+        from gridmart.llm import decontam, langid, pii, quality
+        def importable(batches):
+            import importlib.util, pyarrow as pa
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({{"found": [importlib.util.find_spec("gridmart") is not None]}})
+        print("importable", spark.range(1).mapInArrow(importable, "found boolean").first()[0])
+        docs = spark.createDataFrame([(i, f"hello world number {{i}} mail a@b.org" if i % 2 else f"guten tag nummer {{i}}",
+                                       "en" if i % 2 else "de") for i in range(40)], "doc_id long, text string, lang string")
+        print("op1", len(langid.identify(docs, langid.learn(docs)).collect()))
+        print("op4", len(pii.find_personal_data(docs, pii.learn(docs)).collect()))
+        labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+        print("op7", len(quality.scored(docs, quality.learn(docs, labels)).collect()))
+        items = docs.selectExpr("doc_id as item_id", "text").limit(3)
+        print("op11", len(decontam.find_passages(docs, items).collect()))
+    """)
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=400, cwd=tmp_path, env=environment)
+    assert done.stdout.split("\n")[:-1] == ["importable False", "op1 40", "op4 40", "op7 40", "op11 40"], done.stderr[-3000:]
+
+
 def test_mixing(docs, empty):
     mixed = mixing.mix_sources(docs)
     assert mixed.columns == docs.columns

@@ -3,6 +3,8 @@
 import itertools
 import math
 import random
+import re
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -178,7 +180,7 @@ def test_semi_markov_sums_and_best_cut_are_those_of_all_cuts():
     cuts(0, pii.OUTSIDE, 0.0, [])
     got, moves = model.expected(stretch)
     assert np.allclose(got, chances / total)
-    assert [(k, *stretch.candidates[c][:2]) for c, k in best[1]] == model.best(stretch)
+    assert [(k, *stretch.candidates[c][:2]) for c, k in best[1]] == model.best(text, pii.Tokens(text, 0, len(text)))
 
 
 def test_poisson_quantile(spark):
@@ -255,29 +257,100 @@ def test_written_marks_and_likeness_are_those_of_plain_python():
         assert winnow.likeness(a[0], b[0]) == (2 * common / (len(a[0]) + len(b[0])) if n else 1.0)
 
 
-def test_long_texts_are_read_in_pieces():
+def test_texts_are_grouped_and_long_ones_cut_between_runs():
     rng = random.Random(2)
-    texts = ["", "one two", " ".join(rng.choices(["alpha", "be ta", "gamma\n"], k=900)), "x" * 500, None, "last one"]
-    groups = list(letters.bounded(texts, 100))
-    assert all(sum(map(len, parts)) <= 100 for parts, _ in groups)
-    joined = [""] * len(texts)
-    for parts, owners in groups:
-        assert len(set(owners.tolist())) == len(parts)
-        for part, owner in zip(parts, owners):
-            joined[owner] += part
-    assert joined == [text or "" for text in texts]
-
-
-def test_pooling_in_pieces(monkeypatch):
+    texts = ["", "one two", " ".join(rng.choices(["alpha", "be ta", "gamma\n", "12,,,x"], k=300)), "x" * 500, None, "last one"]
+    groups = list(letters.grouped(texts, 100))
+    assert [t for _, group in groups for t in group] == [t or "" for t in texts]
+    assert all(len(group) == 1 or sum(map(len, group)) <= 100 for _, group in groups)
+    assert [at for at, _ in groups] == [sum(len(g) for _, g in groups[:i]) for i in range(len(groups))]
+    kinds = letters.code_tables()[1]
+    for text in texts:
+        parts = list(letters.pieces(text or "", 7))
+        assert "".join(parts) == (text or "")
+        for left, right in zip(parts, parts[1:]):
+            assert kinds[ord(left[-1])] != kinds[ord(right[0])] or kinds[ord(left[-1])] == letters.SPACE
+
+
+LONG_TEXTS = ["a b c a b", None, " ".join("abcdefgh"[i % 8] * (i % 3 + 1) for i in range(600)), "z", "", "-" * 700,
+              "".join(f"{i}x, " for i in range(400)), "y" * 300 + " zz " + "1" * 200]
+
+
+@pytest.mark.parametrize("size", [1, 64, 150])
+def test_quality_in_pieces_is_that_of_whole_texts(monkeypatch, size):
     vectors = np.random.default_rng(0).normal(size=(quality.SLOTS, quality.SIZE)).astype(np.float32)
-    texts = ["a b c a b", None, " ".join("abcdefgh"[i % 8] for i in range(600)), "z"]
-    whole = quality.pooled(vectors, texts)
-    monkeypatch.setattr(quality, "bounded", lambda texts, most: letters.bounded(texts, 64))
-    parts = quality.pooled(vectors, texts)
-    assert np.allclose(whole[:, :-1], parts[:, :-1], atol=1e-4) and np.abs(whole[:, -1] - parts[:, -1]).max() < 1
+    fixed = quality.fixed_vectors()
+
+    def contexts():
+        sums = np.zeros(quality.SLOTS * quality.SIZE)
+        for _, slots, text_of, seen in quality.in_pieces(LONG_TEXTS, quality.REACH):
+            quality.add_contexts(sums, slots, text_of, fixed, seen)
+        return sums
+
+    whole, whole_sums = quality.pooled(vectors, LONG_TEXTS), contexts()
+    monkeypatch.setattr(quality, "GROUP", size)
+    parts = quality.pooled(vectors, LONG_TEXTS)
+    assert np.allclose(whole, parts, rtol=1e-12, atol=1e-9) and np.array_equal(whole_sums, contexts())
     assert (whole[1] == 0).all()
 
 
+@pytest.mark.parametrize("size", [1, 40, 333])
+def test_language_in_pieces_is_that_of_whole_texts(monkeypatch, size):
+    """Also where a cut falls between words of different languages, at a border of columns, or in a word
+    that is longer than a piece."""
+    rng = random.Random(6)
+    words = {"aa": ["the", "and", "of", "house"], "bb": ["der", "und", "von", "haus"], "cc": ["el", "y", "de", "casa"]}
+    sample = [(label, " ".join(rng.choices(words[label], k=60))) for label in words for _ in range(12)]
+    model = langid.train(sample)
+    texts = [" ".join(rng.choices(words[label], k=n)) for label in words for n in (3, 255, 256, 257, 700)]
+    texts += ["the und der von haus el de " * 90, "x" * 400 + " und der", " .. ", None, "1 2 3 " * 50 + "casa"]
+    names, scores = langid.classify(model, texts)
+    monkeypatch.setattr(langid, "GROUP", size)
+    in_pieces, piece_scores = langid.classify(model, texts)
+    assert in_pieces == names and np.allclose(scores, piece_scores, rtol=1e-9, atol=1e-12)
+    assert len(set(names)) == 4
+
+
+def test_a_long_stretch_of_numbers_needs_little_memory():
+    import tracemalloc
+    rng = random.Random(1)
+    text = " ".join(str(rng.randint(0, 99_999)) for _ in range(20_000))
+    tokens = pii.Tokens(text, 0, len(text))
+    model = pii.train(["call +1 (269) 555-3296 or 4111 1111 1111 1111 now", "mail a@b.org or 10.0.0.1 now"])
+    tracemalloc.start()
+    model.best(text, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The cached scores of up to 100,000 shapes are most of it; the stretch itself takes some ten bytes a token.
+    assert peak < 120e6
+
+
+def test_large_means_are_inverted(spark):
+    """Against cumulative probabilities added up in logarithms."""
+    rows = [(u, float(m)) for u in (1e-6, 0.01, 0.3, 0.5, 0.77, 0.999, 1 - 1e-6) for m in (4097, 50_000, 1_000_000)]
+    got = spark.createDataFrame(rows, "u double, m double").select(
+        "u", "m", mixing.large_poisson_quantile(F.col("u"), F.col("m")).alias("k")).collect()
+    for r in got:
+        mid = int(r.m)
+        k = np.arange(max(0, mid - 12 * int(mid ** 0.5)), mid + 12 * int(mid ** 0.5))
+        logs = np.concatenate([[0.0], np.cumsum(np.log(r.m) - np.log(k[1:]))])
+        chances = np.exp(logs - logs.max())
+        exact = int(k[np.searchsorted(np.cumsum(chances) / chances.sum(), r.u)])
+        assert abs(r.k - exact) <= 1, (r.u, r.m)
+
+
+def test_a_row_of_very_many_copies_is_dealt_out(spark):
+    """One short text beside long ones: its copies come in chunks, in more than one task."""
+    docs = spark.createDataFrame([(1, "x", "tiny")] + [(i, "y" * 1000, "big") for i in range(2, 202)],
+                                 "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs, copy_col="copy").where("source = 'tiny'")
+    found = mixed.agg(F.count("*").alias("n"), F.count_distinct("copy").alias("copies"), F.max("copy").alias("most")).first()
+    assert found.n == found.copies == found.most and abs(found.n - 100_000) < 2_000
+    # A mean of 5e10: the number of copies alone.
+    counts = spark.range(1).select(mixing.large_poisson_quantile(mixing.uniform("s", F.lit("1")), F.lit(5e10)).alias("n")).first()
+    assert abs(counts.n - 5e10) < 2e6
+
+
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aZé'sÀſİΣ<|>09 \t\x1c\x85 ́")), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_encoder_gives_the_tokenizers_ids(text):
@@ -321,7 +394,9 @@ def _entropy_part(value: str) -> tuple[int, int] | None:
     for at in range(len(value) - secrets.WINDOW + 1):
         window = value[at:at + secrets.WINDOW]
         bits = -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
-        limit = secrets.HEX_BITS if set(window) <= set("0123456789abcdefABCDEF") else secrets.KEY_BITS
+        one_case = re.fullmatch("[0-9a-z]*|[0-9A-Z]*", window)
+        limit = (secrets.HEX_BITS if set(window) <= set("0123456789abcdefABCDEF") else
+                 secrets.CASE_BITS if one_case else secrets.KEY_BITS)
         if not window.isdigit() and bits >= limit - 1e-9:
             hits.append(at)
     return (hits[0], hits[-1]) if hits else None
@@ -331,6 +406,12 @@ def test_incremental_entropy(spark):
     rng = random.Random(8)
     alphabets = ["0123456789", "0123456789abcdef", "ABCDEF01", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/", "ab1"]
     values = ["".join(rng.choices(rng.choice(alphabets), k=rng.choice([24, 25, 40]))) for _ in range(150)]
+    values += ["".join(rng.choices(letters_ + "0123456789", k=rng.choice([24, 40]))) for _ in range(120)
+               for letters_ in ("abcdefghijklmn", "ABCDEFGHIJKLMNOP", "Abcdefghijklmn")]
+    # A window of 3.25 bits is above the limit of one case and below that of both.
+    between = ["aabbccddeeffg1hi", "AABBCCDDEEFFG1HI", "AAbbccddeeffg1hi"]
+    assert [_entropy_part(v) for v in between] == [(0, 0), (0, 0), None]
+    values += between
     values += ["".join(rng.choices(alphabets[3], k=30)) + "a" * 700 + "".join(rng.choices(alphabets[3], k=600)) + "b" * 40]
     got = spark.createDataFrame([(v,) for v in values], "v string").select(
         "v", secrets.suspect_part(F.col("v")).alias("p")).collect()
@@ -338,6 +419,33 @@ def test_incremental_entropy(spark):
         assert ((r.p.first, r.p.last) if r.p.first is not None else None) == _entropy_part(r.v)
 
 
+def test_places_of_many_matches(spark):
+    """More matches than a block: the places are those of plain Python, and overlaps too."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["ab1 ", "é", "77", " x9y8 ", "-"]) for _ in range(n)) for n in (0, 1, 255, 256, 257, 513, 3000)]
+    hits = F.regexp_extract_all("t", F.lit("[0-9]+"), F.lit(0))
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", secrets.located(F.col("t"), "[0-9]+", hits, hits).alias("found")).collect()
+    for r in got:
+        assert [(x.start, x.end, x.value) for x in r.found] == [(*m.span(), m[0]) for m in re.finditer("[0-9]+", r.t)]
+    spans = [sorted((a, a + rng.randint(1, 9)) for a in rng.sample(range(9000), n)) for n in (700, 900)]
+    kind = "array<struct<start:long,end:long>>"
+    kept = spark.createDataFrame([tuple(spans)], f"a {kind}, b {kind}").select(
+        secrets._apart(F.col("a"), F.col("b")).alias("kept")).first().kept
+    assert [tuple(x) for x in kept] == [x for x in spans[0] if not any(x[0] < e and s < x[1] for s, e in spans[1])]
+
+
+def test_a_text_of_digests_takes_little_time(spark):
+    """A megabyte of hex digests: base spans, and keys beside them."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("0123456789abcdef", k=64)) for _ in range(16_000)]
+    lines[100] = lines[8000] = "Zq9LkP3xT7vW1mN8bR5cY2dF6h"
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    start = time.time()
+    row = secrets.find_secrets(docs).select(F.size("base").alias("base"), F.size("added").alias("added")).first()
+    assert (row.base, row.added) == (15_998, 2) and time.time() - start < 90
+
+
 @pytest.mark.parametrize("value, allowed", [
     ("some-long-path/with_words/inside", True), ("123e4567-e89b-12d3-a456-426614174000", True),
     ("myEXAMPLEkey1234567890abcd", True), ("Zq9LkP3xT7vW1mN8bR5cY2dF6h", False), ("deadbeef0123deadbeef45670a", False)])
@@ -402,6 +510,34 @@ def test_short_parts_between_containers_stay():
     assert html_text.main_text(page) == "\n\n".join([long.strip(), "One line.", "The end.", long.strip()])
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>Lead text here.</p><p><a href=x>Only a link paragraph</a></p></article>", ["Lead text here.", "Only a link paragraph"]),
+    ("<main><p>Lead.</p><ul><li><a href=a>First source</a><li><a href=b>Second source</a></ul></main>",
+     ["Lead.", "First source", "Second source"]),
+    ("<body><div><h1>Short title</h1></div><div><p>" + "Long text of the page. " * 20 + "</p></div><div><p>The end.</p></div></body>",
+     ["Short title", ("Long text of the page. " * 20).strip(), "The end."]),
+    ("<body><nav><a href=x>Home</a></nav><div><p>" + "Long text of the page. " * 20 + "</p></div><aside>Advert</aside><div>(c) 2024 Company</div></body>",
+     [("Long text of the page. " * 20).strip()]),
+    ("<article><p>The text goes on <button>Share</button> in one line.</p></article>", ["The text goes on in one line."]),
+])
+def test_blocks_of_the_article_stay(page, text):
+    assert html_text.main_text(page).split("\n\n") == text
+
+
+@pytest.mark.parametrize("comment", [
+    "<section class='comments-area'><p>{}</p></section>", "<div class='comment-list'><p>{}</p></div>",
+    "<article class='comment'><p>{}</p></article>", "<ol class='comments'><li>{}</ol>", "<div id='comments'><article><p>{}</p></article></div>"])
+def test_reader_comments_go(comment):
+    said = "What a very good article this is, I read it with great pleasure, thank you so much for it. " * 2
+    page = "<body><article><p>" + "The article itself. " * 20 + "</p></article>" + comment.format(said) + "</body>"
+    assert html_text.main_text(page) == ("The article itself. " * 20).strip()
+
+
+def test_a_wrapper_named_after_comments_is_read():
+    page = "<body><article class='post has-comments no-replies'><p>" + "The article itself. " * 20 + "</p></article></body>"
+    assert html_text.main_text(page) == ("The article itself. " * 20).strip()
+
+
 def test_names_skip_no_article():
     long = "Long text of the article. " * 20
     page = f"<h1>Title</h1><p>{long}</p><p>The end.</p>"
