@@ -121,7 +121,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     before those are made.
     """
     rates = source_rates(docs, weights, source_col, text_col)
-    sizes = rates.agg(F.count("*").alias("n"), F.max("rate").alias("most")).first()
+    sizes = rates.agg(F.count("*").alias("n"), F.max("rate").alias("most"), F.min("parts").alias("fewest_parts"),
+                      F.max("parts").alias("most_parts")).first()
     if sizes["n"] <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     # Plain columns under names of their own, which no column of the documents clashes with.
@@ -135,7 +136,13 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     many = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda sum_, i: sum_ + poisson_quantile(
         uniform(seed, F.col("key"), i), F.col("levels")))
     large = large_poisson_quantile(uniform(seed, F.col("key")), F.col("rate"))
-    copies = F.when(F.col("parts") == 1, one).when(F.col("parts") > 1, many).otherwise(large).cast("long")
+    # Only the forms that some source needs: the code of all of them together is too long to be compiled.
+    copies = one
+    if (sizes["most_parts"] or 0) > 1:
+        copies = F.when(F.col("parts") == 1, one).otherwise(many)
+    if sizes["fewest_parts"] == 0:
+        copies = F.when(F.col("parts") == 0, large).otherwise(copies)
+    copies = copies.cast("long")
     rows = rows.select(*own.values(), "key", copies.alias("copies")).where("copies > 0")
     zero = F.lit(0).cast("long")
     if (sizes["most"] or 0) < CHUNK / 10:
