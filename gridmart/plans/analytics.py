@@ -199,17 +199,18 @@ def driver_by_year(star: Star, full_name: str | None = None, collation: str | No
     """Races, points, wins and average finish per year, for one driver name or for all.
 
     Names compare exactly; pass a collation such as UNICODE_CI_AI to ignore case and accents. ``when`` is
-    a condition on the columns of the date dimension. Dates are joined by year too, which the date
-    implies: the fact lies in folders by year, and Spark then reads those of the dates found only.
+    a condition on the columns of the date dimension. Dates are then joined by year too, which the date
+    implies: the fact lies in folders by year, and Spark reads those of the dates found only.
     """
     drivers = _drivers(star)
-    rows = star.fact("driver_id", "date_id", "year", "points", "is_win", "finish_pos")
+    day = ["date_id"] if when is None else ["date_id", "year"]
+    rows = star.fact("driver_id", *day, "points", "is_win", "finish_pos")
     if full_name is not None:
         name = F.collate("full_name", collation) if collation else F.col("full_name")
         drivers = drivers.where(name == full_name)
         rows = rows.join(drivers.select("driver_id"), "driver_id", "left_semi")
     # Per (driver, date) first, so that no join meets all rows of a busy driver.
-    days = rows.groupBy("driver_id", "date_id", "year").agg(
+    days = rows.groupBy("driver_id", *day).agg(
         F.count("*").alias("races"),
         F.sum("points").alias("points"),
         F.count_if("is_win").alias("wins"),
@@ -218,7 +219,7 @@ def driver_by_year(star: Star, full_name: str | None = None, collation: str | No
     )
     dates = star.dim("dim_date", *(("date_id", "year") if when is None else DIM_DATE.columns))
     dates = (dates.where(when) if when is not None else dates).select("date_id", "year")
-    years = days.join(dates, ["date_id", "year"]).groupBy("year", "driver_id").agg(
+    years = days.join(dates, day).groupBy("year", "driver_id").agg(
         F.sum("races").alias("races"),
         F.sum("points").cast("double").alias("points"),
         F.sum("wins").alias("wins"),
