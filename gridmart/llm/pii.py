@@ -4,7 +4,9 @@ The field cuts a stretch of tokens into segments: outside tokens, and entities o
 with a kind. Features look at a whole candidate segment (its shape, digits, checksums, both borders),
 so a card after a phone number, which the fixed patterns read as one long number and drop, comes out
 as two entities. Weights, and those of neighbouring kinds, are learned by gradient on the conditional
-likelihood; forward-backward and the search for the best cut go over bounded entities only.
+likelihood; forward-backward and the search for the best cut go over bounded entities only. Examples
+are stretches of the corpus, as the fixed patterns label them, and made lines (`pii_samples`) of what
+the patterns miss.
 
 Only stretches of words with a digit or an @ sign are cut: elsewhere no candidate can begin or end.
 """
@@ -12,6 +14,7 @@ Only stretches of words with a digit or an @ sign are cut: elsewhere no candidat
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from array import array
 from bisect import bisect_left
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import share, slices, table
+from gridmart.llm.pii_samples import made_line
 
 KINDS = ["email", "ip", "card", "phone"]
 OUTSIDE = len(KINDS)
@@ -32,6 +36,8 @@ OUTSIDE = len(KINDS)
 LONGEST, SAMPLE = 16, 2000
 #: Of the sample: characters of a stretch to learn from, stretches, and made pairs of entities, at most.
 LEARN_CHARS, LEARN_STRETCHES, LEARN_PAIRS = 400, 3000, 1000
+#: Made lines to learn from.
+LEARN_LINES = 2000
 EPOCHS, RATE, SHRINK = 6, 0.5, 1e-4
 
 # The fixed patterns. Lookbehinds only spare starts that cannot match; the emails' first part is
@@ -60,6 +66,17 @@ def is_ip(text: str) -> bool:
     return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and p.isascii() and p.isdigit() and int(p.lstrip("0") or "0") <= 255 for p in parts)
 
 
+def is_ip6(text: str) -> bool:
+    """Whether this is an address of groups with colons, at least two of them and at least one digit."""
+    if text.count(":") < 2 or len(text) > 39:
+        return False
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return any("0" <= c <= "9" for c in text)
+
+
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
     """Matches of the fixed patterns as (kind, start, end), and places of dropped numbers."""
     found, dropped = [], []
@@ -87,7 +104,8 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
 
 
 _CHUNK = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
-_TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]")
+# Hexadecimal groups beside a colon are one token each.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]++(?=:)|(?<=:)[0-9A-Fa-f]++(?![A-Za-z0-9])|[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]")
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
@@ -117,14 +135,17 @@ def segment_key(text: str, start: int, end: int) -> tuple:
     """What the features of a candidate segment depend on."""
     part = text[start:end]
     digits = digits_of(part)
-    return (_RUNS.sub(_shape_of, part), len(digits), 12 <= len(digits) <= 19 and luhn(digits), is_ip(part),
-            _class(text[start - 1:start]), _class(text[end:end + 1]))
+    ip = 6 if is_ip6(part) else is_ip(part)
+    # Lengths of an address's groups say nothing.
+    return ("ip6" if ip == 6 else _RUNS.sub(_shape_of, part), len(digits) if ip != 6 else 0,
+            12 <= len(digits) <= 19 and luhn(digits), ip, digits[:2] if digits[:2] == "00" else min(digits[:1], "2"), _class(text[start - 1:start]), _class(text[end:end + 1]))
 
 
 def features(key: tuple) -> list[tuple]:
-    shape, n, checked, ip, left, right = key
+    shape, n, checked, ip, lead, left, right = key
     signs = "".join(sorted(set(shape) - set("d0123456789")))
     return [("bias",), ("shape", shape), ("digits", min(n, 25)), ("signs", signs), ("checked", checked, n >= 16),
+            ("checked+shape", checked, shape), ("lead", lead, shape), ("lead+signs", lead, signs, n),
             ("ip", ip), ("at", shape.count("@")), ("first", shape[0], shape[:3]), ("last", shape[-1]),
             ("left", left, shape[0]), ("right", right), ("left+signs", left, signs), ("right+signs", right, signs)]
 
@@ -142,8 +163,9 @@ class Tokens:
             c = text[m.start()]
             self.starts.append(m.start())
             self.ends.append(m.end())
-            self.marks.append(
-                c.isascii() and (_OPENS * (c.isalnum() or c in "+(") | _CLOSES * c.isalnum() | _DIGIT * c.isdigit() | _AT * (c == "@")))
+            self.marks.append(c.isascii() and (
+                _OPENS * (c.isalnum() or c in "+(") | _CLOSES * c.isalnum() | _DIGIT * (c.isalnum() and not m[0].isalpha())
+                | _AT * (c == "@")))
 
     def __len__(self) -> int:
         return len(self.starts)
@@ -241,9 +263,12 @@ class Model:
             at, kind = start, int(befores[at, kind])
         return found[::-1]
 
-    def expected(self, stretch: Stretch) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities of (candidate, kind), and expected counts of moves, by forward-backward."""
-        n, inner = len(stretch.tokens), [self.score(key) for _, _, key in stretch.candidates]
+    def expected(self, stretch: Stretch, inner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of (candidate, kind), and expected counts of moves, by forward-backward.
+        `inner` has the candidates' scores where they are known."""
+        n = len(stretch.tokens)
+        if inner is None:
+            inner = [self.score(key) for _, _, key in stretch.candidates]
         low = -1e30
         alpha, entering = np.full((n + 1, OUTSIDE + 1), low), np.empty((n + 1, OUTSIDE + 1))
         alpha[0, OUTSIDE] = 0.0
@@ -269,9 +294,21 @@ class Model:
         return np.array(chances).reshape(-1, OUTSIDE), moves
 
 
-def _gold(text: str, start: int, end: int) -> tuple[Stretch, dict] | None:
-    """A stretch with its true entities by candidate; None where the fixed patterns don't tell: a
-    dropped number, overlapping matches, or one that isn't a candidate."""
+Labelled = tuple[Stretch, dict[int, int]]
+
+
+def labelled(text: str, start: int, end: int, spans: list[tuple[int, int, int]]) -> Labelled | None:
+    """A stretch and the kinds of its true entities, by candidate; None if one isn't a candidate."""
+    stretch = Stretch(text, start, end)
+    place = {(stretch.tokens[i][0], stretch.tokens[j - 1][1]): c for c, (i, j, _) in enumerate(stretch.candidates)}
+    if any((a, b) not in place for _, a, b in spans):
+        return None
+    return stretch, {place[a, b]: kind for kind, a, b in spans}
+
+
+def _by_patterns(text: str, start: int, end: int) -> Labelled | None:
+    """A stretch as the fixed patterns label it; None where they don't tell: a dropped number,
+    overlapping matches, or one that isn't a candidate."""
     part = text[max(0, start - 1):end + 1]
     shift = start - max(0, start - 1)
     spans, dropped = base_spans(part)
@@ -280,41 +317,56 @@ def _gold(text: str, start: int, end: int) -> tuple[Stretch, dict] | None:
     spans.sort(key=lambda s: s[1])
     if any(a[2] > b[1] for a, b in zip(spans, spans[1:])):
         return None
-    stretch = Stretch(part, shift, shift + end - start)
-    place = {(stretch.tokens[i][0], stretch.tokens[j - 1][1]): c for c, (i, j, _) in enumerate(stretch.candidates)}
-    if any((a, b) not in place for _, a, b in spans):
-        return None
-    return stretch, {place[a, b]: kind for kind, a, b in spans}
-
-
-def train(texts: list[str]) -> Model:
-    """Weights by AdaGrad. The fixed patterns label the stretches; further ones are two labelled
-    entities of the sample side by side, which the patterns themselves could not tell apart."""
+    return labelled(part, shift, shift + end - start, spans)
+
+
+def _looks(example: Labelled, chosen: bool) -> Iterator[tuple]:
+    """What the entities of an example look like (without their borders), or the candidates that
+    overlap none of its entities."""
+    stretch, gold = example
+    taken = [stretch.candidates[c][:2] for c in gold]
+    for c, (i, j, key) in enumerate(stretch.candidates):
+        if c in gold if chosen else not any(i < b and a < j for a, b in taken):
+            yield key[:-2]
+
+
+def train(texts: list[str], stretch_chars: int = LEARN_CHARS, most_stretches: int = LEARN_STRETCHES,
+          pairs: int = LEARN_PAIRS, lines: int = LEARN_LINES) -> Model:
+    """Weights by AdaGrad. Examples are
+    - stretches of the texts, of at most `stretch_chars` characters and `most_stretches` at most, as the
+      fixed patterns label them. Where something unlabelled looks like an entity of a made line, a stretch
+      tells nothing and is left out;
+    - `pairs` of labelled entities of the texts side by side, which the patterns could not tell apart;
+    - `lines` made lines with what the patterns miss, and with numbers that are nobody's.
+    """
     model, rng = Model(), np.random.default_rng(11)
+    made = [example for line, spans in (made_line(rng) for _ in range(lines)) if (example := labelled(line, 0, len(line), spans))]
+    known = {look for example in made for look in _looks(example, True)}
     examples, entities = [], []
     for text in texts:
         for start, end in stretches(text):
-            if end - start <= LEARN_CHARS and (labelled := _gold(text, start, end)):
-                examples.append(labelled)
+            if end - start <= stretch_chars and (example := _by_patterns(text, start, end)):
+                if known.isdisjoint(_looks(example, False)):
+                    examples.append(example)
         entities += [(kind, text[a:b]) for kind, a, b in base_spans(text)[0]]
-    order = rng.permutation(len(examples))[:LEARN_STRETCHES]
-    examples = [examples[i] for i in order]
-    for _ in range(min(LEARN_PAIRS, 4 * len(entities))):
+    order = rng.permutation(len(examples))[:most_stretches]
+    examples = [examples[i] for i in order] + made
+    for _ in range(min(pairs, 4 * len(entities))):
         (kind, first), (other, second) = (entities[i] for i in rng.integers(0, len(entities), 2))
         line = f"{first} {second}"
-        stretch = Stretch(line, 0, len(line))
-        place = {(stretch.tokens[i][0], stretch.tokens[j - 1][1]): c for c, (i, j, _) in enumerate(stretch.candidates)}
-        spans = [(kind, 0, len(first)), (other, len(first) + 1, len(line))]
-        if all((a, b) in place for _, a, b in spans):
-            examples.append((stretch, {place[a, b]: k for k, a, b in spans}))
-    squares: dict[tuple, np.ndarray] = {}
+        if example := labelled(line, 0, len(line), [(kind, 0, len(first)), (other, len(first) + 1, len(line))]):
+            examples.append(example)
+    examples = [example for example in examples if example[0].candidates]
+    # Features by number, one row for each candidate of an example.
+    numbers: dict[tuple, int] = {}
+    rows = [np.array([[numbers.setdefault(f, len(numbers)) for f in features(key)] for _, _, key in stretch.candidates])
+            for stretch, _ in examples]
+    weights, squares = np.zeros((len(numbers), OUTSIDE)), np.ones((len(numbers), OUTSIDE))
     move_squares = np.full(model.moves.shape, 1.0)
     for _ in range(EPOCHS):
         for at in rng.permutation(len(examples)):
-            stretch, gold = examples[at]
-            if not stretch.candidates:
-                continue
-            chances, moves = model.expected(stretch)
+            (stretch, gold), used = examples[at], rows[at]
+            chances, moves = model.expected(stretch, weights[used].sum(axis=1))
             missing = -chances
             for c, kind in gold.items():
                 missing[c, kind] += 1
@@ -324,19 +376,17 @@ def train(texts: list[str]) -> Model:
                 kind, i = starts.get(i, (OUTSIDE, i + 1))
                 seen[last, kind] += 1
                 last = kind
-            gradients: dict[tuple, np.ndarray] = {}
-            for c in np.flatnonzero(np.abs(missing).max(axis=1) > 1e-4):
-                for feature in features(stretch.candidates[c][2]):
-                    gradients[feature] = gradients.get(feature, 0) + missing[c]
-            for feature, g in gradients.items():
-                weight = model.weights.get(feature, np.zeros(OUTSIDE))
-                g = g - SHRINK * weight
-                squares[feature] = squares.get(feature, 1.0) + g * g
-                model.weights[feature] = weight + RATE * g / np.sqrt(squares[feature])
+            wrong = np.abs(missing).max(axis=1) > 1e-4
+            touched, place = np.unique(used[wrong], return_inverse=True)
+            step = np.zeros((len(touched), OUTSIDE))
+            np.add.at(step, place.reshape(-1), np.repeat(missing[wrong], used.shape[1], axis=0))
+            step -= SHRINK * weights[touched]
+            squares[touched] += step * step
+            weights[touched] += RATE * step / np.sqrt(squares[touched])
             step = seen - moves
             move_squares += step ** 2
             model.moves += RATE * step / np.sqrt(move_squares)
-            model._known.clear()
+    model.weights = {feature: weights[n].copy() for feature, n in numbers.items() if weights[n].any()}
     return model
 
 
