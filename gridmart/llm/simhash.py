@@ -10,8 +10,8 @@ index; a word at distance 3 has six, its own codeword's and those of the five co
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -30,8 +30,10 @@ SHINGLE = 3
 #: blocks a fingerprint has some 42 keys of 28 bits that tell; with 5 blocks some 100 of 37 bits, which
 #: suits billions of distinct fingerprints better.
 BLOCKS, FINER_BLOCKS = 4, 8
-#: Members up to which a bucket of the first keys is searched at once.
-BUCKET = 1024
+#: Members up to which a bucket of the first keys, and of the finer ones, is searched at once.
+BUCKET, FINER_BUCKET = 1024, 16_384
+#: Blocks of the last keys, which agree on all blocks but three: their buckets hold 2^12 members at most.
+LAST_BLOCKS = 16
 #: Fixed value: generator polynomial of the binary Golay code, x^11+x^9+x^7+x^6+x^5+x+1.
 GENERATOR = 0b101011100011
 
@@ -75,8 +77,9 @@ def codeword_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(used)[0], indexes[used]
 
 
-def bucket_keys(prints: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit fingerprints to (place, 64-bit key) pairs, for 4 to 8 blocks."""
+def _dealt(prints: np.ndarray, blocks: int) -> Iterator[tuple[int, tuple[np.ndarray, int], tuple[np.ndarray, int]]]:
+    """For each choice of three erring blocks: its number, the other blocks' bits, the erring ones' bits,
+    each with how many they are."""
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     widths = [b - a for a, b in zip(cuts, cuts[1:])]
     parts = [(prints >> np.uint64(a)).astype(np.int64) & ((1 << w) - 1) for a, w in zip(cuts, widths)]
@@ -87,10 +90,14 @@ def bucket_keys(prints: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray
             value, bits = value << widths[i] | parts[i], bits + widths[i]
         return value, bits
 
-    places, keys = [], []
     for number, erring in enumerate(combinations(range(blocks), MOST_BITS)):
-        same, same_bits = together([i for i in range(blocks) if i not in erring])
-        rest, rest_bits = together(list(erring))
+        yield number, together([i for i in range(blocks) if i not in erring]), together(list(erring))
+
+
+def bucket_keys(prints: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit fingerprints to (place, 64-bit key) pairs, for 4 to 8 blocks."""
+    places, keys = [], []
+    for number, (same, same_bits), (rest, rest_bits) in _dealt(prints, blocks):
         low = rest_bits // 2
         for half, word in enumerate((rest & ((1 << low) - 1), rest >> low)):
             # A half wider than 23 bits leaves one out: that can only lessen its errors.
@@ -100,6 +107,13 @@ def bucket_keys(prints: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(places), np.concatenate(keys)
 
 
+def last_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit fingerprints to (place, 64-bit key) pairs: all blocks of four bits but three, 560 keys each.
+    Equal keys agree on 52 bits, so at most 4,096 distinct fingerprints share one."""
+    keys = [np.int64(number << bits) | same for number, (same, bits), _ in _dealt(prints, LAST_BLOCKS)]
+    return np.tile(np.arange(len(prints)), len(keys)), np.concatenate(keys)
+
+
 def fingerprint(text: str | None) -> int:
     """SimHash of the text's word shingles; zero if it has no word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split(None)
@@ -138,13 +152,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(_fingerprints, "id long, key long, print long")
 
 
-def _expand(blocks: int):
+Keys = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def _expand(keys: Keys):
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = batch.column("print").to_numpy(zero_copy_only=False)
             for start in range(0, len(prints), 2048):
                 part = prints[start:start + 2048]
-                place, key = bucket_keys(part.view(np.uint64), blocks)
+                place, key = keys(part.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[place])], ["bucket", "print"])
     return expand
 
@@ -214,8 +231,8 @@ def _links(bucket_limit: int | None):
     return links
 
 
-def _bucket_links(prints: DataFrame, blocks: int, bucket_limit: int | None) -> DataFrame:
-    keyed = prints.mapInArrow(_expand(blocks), "bucket long, print long")
+def _bucket_links(prints: DataFrame, keys: Keys, bucket_limit: int | None) -> DataFrame:
+    keyed = prints.mapInArrow(_expand(keys), "bucket long, print long")
     return keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _links(bucket_limit), "a long, b long")
 
@@ -226,12 +243,15 @@ def near_links(prints: DataFrame, blocks: int = BLOCKS) -> DataFrame:
 
     Buckets of many fingerprints (dense clusters of near copies, or chance in a very large corpus)
     are not searched under the first keys: their members go through finer ones, which agree on 40
-    bits.
+    bits, and those of buckets that are still large through the last ones, which agree on 52. So no
+    task compares more than FINER_BUCKET members with each other, however large a cluster is.
     """
-    found = cut(_bucket_links(prints, blocks, BUCKET).distinct())
+    found = cut(_bucket_links(prints, partial(bucket_keys, blocks=blocks), BUCKET).distinct())
     dense = found.where("a = b").select(F.col("a").alias("print"))
-    finer = _bucket_links(dense, FINER_BLOCKS, None)
-    return found.where("a <> b").union(finer)
+    finer = cut(_bucket_links(dense, partial(bucket_keys, blocks=FINER_BLOCKS), FINER_BUCKET).distinct())
+    densest = finer.where("a = b").select(F.col("a").alias("print"))
+    last = _bucket_links(densest, last_keys, None)
+    return found.where("a <> b").union(finer.where("a <> b")).union(last)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:

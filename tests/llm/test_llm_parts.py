@@ -79,6 +79,21 @@ def test_bucket_keys_meet_within_three_bits(blocks):
         assert set(key[place == 0].tolist()) & set(key[place == 1].tolist())
 
 
+def test_last_keys_meet_within_three_bits_and_bound_a_bucket():
+    rng = random.Random(8)
+    for _ in range(20):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randint(0, 3)):
+            b ^= 1 << bit
+        place, key = simhash.last_keys(np.array([a, b], np.uint64))
+        assert set(key[place == 0].tolist()) & set(key[place == 1].tolist())
+    # Keys tell apart whatever differs outside of three blocks: all values of 16 bits, four blocks of them.
+    prints = np.arange(1 << 16, dtype=np.uint64)[::16] << np.uint64(7)
+    place, key = simhash.last_keys(prints)
+    assert len(place) == 560 * len(prints) and np.unique(key, return_counts=True)[1].max() <= 4096
+
+
 def _components(prints: list[int]) -> dict[int, int]:
     root = {p: p for p in prints}
 
@@ -94,10 +109,11 @@ def _components(prints: list[int]) -> dict[int, int]:
     return {p: find(p) for p in root}
 
 
-@pytest.mark.parametrize("bucket", [1024, 4])
-def test_links_connect_what_all_pairs_connect(spark, monkeypatch, bucket):
-    """Chains, a dense cluster around one fingerprint, and strangers; also with buckets over the limit."""
+@pytest.mark.parametrize(("bucket", "finer"), [(1024, 16_384), (4, 16_384), (4, 3)])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, bucket, finer):
+    """Chains, a dense cluster around one fingerprint, and strangers; also with buckets over the limits."""
     monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "FINER_BUCKET", finer)
     rng = random.Random(3)
     prints = {rng.getrandbits(64) for _ in range(100)} | {0}
     center = rng.getrandbits(64)
