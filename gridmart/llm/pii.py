@@ -406,15 +406,28 @@ def added_spans(model: Model, text: str, base: list[tuple[int, int, int]]) -> li
     return found
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` texts that hold a digit or an @ sign, those of the smallest hash."""
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+          stretch_chars: int = LEARN_CHARS, most_stretches: int = LEARN_STRETCHES) -> Model:
+    """A model from a bounded sample: of some 2 * `sample` texts that hold a digit or an @ sign (those of
+    the smallest hash), at most `most_stretches` stretches of at most `stretch_chars` characters, again
+    those of the smallest hash. Stretches are cut in the tasks, so the driver gets no whole texts."""
     rows = docs.select(F.xxhash64(F.col(id_col), F.lit("pii")).alias("place"), F.col(text_col).alias("text")).where(
         F.col("text").rlike("[0-9@]"))
     count = rows.count()
     limit = min(1.0, 2.0 * sample / max(count, 1)) * 2.0 ** 64 - 2.0 ** 63
-    # About twice the wanted rows are below the limit; each task passes on `sample` of them at most.
-    near = rows.where(F.col("place").cast("double") <= limit).orderBy("place", "text").limit(sample)
-    return train([r["text"] for r in near.collect()])
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text"):
+            for place, text in zip(batch.column("place").to_pylist(), texts):
+                found = [(a, text[a:b]) for a, b in stretches(text) if b - a <= stretch_chars]
+                for i in range(0, len(found), 10_000):
+                    starts, parts = zip(*found[i:i + 10_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([place] * len(starts)), pa.array(starts, pa.int64()), pa.array(parts)], ["place", "start", "text"])
+
+    parts = rows.where(F.col("place").cast("double") <= limit).mapInArrow(short, "place long, start long, text string")
+    chosen = parts.orderBy(F.xxhash64("place", "start", "text"), "place", "start", "text").limit(most_stretches)
+    return train([r["text"] for r in chosen.collect()], stretch_chars, most_stretches)
 
 
 _SCHEMA = ("id long, base array<struct<kind:int,start:long,end:long>>, added array<struct<kind:int,start:long,end:long>>")

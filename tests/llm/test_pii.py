@@ -113,3 +113,19 @@ def test_equal_seeds_equal_models():
     a, b = pii.train([], lines=200), pii.train([], lines=200)
     assert a.weights.keys() == b.weights.keys() and all((a.weights[f] == b.weights[f]).all() for f in a.weights)
     assert pii.train([], lines=0).weights == {}
+
+
+def test_the_driver_gets_short_stretches_only(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda texts, *bounds: seen.extend(texts) or pii.Model())
+    rows = [(i, f"mail u{i}@mail.example.org now, or +1 (269) 555-{1000 + i} " + "word " * 3000 + "9" * 500) for i in range(50)]
+    docs = spark.createDataFrame([*rows, (None, "7 8"), (3, None), (4, "")], "doc_id long, text string")
+    pii.learn(docs)
+    assert sorted(seen) == sorted(
+        ["7 8", *(t for i in range(50) for t in (f"u{i}@mail.example.org", f"+1 (269) 555-{1000 + i}"))])
+    first, seen[:] = list(seen), []
+    pii.learn(docs.repartition(7))
+    assert seen == first
+    seen.clear()
+    pii.learn(docs, most_stretches=9)
+    assert seen == first[:9]
