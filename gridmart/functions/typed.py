@@ -13,12 +13,9 @@ _TIME_OF_DAY = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
 
 
 def whole_number(text: Column, target: str) -> Column:
-    """Integer text, or integer text written as a float ('44.0')."""
+    """Integer text, or integer text written as a float ('44.0'), which no cast takes as it is."""
     without_zeros = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    return F.coalesce(
-        text.try_cast(target),
-        F.when(text.contains("."), without_zeros).try_cast(target),
-    )
+    return F.when(text.contains("."), without_zeros).otherwise(text).try_cast(target)
 
 
 def typed_value(text: Column, field: Field) -> Column:

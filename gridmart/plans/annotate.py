@@ -34,13 +34,22 @@ def _text(field: Field) -> Column:
     return F.col(f"_text_{field.name}")
 
 
-def _parsed(raw: DataFrame, fields: list[Field]) -> DataFrame:
-    """Typed columns next to their cleaned text: each cell is cleaned and parsed once."""
+def _parsed(raw: DataFrame, fields: list[Field], keys: list[Field] | None = None) -> DataFrame:
+    """Typed columns next to their cleaned text: each cell is cleaned and parsed once.
+
+    ``keys`` are the fields that conditions will be put on. They are made by a generator of one row,
+    which Spark moves no condition through: a condition on a projected column is moved below it with the
+    whole expression in each place, so the cell is parsed again and again, in one method too long for
+    the JVM to compile.
+    """
+    keys = keys or []
     if BAD_LINE not in raw.columns:
         raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
     cells = raw.select(
         *[null_if_token(f.source).alias(f"_text_{f.name}") for f in fields], BAD_LINE, ORDER)
-    return cells.select("*", *[typed_value(_text(f), f).alias(f.name) for f in fields])
+    typed = {f.name: typed_value(_text(f), f).alias(f.name) for f in fields}
+    made_keys = [F.inline(F.array(F.struct(*[typed[f.name] for f in keys])))] if keys else []
+    return cells.select("*", *made_keys, *[typed[f.name] for f in fields if f not in keys])
 
 
 def _issues(fields: list[Field]) -> dict[str, tuple[str, Column]]:
@@ -59,7 +68,7 @@ def typed_rows(raw: DataFrame, spec: TableSpec, extra: tuple[Field, ...] = ()) -
     for f in keys:
         bad_key = bad_key | is_lost(_text(f), F.col(f.name))
     key_text = F.concat_ws("|", *[F.coalesce(_text(f), F.lit("")) for f in keys])
-    return _parsed(raw, fields).select(
+    return _parsed(raw, fields, keys).select(
         *[f.name for f in fields],
         collect_issues(_issues(fields)).alias(ISSUES),
         F.when(bad_key, key_text).alias(SOURCE_KEY),
@@ -85,21 +94,32 @@ def _known(fk: ForeignKey) -> str:
     return f"_known_{fk.column}"
 
 
-def own_fault(typed: DataFrame, spec: TableSpec) -> Column:
-    """The first rule that a row breaks by itself, without a look at any other row."""
-    null_key = F.lit(False)
+def own_fault() -> Column:
+    """The first rule that a row which is not sound breaks by itself. Each outcome is a constant, so that
+    a condition on the outcome is settled when the query is planned."""
+    return (
+        F.when(F.col(BAD_LINE).isNotNull(), F.lit("malformed_row"))
+        .when(F.col(SOURCE_KEY).isNotNull(), F.lit("bad_key"))
+        .otherwise(F.lit("null_key"))
+    )
+
+
+def _is_sound(typed: DataFrame, spec: TableSpec) -> Column:
+    """Does the row break no rule by itself, without a look at any other row?
+
+    A bad key is a key column without a value, so the text of the keys need not be looked at again.
+    """
+    sound = F.col(BAD_LINE).isNull()
     for name in spec.required:
         if name in typed.columns:
-            null_key = null_key | F.col(name).isNull()
-    return F.coalesce(
-        F.when(F.col(BAD_LINE).isNotNull(), F.lit("malformed_row")),
-        F.when(F.col(SOURCE_KEY).isNotNull(), F.lit("bad_key")),
-        F.when(null_key, F.lit("null_key")),
-    )
+            sound = sound & F.col(name).isNotNull()
+    return sound
 
 
 def _sound(typed: DataFrame, spec: TableSpec) -> DataFrame:
-    return typed.where(own_fault(typed, spec).isNull())
+    """Rows without a fault of their own, which have neither a bad line nor a bad key to tell of."""
+    none = F.lit(None).cast("string")
+    return typed.where(_is_sound(typed, spec)).withColumns({SOURCE_KEY: none, BAD_LINE: none})
 
 
 def _with_parents(rows: DataFrame, spec: TableSpec, parents: Parents) -> DataFrame:
@@ -163,7 +183,7 @@ def annotate(typed: DataFrame, spec: TableSpec, parents: Parents,
     steps += [F.when(~F.col("_is_first"), F.lit("duplicate_key"))]
     frame = frame.withColumn(REASON, F.coalesce(*steps)).drop("_is_first", "_found", FAULT, *[_known(fk) for fk in fks])
     if broken:
-        rest = typed.withColumn(REASON, own_fault(typed, spec)).where(F.col(REASON).isNotNull())
+        rest = typed.where(~_is_sound(typed, spec)).withColumn(REASON, own_fault())
         frame = frame.unionByName(rest, allowMissingColumns=True)
     return frame
 

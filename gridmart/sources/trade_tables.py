@@ -73,6 +73,13 @@ def _status() -> Column:
     return F.when(_retired(), F.lit(3)).otherwise(finished)
 
 
+def _tax_is(percent: int) -> Column:
+    """Is the tax so many per cent when rounded? As limits: rounding decimals costs far more, and the
+    condition is repeated wherever a cell is looked at."""
+    tax = F.col("l_tax") * 100
+    return (tax >= percent - 0.5) & (tax < percent + 0.5)
+
+
 def brand_number(brand: Column) -> Column:
     return F.split_part(brand, F.lit("#"), F.lit(2))
 
@@ -176,13 +183,12 @@ def raw_results(spark: SparkSession, folder: str, flawed: bool = False, with_con
     lap = _lap_text()
     speed = F.concat(_text(F.col("l_quantity").cast("int") + 150), F.lit(".25"))
     if flawed:
-        tax = F.round(F.col("l_tax") * 100).cast("int")
-        race = _token_if((tax == 8) & (F.col("l_discount") < 0.03), "\\N", race)
-        driver = _token_if((tax == 7) & (F.col("l_discount") < 0.03), "unknown", driver)
-        constructor = _token_if(tax == 6, "NULL", constructor)
-        speed = _token_if(tax == 5, "123456.7", speed)
+        race = _token_if(_tax_is(8) & (F.col("l_discount") < 0.03), "\\N", race)
+        driver = _token_if(_tax_is(7) & (F.col("l_discount") < 0.03), "unknown", driver)
+        constructor = _token_if(_tax_is(6), "NULL", constructor)
+        speed = _token_if(_tax_is(5), "123456.7", speed)
         # More minutes than milliseconds in a long can count.
-        lap = _token_if(tax == 4, "153722867280914:01.0", lap)
+        lap = _token_if(_tax_is(4), "153722867280914:01.0", lap)
     return rows.select(
         race.alias("raceId"),
         driver.alias("driverId"),

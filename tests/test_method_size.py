@@ -1,0 +1,88 @@
+"""Key rules on larger tables: no generated method is too long for the JVM to compile, and the rows are right."""
+
+import contextlib
+import datetime
+import io
+import re
+
+import __spark_entry__ as entry_module
+import oracle
+import pytest
+from gridmart.functions.typed import whole_number
+from pyspark.sql import functions as F
+
+# Methods of more bytes than this stay uncompiled in the JVM (HugeMethodLimit).
+LIMIT = 8000
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp",
+}
+
+
+def rows():
+    day = datetime.datetime(2001, 3, 4)
+    orders = [(k, k % 9, "FOP"[k % 3], 10.0 * k, day + datetime.timedelta(days=k % 40), "1") for k in range(120)]
+    # Every tax and discount meets, suppliers repeat inside an order, order 120 and supplier 12 are unknown.
+    items = [(k % 121, k % 30, k * 7 % 13, k % 7 + 1, float(k % 50 + 1), 900.5 + 37 * k, k % 11 / 100, k // 11 % 9 / 100,
+              "RAN"[k % 3], "FO"[k % 2], day) for k in range(2500)]
+    return {
+        "region": [(0, "AFRICA"), (1, "ASIA")],
+        "nation": [(k, f"NATION{k}", k % 2) for k in range(4)],
+        "customer": [(k, f"C{k}", k % 4, 1.0, "X") for k in range(9)],
+        "supplier": [(k, f"Supplier#{k}", k % 4, 5.0 - k) for k in range(12)],
+        "part": [(k, f"P{k}", f"Brand#{k % 25 + 1}", "T", k, 1.0) for k in range(30)],
+        "orders": orders, "lineitem": items,
+    }
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("trade")
+    for name, lines in rows().items():
+        spark.createDataFrame(lines, COLUMNS[name]).coalesce(1).write.parquet(f"{path}/parts/{name}")
+        file = next((path / "parts" / name).glob("*.parquet"))
+        (path / f"{name}.parquet").write_bytes(file.read_bytes())
+    return str(path)
+
+
+@pytest.mark.parametrize("name", ["fk_rejects", "fact_race_result", "fk_validate", "load_report"])
+def test_rows_are_those_of_the_sql(spark, folder, name):
+    result = entry_module.queries()[name](spark, folder)
+    assert oracle.differences(result, oracle.connect(folder), entry_module.oracle_sql()[name]) == []
+
+
+@pytest.mark.parametrize("name", ["fk_rejects", "fact_race_result", "fk_validate"])
+def test_methods_are_short_enough_to_be_compiled(spark, folder, name):
+    before = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            entry_module.queries()[name](spark, folder).explain("codegen")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < LIMIT
+
+
+def test_whole_numbers_as_before(spark):
+    """One cast of the text without its zeros gives what two casts gave."""
+    texts = ["44", "44.0", "44.", "44..", "4.50", "4.0.0", "4.0.", ".", ".0", ".5", "100", "100.00", " 7 ", " 7.0 ", "7.0 ",
+             "-3.0", "+3", "-", "1e3", "1e3.0", "9223372036854775807.0", "9223372036854775808", "3000000000.0", "0", "000.0",
+             "a.0", "a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for target in ("int", "bigint"):
+        bare = F.rtrim(F.rtrim("t", F.lit("0")), F.lit("."))
+        twice = F.coalesce(F.col("t").try_cast(target), F.when(F.col("t").contains("."), bare).try_cast(target))
+        assert df.where(~whole_number(F.col("t"), target).eqNullSafe(twice)).collect() == []
+        assert df.where(whole_number(F.col("t"), target) == 44).count() == 4
